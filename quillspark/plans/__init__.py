@@ -1 +1,4 @@
-"""See README.md for what lives here."""
+"""The registered queries of the core and their SQL."""
+
+QUERIES: dict = {}
+ORACLE: dict = {}
