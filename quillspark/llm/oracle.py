@@ -11,7 +11,25 @@ f AS (SELECT field_name, term, count(*) AS n_occurrences, count(DISTINCT (doc_id
 m AS (SELECT f.*, CASE WHEN n_records < 3 THEN 'rare' WHEN n_records > 0.1 * (SELECT n FROM total) THEN 'common' END AS mark FROM f)
 """
 
+_PAGE_TERMS = """
+WITH b AS (SELECT DISTINCT doc_id, block_id, text FROM blocks
+           WHERE content_type IN ('paragraph', 'list', 'blockquote', 'definition') AND text IS NOT NULL),
+w AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) AS term FROM b),
+v AS (SELECT doc_id, section_id, 'entity' AS kind, unnest(entities) AS raw FROM sections
+      UNION ALL SELECT doc_id, section_id, 'tag', unnest(tags) FROM sections),
+u AS (SELECT DISTINCT doc_id, section_id, kind, trim(regexp_replace(lower(raw), '\\s+', ' ', 'g')) AS term FROM v WHERE raw IS NOT NULL),
+c AS (SELECT doc_id, 'word' AS kind, term, count(*) AS tf FROM w GROUP BY ALL
+      UNION ALL SELECT doc_id, kind, term, count(*) FROM u WHERE term <> '' GROUP BY ALL),
+s AS (SELECT kind, term, count(*) AS n_pages, sum(tf) AS cf FROM c GROUP BY ALL),
+t AS (SELECT kind, sum(tf) AS total FROM c GROUP BY ALL),
+l AS (SELECT doc_id, kind, sum(tf) AS length FROM c GROUP BY ALL),
+p AS (SELECT c.doc_id, c.kind, c.term, c.tf, s.n_pages, s.cf / t.total AS pc, (c.tf + 2000.0 * s.cf / t.total) / (l.length + 2000.0) AS pd
+      FROM c JOIN s USING (kind, term) JOIN t USING (kind) JOIN l USING (doc_id, kind))
+"""
+
 ORACLE = {
+    "p5_found": _PAGE_TERMS + "SELECT doc_id, kind, term FROM p WHERE n_pages <= 3 AND tf >= CASE kind WHEN 'word' THEN 4 ELSE 2 END",
+    "p5_term_scores": _PAGE_TERMS + "SELECT doc_id, kind, term, tf, n_pages, round(pd * ln(pd / pc), 9) AS score FROM p WHERE n_pages >= 2",
     "p3_found": _SECTION_TERMS + "SELECT field_name, term, mark FROM m WHERE mark IS NOT NULL",
     "p3_term_frequencies": _SECTION_TERMS + "SELECT field_name, term, n_occurrences, n_records, mark FROM m",
 }

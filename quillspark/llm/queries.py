@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillspark.llm import distinctive, markup, residue, term_counts
 from quillspark.llm import repeated_lines as lines_op
-from quillspark.llm import term_counts
 from quillspark.tables import distinct_sections, table
 
 
@@ -18,6 +18,25 @@ def p1_cleaned_blocks(spark: SparkSession, folder: str) -> DataFrame:
     return lines_op.without_repeated_lines(table(spark, folder, "blocks"))
 
 
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    found = residue.residue_records(table(spark, folder, "sections"), table(spark, folder, "blocks"))
+    return found.select("rec_kind", "doc_id", "rec_id")
+
+
+def p2_kept_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    """The blocks without those that hold residue or whose section's title is residue."""
+    blocks = table(spark, folder, "blocks")
+    found = residue.residue_records(table(spark, folder, "sections"), blocks)
+    bad_sections = found.where("rec_kind = 'section'").select("doc_id", F.col("rec_id").alias("section_id"))
+    bad_blocks = found.where("rec_kind = 'block'").select("doc_id", F.col("rec_id").alias("block_id"))
+    return blocks.join(bad_sections, ["doc_id", "section_id"], "left_anti").join(bad_blocks, ["doc_id", "block_id"], "left_anti")
+
+
+def p2_residue_by_kind(spark: SparkSession, folder: str) -> DataFrame:
+    found = residue.residue_records(table(spark, folder, "sections"), table(spark, folder, "blocks"))
+    return found.groupBy("rec_kind", "residue").agg(F.count("*").alias("n"))
+
+
 def _section_terms(spark: SparkSession, folder: str, max_n: int) -> tuple[DataFrame, int]:
     sections = distinct_sections(table(spark, folder, "sections"), "doc_id", "section_id", "entities", "tags")
     total = table(spark, folder, "sections").select("doc_id", "section_id").distinct().count()
@@ -39,10 +58,45 @@ def p3_bigram_frequencies(spark: SparkSession, folder: str) -> DataFrame:
     return freq.where("n = 2").drop("n")
 
 
+def _page_terms(spark: SparkSession, folder: str) -> DataFrame:
+    sections = table(spark, folder, "sections").select("doc_id", "section_id", "entities", "tags")
+    return distinctive.word_counts(table(spark, folder, "blocks")).unionByName(distinctive.value_counts(sections))
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    terms = distinctive.distinctive_terms(_page_terms(spark, folder), max_pages=3, min_tf={"word": 4, "entity": 2, "tag": 2})
+    return terms.select("doc_id", "kind", "term")
+
+
+def p5_term_scores(spark: SparkSession, folder: str) -> DataFrame:
+    terms = distinctive.distinctive_terms(_page_terms(spark, folder), min_pages=2)
+    return terms.withColumn("score", F.round("score", 9))
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return markup.markup_kinds(table(spark, folder, "blocks"))
+
+
+def p6_clean_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    return markup.cleaned_blocks(table(spark, folder, "blocks"))
+
+
+def p6_template_classes(spark: SparkSession, folder: str) -> DataFrame:
+    return markup.template_classes(markup.lexed(table(spark, folder, "blocks")))
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_cleaned_blocks": p1_cleaned_blocks,
+    "p2_found": p2_found,
+    "p2_kept_blocks": p2_kept_blocks,
+    "p2_residue_by_kind": p2_residue_by_kind,
     "p3_found": p3_found,
     "p3_term_frequencies": p3_term_frequencies,
     "p3_bigram_frequencies": p3_bigram_frequencies,
+    "p5_found": p5_found,
+    "p5_term_scores": p5_term_scores,
+    "p6_found": p6_found,
+    "p6_clean_blocks": p6_clean_blocks,
+    "p6_template_classes": p6_template_classes,
 }
