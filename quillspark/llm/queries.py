@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import distinctive, markup, residue, term_counts
+from quillspark.llm import distinctive, language, leaks, markup, packing, residue, splitting, term_counts
 from quillspark.llm import repeated_lines as lines_op
 from quillspark.tables import distinct_sections, table
 
@@ -58,6 +58,20 @@ def p3_bigram_frequencies(spark: SparkSession, folder: str) -> DataFrame:
     return freq.where("n = 2").drop("n")
 
 
+def _language_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return language.language_rows(table(spark, folder, "blocks"), table(spark, folder, "pipeline_config"), table(spark, folder, "documents"))
+
+
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _language_rows(spark, folder).where((F.col("seg_key") != "") | ~F.coalesce(F.col("label") == F.col("lang_code"), F.lit(False)))
+    return rows.select("origin", "rec_id", "seg_key", "lang_code")
+
+
+def p4_languages(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page, document and foreign segment with its language and confidence."""
+    return _language_rows(spark, folder).withColumn("conf", F.round("conf", 6))
+
+
 def _page_terms(spark: SparkSession, folder: str) -> DataFrame:
     sections = table(spark, folder, "sections").select("doc_id", "section_id", "entities", "tags")
     return distinctive.word_counts(table(spark, folder, "blocks")).unionByName(distinctive.value_counts(sections))
@@ -85,6 +99,42 @@ def p6_template_classes(spark: SparkSession, folder: str) -> DataFrame:
     return markup.template_classes(markup.lexed(table(spark, folder, "blocks")))
 
 
+def _limits(spark: SparkSession, folder: str) -> dict:
+    """The size limits by name; the table has one row per limit, three in all."""
+    return {r["limit_name"]: r for r in table(spark, folder, "size_limits").collect()}
+
+
+def p7_containers(spark: SparkSession, folder: str) -> DataFrame:
+    limits = {k: r["max_tokens"] for k, r in _limits(spark, folder).items() if k.startswith("pack_")}
+    return packing.packed_by_limits(table(spark, folder, "documents"), limits)
+
+
+def p7_fill(spark: SparkSession, folder: str) -> DataFrame:
+    """Containers, items and share of the capacity used, by limit."""
+    caps = table(spark, folder, "size_limits").select("limit_name", "max_tokens")
+    fill = p7_containers(spark, folder).groupBy("limit_name", "container_id").agg(F.count("*").alias("items"), F.sum("n_tokens").alias("tokens"))
+    fill = fill.groupBy("limit_name").agg(F.count("*").alias("n_containers"), F.sum("items").alias("n_items"), F.sum("tokens").alias("n_tokens"), F.max("tokens").alias("largest"))
+    return fill.join(F.broadcast(caps), "limit_name").withColumn("fill_share", F.round(F.col("n_tokens") / (F.col("n_containers") * F.col("max_tokens")), 6))
+
+
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    return leaks.leaked_items(table(spark, folder, "documents"), table(spark, folder, "golden_items")).select("doc_id", "item_id")
+
+
+def p8_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    rows = leaks.leaked_items(table(spark, folder, "documents"), table(spark, folder, "golden_items"))
+    return rows.withColumns({c: F.round(c, 6) for c in ("share", "special_share")})
+
+
+def p9_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    limit = _limits(spark, folder)["piece"]
+    return splitting.split_documents(table(spark, folder, "documents"), limit["max_tokens"], limit["overlap_tokens"])
+
+
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p9_pieces(spark, folder).where("piece_no = 1").select("doc_id")
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_cleaned_blocks": p1_cleaned_blocks,
@@ -94,9 +144,17 @@ QUERIES = {
     "p3_found": p3_found,
     "p3_term_frequencies": p3_term_frequencies,
     "p3_bigram_frequencies": p3_bigram_frequencies,
+    "p4_found": p4_found,
+    "p4_languages": p4_languages,
     "p5_found": p5_found,
     "p5_term_scores": p5_term_scores,
     "p6_found": p6_found,
     "p6_clean_blocks": p6_clean_blocks,
     "p6_template_classes": p6_template_classes,
+    "p7_containers": p7_containers,
+    "p7_fill": p7_fill,
+    "p8_found": p8_found,
+    "p8_leaks": p8_leaks,
+    "p9_found": p9_found,
+    "p9_pieces": p9_pieces,
 }
