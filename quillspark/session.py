@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -47,3 +49,25 @@ def checkpointed(df: DataFrame) -> DataFrame:
 def cached(df: DataFrame) -> DataFrame:
     """Keep a result that several branches read; lost blocks are computed again."""
     return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    try:
+        jvm = spark.sparkContext._jvm
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    except Exception:  # the session has ended; the folder's owner clears it
+        pass
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Write a result that is read several times to the shared folder, and read it from there.
+
+    Other than a checkpoint it is columnar, so each reader takes its columns only. The
+    table is removed when the driver ends.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/quillspark-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    atexit.register(_remove, spark, path)
+    return spark.read.schema(df.schema).parquet(path)
