@@ -118,10 +118,20 @@ class ResidueIndex:
         self.anchors = []
         for i, (_, toks, _, counts) in enumerate(self.items):
             self.totals.append(sum(self.idf[t] * c for t, c in counts.items()))
+            if self._long_filler(i):  # a part of it is enough, so each of its longer words leads to it
+                self.anchors.append(frozenset())
+                for t in counts:
+                    if len(t) >= 5:
+                        self.postings[t].append(i)
+                continue
             best = sorted(set(toks), key=lambda t: (-self.idf[t], -len(t), t))[:anchors]
             self.anchors.append(frozenset(best))
             self.postings[best[0]].append(i)
 
+    def _long_filler(self, i: int) -> bool:
+        kind, toks, head, _ = self.items[i]
+        return kind == "filler" and head < 0 and len(toks) > 20
+
     def terms(self) -> set[str]:
         """The terms that lead from a text to an exemplar."""
         return set(self.postings)
@@ -139,7 +149,7 @@ class ResidueIndex:
                 if head >= 0:  # words in a slot are free, but the window has to begin as the exemplar does
                     if held >= self.exemplar_share * self.totals[i] and window[:head] == toks[:head] and len(window) <= len(toks) + 16:
                         return kind
-                elif held >= self.window_share * weight and (held >= self.exemplar_share * self.totals[i] or (kind == "filler" and len(window) >= 5)):
+                elif held >= self.window_share * weight and (held >= self.exemplar_share * self.totals[i] or (self._long_filler(i) and len(window) >= 5)):
                     return kind
         return None
 
@@ -201,7 +211,7 @@ class Retriever:
             return True
         for t in hit:
             for i in self.index.postings.get(t, ()):
-                if self.index.items[i][0] == "filler" and self.index.items[i][2] < 0:
+                if self.index._long_filler(i):
                     return True
                 lacking = sum(w for a, w in self.wanted[i] if a not in low)
                 if lacking <= (1 - self.index.exemplar_share) * self.index.totals[i] + 1e-9:
