@@ -171,7 +171,7 @@ def template_classes(tokens: DataFrame, min_pages: int = 2) -> DataFrame:
 
 def markup_kinds(blocks: DataFrame) -> DataFrame:
     """(doc_id, block_id, markup): the kinds of markup in each block."""
-    tokens = lexed(blocks)
+    tokens = written(lexed(blocks))  # few rows, read for the classes and twice for the kinds
     classes = template_classes(tokens)
     lone = tokens.where(~F.col("whole")).join(classes.select("space", "kind", "form").distinct(), ["space", "kind", "form"], "left_semi")
     either = tokens.where("whole").select("doc_id", "block_id", "kind").unionByName(lone.select("doc_id", "block_id", "kind"))
