@@ -1,4 +1,8 @@
 """The registered queries of the core and their SQL."""
 
-QUERIES: dict = {}
-ORACLE: dict = {}
+from quillspark.plans import search
+
+_PARTS = (search,)
+
+QUERIES: dict = {k: v for p in _PARTS for k, v in p.QUERIES.items()}
+ORACLE: dict = {k: v for p in _PARTS for k, v in p.ORACLE.items()}
