@@ -1,8 +1,8 @@
 """The registered queries of the core and their SQL."""
 
-from quillspark.plans import pages, search
+from quillspark.plans import corpus, pages, search
 
-_PARTS = (search, pages)
+_PARTS = (search, pages, corpus)
 
 QUERIES: dict = {k: v for p in _PARTS for k, v in p.QUERIES.items()}
 ORACLE: dict = {k: v for p in _PARTS for k, v in p.ORACLE.items()}
