@@ -93,7 +93,7 @@ def totals(messages: DataFrame) -> DataFrame:
     """Sums by model, by day and over all, as grouping sets; ``level`` names the set."""
     sums = [F.sum(c).alias(c) for c in COUNTS]
     rows = messages.groupingSets([[F.col("model")], [F.col("day")], []], F.col("model"), F.col("day")).agg(
-        *sums, F.round(F.sum("cost"), 6).alias("cost"), F.count("*").alias("messages"), F.count_distinct("session").alias("sessions"), F.grouping_id().alias("_g")
+        *sums, F.round(F.sum("cost"), 8).alias("cost"), F.count("*").alias("messages"), F.count_distinct("session").alias("sessions"), F.grouping_id().alias("_g")
     )
     return rows.withColumn("level", F.when(F.col("_g") == 1, "model").when(F.col("_g") == 2, "day").otherwise("all")).drop("_g")
 
@@ -112,7 +112,7 @@ def grouped(records: DataFrame, mode: str, cfg: Config = DEFAULT) -> DataFrame:
     rows = records.groupBy(group_key(F.col("ts"), F.col("session"), F.col("trace"), mode).alias("grp"), F.coalesce("model", F.lit("unknown")).alias("model")).agg(
         *[F.sum(F.coalesce(F.col(c), F.lit(0))).alias(c) for c in COUNTS], F.sum(F.coalesce("logged_cost", F.lit(0.0))).alias("_c"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts")
     )
-    return rows.withColumn("cost", F.round(estimated_cost(F.col("model"), F.col("_c"), *[F.col(c) for c in COUNTS], cfg=cfg), 6)).drop("_c")
+    return rows.withColumn("cost", F.round(estimated_cost(F.col("model"), F.col("_c"), *[F.col(c) for c in COUNTS], cfg=cfg), 8)).drop("_c")
 
 
 def newest_groups(rows: DataFrame, n: int) -> DataFrame:
@@ -123,11 +123,11 @@ def newest_groups(rows: DataFrame, n: int) -> DataFrame:
 
 def billing_totals(rows: DataFrame) -> DataFrame:
     """By model: amounts, quantity, what was billed beyond the quota, users; the CSV's numbers may carry $ and commas."""
-    n = {c: clean_number(F.col(c)) for c in ("quantity", "gross_amount", "discount_amount", "net_amount")}
+    n = {c: clean_number(F.col(c)).cast("decimal(18,6)") for c in ("quantity", "gross_amount", "discount_amount", "net_amount")}
     billed = F.upper(F.trim(F.coalesce("exceeds_quota", F.lit("")))) == "TRUE"
     return rows.groupBy(F.coalesce(F.when(F.trim("model") != "", F.trim("model")), F.lit("unknown")).alias("model")).agg(
-        F.round(F.sum(n["net_amount"]), 6).alias("net"), F.round(F.sum(n["gross_amount"]), 6).alias("gross"), F.round(F.sum(n["discount_amount"]), 6).alias("discount"),
-        F.round(F.sum(n["quantity"]), 6).alias("quantity"), F.round(F.sum(F.when(billed, n["quantity"]).otherwise(0.0)), 6).alias("billed"),
+        *[F.sum(n[c]).cast("double").alias(a) for c, a in (("net_amount", "net"), ("gross_amount", "gross"), ("discount_amount", "discount"), ("quantity", "quantity"))],
+        F.coalesce(F.sum(F.when(billed, n["quantity"])), F.lit(0)).cast("double").alias("billed"),
         F.count("*").alias("rows"), F.count_distinct(F.when(F.trim("username") != "", F.trim("username"))).alias("users"),
     )
 
