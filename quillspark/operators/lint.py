@@ -141,12 +141,16 @@ def residue_flags(text: Column) -> dict[str, Column]:
     }
 
 
+#: a text without any of these characters has none of the shapes, unless it has a long run of base64
+_SIGNS = r"[<&{:\uFFFD]|[A-Za-z0-9+/]{200}"
+
+
 def is_poisoned(text: Column, content_type: Column) -> Column:
     """Empty, or not code and with the shape of markup."""
     any_flag = None
     for flag in residue_flags(F.regexp_replace(text, CODE, " ")).values():
         any_flag = flag if any_flag is None else any_flag | flag
-    return (F.trim(F.coalesce(text, F.lit(""))) == "") | ((content_type != "code") & F.coalesce(any_flag, F.lit(False)))
+    return (F.trim(F.coalesce(text, F.lit(""))) == "") | ((content_type != "code") & F.coalesce(text.rlike(_SIGNS), F.lit(False)) & F.coalesce(any_flag, F.lit(False)))
 
 
 def gate(chunks: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:

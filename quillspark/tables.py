@@ -9,8 +9,21 @@ from pyspark.sql import functions as F
 PROSE_TYPES = ("paragraph", "list", "blockquote", "definition")
 
 
+#: tables whose texts are worth a shuffle where one file would be one task
+TEXT_TABLES = ("blocks", "documents")
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    rows = spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(rows) if name in TEXT_TABLES else rows
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows of fewer files than cores, dealt out to all cores. A file of one row group is read by one
+    task however many cores there are; a table of many files is left as it is. Column pruning and
+    filters still reach the scan below the exchange."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if len(rows.inputFiles()) < min(cores, 4) else rows
 
 
 def is_prose(content_type="content_type"):
