@@ -286,7 +286,7 @@ def block_lengths(blocks: DataFrame, model: ContextTrees) -> DataFrame:
     rows = blocks.where(is_prose() & F.col("text").rlike(r"\p{L}")).select("doc_id", "block_id", "space", "text")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+        for pdf in filter(len, batches):
             texts = pdf["text"].to_list()
             lengths = shared.value.code_lengths(texts)
             best = lengths.argmin(axis=1)
@@ -320,7 +320,7 @@ def document_languages(documents: DataFrame, model: ContextTrees) -> DataFrame:
     rows = documents.where(F.col("text").rlike(r"\p{L}")).select(F.col("doc_id").cast("string").alias("doc_id"), normal_label(F.col("lang")).alias("label"), "text")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+        for pdf in filter(len, batches):
             texts, owner, numbers = [], [], []
             for i, text in enumerate(pdf["text"]):
                 prose = [(n, p) for n, p, ok in paragraphs(text) if ok] or [(0, text)]

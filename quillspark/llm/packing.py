@@ -32,7 +32,7 @@ def token_sizes(documents: DataFrame, path: str = TOKENIZER) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         count = tokenizer(path).count
-        for pdf in batches:
+        for pdf in filter(len, batches):
             yield pdf[["doc_id"]].assign(n_tokens=[count(t) for t in pdf["text"]])
 
     rows = documents.where(F.col("text").isNotNull() & (F.length("text") > 0)).select("doc_id", "text")

@@ -244,7 +244,8 @@ def residue_rows(rows: DataFrame, text: str = "text") -> DataFrame:
         for pdf in batches:
             kinds = [residue_kind(t) for t in pdf[text]]
             at = [i for i, k in enumerate(kinds) if k]
-            yield pdf[keys].iloc[at].assign(residue=[kinds[i] for i in at])
+            if at:  # an empty selection has no Arrow chunk to send
+                yield pd.DataFrame({c: pdf[c].to_numpy(dtype=object)[at] for c in keys} | {"residue": [kinds[i] for i in at]})
 
     return rows.where(F.col(text).isNotNull() & (F.length(text) > 0)).mapInPandas(run, schema)
 
