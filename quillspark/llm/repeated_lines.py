@@ -89,7 +89,7 @@ def repeated_lines(blocks: DataFrame, min_pages: int = 3, min_share: float = 0.2
             F.collect_set(F.when(F.col("n") >= 0.5 * F.col("n_lines"), F.struct("pos", "tok"))).alias("loose"),
         )
     )
-    slots = _small(slots)
+    slots = _small(checkpointed(slots))
 
     def mask(kind: str) -> Column:
         return F.transform("w", lambda t, i: F.when(F.array_contains(F.col(kind), F.struct(i.alias("pos"), t.alias("tok"))), t).otherwise(F.lit("*")))
@@ -105,7 +105,7 @@ def repeated_lines(blocks: DataFrame, min_pages: int = 3, min_share: float = 0.2
         .groupBy("space", "template").agg(F.count("*").alias("n_pages"), F.first("need").alias("need"))
         .where("n_pages >= need").drop("need")
     )
-    found = masked.drop("need").join(_small(covering), ["space", "template"])
+    found = masked.drop("need").join(_small(checkpointed(covering)), ["space", "template"])
     return found.groupBy("doc_id", "block_id", "line_no").agg(F.max(F.struct("n_pages", "template")).alias("m")).select(
         "doc_id", "block_id", "line_no", F.col("m.template").alias("template"), F.col("m.n_pages").alias("n_pages")
     )
