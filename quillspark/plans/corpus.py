@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.operators import chunking, classify, inventory, report, search, serve, store, structure
+from quillspark.operators import chunking, classify, convert, inventory, report, search, serve, store, structure
 from quillspark.plans.pages import _B, _HEADER, _KEY, _S
 from quillspark.tables import distinct_blocks, table
 
@@ -174,8 +174,22 @@ def front_matter(spark: SparkSession, folder: str) -> DataFrame:
     return rows.where("title is not null").select("doc_id", "title", "space", F.array_join("labels", ",").alias("labels"))
 
 
+def _pages(spark: SparkSession, folder: str) -> DataFrame:
+    return convert.rendered_documents(table(spark, folder, "documents").select("doc_id", "text", "title"))
+
+
+def converted_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents rendered as pages and converted back, by status."""
+    rows = convert.convert_pages(_pages(spark, folder))
+    return rows.groupBy("status").agg(F.count("*").alias("n"), F.sum(F.length("markdown")).alias("chars"), F.sum(F.coalesce(F.element_at("macro_counts", "dropped_tag"), F.lit(0))).alias("dropped_tags"))
+
+
+def page_titles(spark: SparkSession, folder: str) -> DataFrame:
+    return convert.convert_pages(_pages(spark, folder)).select("doc_id", "status", "title")
+
+
 QUERIES = {f.__name__: f for f in (
-    chunk_widths, chunk_documents, chunk_summary, embed_headers, table_summaries, table_records, field_frequencies, frequent_fields, corpus_taxonomy, prose_records,
+    converted_pages, page_titles, chunk_widths, chunk_documents, chunk_summary, embed_headers, table_summaries, table_records, field_frequencies, frequent_fields, corpus_taxonomy, prose_records,
     reconciled_records, routed_records, sections_with_records, newest_pages, provenance_upsert, delete_document_counts, decision_buckets, coverage_hard, token_retention,
     graph_edges, parsed_markdown, parsed_sections, front_matter,
 )}
@@ -228,6 +242,8 @@ rc AS (SELECT * FROM al QUALIFY row_number() OVER (PARTITION BY doc_id, section_
 _EMBED_LANGS = ", ".join(f"'{x}'" for x in chunking.EMBED_LANGUAGES)
 
 ORACLE = {
+    "page_titles": """SELECT doc_id, 'ok' AS status, CASE WHEN position(' : ' IN t) > 0 THEN substr(t, position(' : ' IN t) + 3) ELSE t END AS title
+  FROM (SELECT doc_id, text, trim(regexp_replace(coalesce(title, 'x'), '\\s+', ' ', 'g')) AS t FROM documents WHERE text IS NOT NULL)""",
     "chunk_widths": f"""
 WITH sp AS (SELECT doc_id, max(space) AS space FROM blocks GROUP BY doc_id),
 x AS (SELECT s.*, max_chunk_chars, array_to_string(breadcrumb, ' > ') AS crumb, array_to_string(list_filter(coalesce(tags, []), lambda t: t <> section_type), ', ') AS listed FROM {_SECT} s LEFT JOIN sp USING (doc_id) LEFT JOIN pipeline_config c ON c.space = sp.space),
