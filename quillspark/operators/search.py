@@ -8,9 +8,13 @@ terms and one-row statistics are the only broadcast sides. Rankings end with the
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Iterator
+from functools import reduce
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from quillspark.config import DEFAULT, Config
 from quillspark.functions.text import terms
@@ -78,20 +82,46 @@ def top(scores: DataFrame, k: int, by: tuple[str, ...] = ("query_id",)) -> DataF
     return scores.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def cosine(a: Column, b: Column) -> Column:
-    dot = F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
-
-    def norm(v: Column) -> Column:
-        return F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+#: query vectors that go to the tasks at once; more are taken in further passes over the vectors
+QUERY_BLOCK = 4096
 
-    length = norm(a) * norm(b)
-    return F.when(length > 0, dot / length).otherwise(F.lit(0.0))
 
+def dense(vectors: DataFrame, id_col: str, vec_col: str, queries: DataFrame, k: int) -> DataFrame:
+    """(query_id, id, score): for each query (query_id, qvec), a stated set, its k best vectors by cosine of
+    each task, among which are the k best of all. A null or zero vector has score 0.
 
-def dense(vectors: DataFrame, id_col: str, vec_col: str, queries: DataFrame) -> DataFrame:
-    """(query_id, id, score): cosine of every vector with each query vector (query_id, qvec), a small stated set."""
-    pairs = vectors.select(F.col(id_col).alias("id"), F.col(vec_col).alias("_v")).crossJoin(F.broadcast(queries))
-    return pairs.select("query_id", "id", cosine(F.col("_v"), F.col("qvec")).alias("score"))
+    Queries are taken in blocks of bounded size; a task multiplies its vectors with a block and sends
+    only its best rows on, so no pair of rows is ever made.
+    """
+    n_blocks = -(-queries.count() // QUERY_BLOCK)
+    id_type = dict(vectors.dtypes)[id_col]
+    block = F.pmod(F.xxhash64("query_id"), F.lit(max(1, n_blocks)))
+    rows = vectors.select(F.col(id_col).alias("id"), F.col(vec_col).alias("v")).where("v is not null")
+    parts = []
+    for n in range(n_blocks):
+        asked = queries.where(block == n).select("query_id", "qvec").collect()  # about QUERY_BLOCK rows
+        parts.append(rows.mapInPandas(_best_of_batches([r["query_id"] for r in asked], [r["qvec"] for r in asked], k), f"query_id string, id {id_type}, score double"))
+    if not parts:
+        return vectors.sparkSession.createDataFrame([], f"query_id string, id {id_type}, score double")
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _best_of_batches(names: list[str], asked: list, k: int):
+    def unit(m: np.ndarray) -> np.ndarray:
+        length = np.sqrt((m * m).sum(axis=1, keepdims=True))
+        return np.divide(m, length, out=np.zeros_like(m), where=length > 0)
+
+    q = unit(np.asarray(asked, dtype=np.float64).reshape(len(names), -1))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in filter(len, batches):
+            scores = np.round(q @ unit(np.stack(pdf["v"].to_list()).astype(np.float64)).T, 12)
+            ids = pdf["id"].to_numpy()
+            by_id = np.argsort(ids, kind="stable")
+            best = by_id[np.argsort(-np.round(scores[:, by_id], 9), axis=1, kind="stable")[:, :k]]
+            yield pd.DataFrame({"query_id": np.repeat(names, best.shape[1]), "id": ids[best].ravel(), "score": np.take_along_axis(scores, best, axis=1).ravel()})
+
+    return run
 
 
 def fuse(*ranked: DataFrame, k: int = DEFAULT.rrf_k) -> DataFrame:

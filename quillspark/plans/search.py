@@ -58,13 +58,13 @@ def _query_vectors(spark: SparkSession, folder: str, n: int = 1) -> DataFrame:
 
 
 def dense_topk(spark: SparkSession, folder: str) -> DataFrame:
-    scores = search.dense(table(spark, folder, "embeddings"), "vec_id", "embedding", _query_vectors(spark, folder, 5))
+    scores = search.dense(table(spark, folder, "embeddings"), "vec_id", "embedding", _query_vectors(spark, folder, 5), 10)
     return search.top(scores, 10).select("query_id", F.col("id").alias("vec_id"), F.round("score", 5).alias("score"))
 
 
 def dense_filtered_label(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "embeddings").where("label = 3")
-    scores = search.dense(vectors, "vec_id", "embedding", _query_vectors(spark, folder))
+    scores = search.dense(vectors, "vec_id", "embedding", _query_vectors(spark, folder), 5)
     return search.top(scores, 5).select(F.col("id").alias("vec_id"), F.round("score", 5).alias("score"))
 
 
@@ -72,7 +72,7 @@ def dense_every_50th(spark: SparkSession, folder: str) -> DataFrame:
     """Every vector whose id is divisible by 50 as a query against all vectors."""
     vectors = table(spark, folder, "embeddings")
     queries = vectors.where("vec_id % 50 = 0").select(F.col("vec_id").cast("string").alias("query_id"), F.col("embedding").alias("qvec"))
-    return search.top(search.dense(vectors, "vec_id", "embedding", queries), 10).select("query_id", F.col("id").alias("vec_id"), F.round("score", 5).alias("score"))
+    return search.top(search.dense(vectors, "vec_id", "embedding", queries, 10), 10).select("query_id", F.col("id").alias("vec_id"), F.round("score", 5).alias("score"))
 
 
 def hashing_buckets(spark: SparkSession, folder: str) -> DataFrame:

@@ -265,7 +265,7 @@ def test_bm25_micro_corpus(spark):
 def test_dense_ties_fusion_and_provenance(spark):
     v = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 0.0]), (3, [2.0, 0.0])], "id int, v array<float>")
     q = spark.createDataFrame([("q", [1.0, 0.0])], "query_id string, qvec array<float>")
-    got = search.top(search.dense(v, "id", "v", q), 3).orderBy("rank").collect()
+    got = search.top(search.dense(v, "id", "v", q, 3), 3).orderBy("rank").collect()
     assert [(r.id, round(r.score, 6)) for r in got] == [(1, 1.0), (3, 1.0), (2, 0.0)]
     a = spark.createDataFrame([("q", "x", 1), ("q", "y", 2)], "query_id string, id string, rank int")
     assert {r.id: r.score for r in search.fuse(a, a.where("id = 'y'").withColumn("rank", F.lit(1))).collect()} == pytest.approx({"x": 1 / 61, "y": 1 / 62 + 1 / 61})
@@ -478,7 +478,7 @@ def test_html_conversion(spark):
         assert part in md, part
     assert "menu" not in md and "var a" not in md and got["title"] == "My page" and got["meta"]["space"] == "SP" and got["meta"]["page_id"] == "7" and got["macro_counts"]["warning"] == 1
     d = spark.createDataFrame([(1, PAGE), (2, None), (3, "<ri:page/>"), (4, "<p>bare</p>"), (5, "")], "doc_id int, text string")
-    assert {r.doc_id: r.status for r in convert.convert_pages(d).collect()} == {1: "ok", 2: "error", 3: "rejected", 4: "quarantine", 5: "error"}
+    assert {r.doc_id: r.status for r in convert.convert_pages(d).collect()} == {1: "ok", 2: "error", 3: "rejected", 4: "quarantine", 5: "quarantine"}
     assert convert.visible_text("<p>a</p><script>b</script><nav>c</nav>d") == "a d"
     assert convert.tidy("a\xa0b  \n\n\n\n``` py\nx  \n\n\n\ny\n```\n- \\[x\\] t\n") == "a b\n\n```py\nx  \n\n\n\ny\n```\n- [x] t\n"
 
