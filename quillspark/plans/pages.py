@@ -371,6 +371,13 @@ def _verbs() -> str:
     return VERBS["en"]
 
 
+ORACLE["title_inference"] = """
+WITH t AS (SELECT doc_id, trim(regexp_extract(coalesce(text, ''), '(?m)^#[ \\t]+(.+?)[ \\t]*$', 1)) AS h, regexp_replace(regexp_extract(source_path, '([^/]+?)(?:\\.[^./]*)?$', 1), '[-_]+', ' ', 'g') AS stem FROM documents)
+SELECT doc_id, CASE WHEN h <> '' THEN h ELSE array_to_string(list_transform(string_split(stem, ' '), lambda w: upper(substr(w, 1, 1)) || lower(substr(w, 2))), ' ') END AS inferred FROM t"""
+ORACLE["section_ids"] = f"""
+WITH b AS (SELECT DISTINCT doc_id, section_id, seq, title, heading_level, regexp_replace(regexp_replace(lower(coalesce(title, '')), '[^\\p{{L}}\\p{{N}}\\s_-]', '', 'g'), '\\s+', '-', 'g') AS base FROM sections),
+n AS (SELECT *, row_number() OVER (PARTITION BY doc_id, base ORDER BY seq) - 1 AS k FROM b)
+SELECT doc_id, seq, CASE WHEN k > 0 THEN base || '-' || CAST(k AS VARCHAR) ELSE base END AS heading_id, substr(md5(doc_id || '|' || coalesce(title, '') || '|' || CAST(heading_level AS VARCHAR)), 1, 8) AS hash_id FROM n"""
 ORACLE["section_genres"] = ORACLE["section_genres"].replace("VERBS", _verbs())
 ORACLE["document_profiles"] = ORACLE["document_types"].rsplit("SELECT doc_id, n_matches", 1)[0] + f""",
 b AS (SELECT doc_id, sum(length(text)) AS chars, sum(CASE WHEN content_type = 'code' THEN length(text) ELSE 0 END) AS code, sum(CASE WHEN content_type = 'table' THEN length(text) ELSE 0 END) AS tab FROM {_B} GROUP BY ALL)
