@@ -27,7 +27,16 @@ p AS (SELECT c.doc_id, c.kind, c.term, c.tf, s.n_pages, s.cf / t.total AS pc, (c
       FROM c JOIN s USING (kind, term) JOIN t USING (kind) JOIN l USING (doc_id, kind))
 """
 
+_BIGRAMS = """
+WITH s AS (SELECT DISTINCT doc_id, section_id, entities, tags FROM sections),
+r AS (SELECT row_number() OVER () AS rec, field_name, list_filter(list_transform(list_filter(vals, lambda x: x IS NOT NULL), lambda x: trim(regexp_replace(lower(x), '\\s+', ' ', 'g'))), lambda x: x <> '') AS v
+      FROM (SELECT 'entities' AS field_name, entities AS vals FROM s UNION ALL SELECT 'tags', tags FROM s)),
+g AS (SELECT rec, field_name, unnest(list_transform(v[1:len(v) - 1], lambda x, i: x || '␟' || v[i + 1])) AS term FROM r WHERE len(v) > 1)
+SELECT field_name, term, count(*) AS n_occurrences, count(DISTINCT rec) AS n_records FROM g GROUP BY ALL
+"""
+
 ORACLE = {
+    "p3_bigram_frequencies": _BIGRAMS,
     "p5_found": _PAGE_TERMS + "SELECT doc_id, kind, term FROM p WHERE n_pages <= 3 AND tf >= CASE kind WHEN 'word' THEN 4 ELSE 2 END",
     "p5_term_scores": _PAGE_TERMS + "SELECT doc_id, kind, term, tf, n_pages, round(pd * ln(pd / pc), 9) AS score FROM p WHERE n_pages >= 2",
     "p3_found": _SECTION_TERMS + "SELECT field_name, term, mark FROM m WHERE mark IS NOT NULL",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quillspark.llm import distinctive, language, leaks, markup, packing, residue, splitting, term_counts
 from quillspark.llm import repeated_lines as lines_op
+from quillspark.session import written
 from quillspark.tables import distinct_sections, table
 
 
@@ -26,7 +27,7 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
 def p2_kept_blocks(spark: SparkSession, folder: str) -> DataFrame:
     """The blocks without those that hold residue or whose section's title is residue."""
     blocks = table(spark, folder, "blocks")
-    found = residue.residue_records(table(spark, folder, "sections"), blocks)
+    found = written(residue.residue_records(table(spark, folder, "sections"), blocks))
     bad_sections = found.where("rec_kind = 'section'").select("doc_id", F.col("rec_id").alias("section_id"))
     bad_blocks = found.where("rec_kind = 'block'").select("doc_id", F.col("rec_id").alias("block_id"))
     return blocks.join(bad_sections, ["doc_id", "section_id"], "left_anti").join(bad_blocks, ["doc_id", "block_id"], "left_anti")
