@@ -254,3 +254,27 @@ def keyphrase_rows(rows: DataFrame, text: str = "text", language: str = "en") ->
             yield pdf.assign(keyphrases=[keyphrases(t, language=language) for t in pdf[text]])
 
     return rows.mapInPandas(run, schema)
+
+
+def language_sample(title: Column, headings: Column, texts: Column, longest: int = 2000) -> Column:
+    """What a detector reads: the title, the headings and the texts, cut at ``longest`` characters."""
+    return F.substring(F.concat_ws("\n", title, F.array_join(headings, "\n"), F.array_join(texts, "\n")), 1, longest)
+
+
+def voted_language(text: Column, default: str = "en") -> Column:
+    """The language with the most stop words in the text, the default without any; an extension of the default path.
+
+    Ties go to the first language in the list.
+    """
+    words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"[\p{L}]+"), 0)
+
+    def count(code: str) -> Column:
+        stop = sorted(pack(code).stop_words)
+        return F.size(F.filter(words, lambda w: w.isin(*stop)))
+
+    votes = {c: count(c) for c in LANGUAGES}
+    most = F.greatest(*votes.values())
+    out = F.when(most == 0, default)
+    for c, n in votes.items():
+        out = out.when(n == most, c)
+    return out

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillspark.config import DEFAULT, Config
-from quillspark.functions.text import clean_number
+from quillspark.functions.text import clean_number, normalise_path
 
 # ---- Fixed values: US dollars per million tokens; the first name that a model's name holds counts ----
 RATE_HINTS = [
@@ -158,3 +158,13 @@ def context_footprint(files: DataFrame, turns: int, rate_in: float, cfg: Config
     )
     total = Window.partitionBy()  # a row per ecosystem
     return rows.withColumn("share", F.round(F.col("startup") / F.sum("startup").over(total), 6)).withColumn("cost", F.round(F.col("startup") * turns * rate_in / 1e6, 6))
+
+
+def newest_session(messages: DataFrame, workspaces: DataFrame) -> DataFrame:
+    """(workspace, session_id): for each workspace path the session that was last active there; null if none.
+
+    Paths are equal whatever their case, slashes and a slash at the end. ``workspaces``: path.
+    """
+    last = messages.where(F.col("cwd").isNotNull()).groupBy(normalise_path(F.col("cwd")).alias("key"), "session_id").agg(F.max("ts").alias("ts"))
+    best = last.groupBy("key").agg(F.max(F.struct("ts", "session_id")).alias("b")).select("key", F.col("b.session_id").alias("session_id"))
+    return workspaces.select(F.col("path").alias("workspace"), normalise_path(F.col("path")).alias("key")).join(best, "key", "left").drop("key")

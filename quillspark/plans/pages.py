@@ -204,6 +204,12 @@ def language_samples(spark: SparkSession, folder: str) -> DataFrame:
     return titles.select("doc_id", F.md5(F.substring("titles", 1, 2000)).alias("sample_hash"), F.length("titles").alias("n_chars"))
 
 
+def voted_languages(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents by label and by the language that their stop words vote for."""
+    rows = _docs(spark, folder).select(T.normalise_language(F.col("lang")).alias("label"), classify.voted_language(F.col("text")).alias("voted"))
+    return rows.groupBy("label", "voted").agg(F.count("*").alias("n"))
+
+
 def block_distribution(spark: SparkSession, folder: str) -> DataFrame:
     return _blocks(spark, folder).groupBy("content_type").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"))
 
@@ -228,7 +234,7 @@ QUERIES = {f.__name__: f for f in (
     doc_ids, section_type_classify, section_type_by_language, title_genres, section_genres, policy_modals, document_types, document_profiles, header_normalise,
     language_normalise, entities_extracted, entities_endpoint, vocabulary_hits, vocabulary_scan, section_tags, rake_keyphrases, markdown_stats, title_inference,
     link_hosts, slugs, low_signal, lint_html_leakage, lint_macros, lint_content_density, lint_shares, lint_report, reported_issues, chunk_residue_flags,
-    gate_block_documents, gate_counts, breadcrumb_paths, breadth_first, section_ids, block_ids, language_samples, block_distribution, list_spaces, set_operations,
+    gate_block_documents, gate_counts, breadcrumb_paths, breadth_first, section_ids, block_ids, language_samples, voted_languages, block_distribution, list_spaces, set_operations,
 )}
 
 # ---- SQL, written apart from the engine's expressions --------------------------------
@@ -378,6 +384,18 @@ ORACLE["section_ids"] = f"""
 WITH b AS (SELECT DISTINCT doc_id, section_id, seq, title, heading_level, regexp_replace(regexp_replace(lower(coalesce(title, '')), '[^\\p{{L}}\\p{{N}}\\s_-]', '', 'g'), '\\s+', '-', 'g') AS base FROM sections),
 n AS (SELECT *, row_number() OVER (PARTITION BY doc_id, base ORDER BY seq) - 1 AS k FROM b)
 SELECT doc_id, seq, CASE WHEN k > 0 THEN base || '-' || CAST(k AS VARCHAR) ELSE base END AS heading_id, substr(md5(doc_id || '|' || coalesce(title, '') || '|' || CAST(heading_level AS VARCHAR)), 1, 8) AS hash_id FROM n"""
+
+
+def _vote_sql() -> str:
+    from quillspark.functions.lang_packs import LANGUAGES, STOP_WORDS
+
+    n = ", ".join(f"len(list_filter(w, lambda x: list_contains(string_split('{STOP_WORDS[c]}', ' '), x))) AS n_{c}" for c in LANGUAGES)
+    return f"""WITH w AS (SELECT CASE WHEN c IN ('en', 'de', 'fr', 'it') THEN c ELSE 'en' END AS label, w FROM (SELECT split_part(replace(lower(trim(lang)), '_', '-'), '-', 1) AS c, regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}]+') AS w FROM documents)),
+v AS (SELECT label, {n} FROM w), m AS (SELECT *, greatest(n_en, n_de, n_fr, n_it) AS most FROM v)
+SELECT label, CASE WHEN most = 0 THEN 'en' WHEN n_en = most THEN 'en' WHEN n_de = most THEN 'de' WHEN n_fr = most THEN 'fr' ELSE 'it' END AS voted, count(*) AS n FROM m GROUP BY ALL"""
+
+
+ORACLE["voted_languages"] = _vote_sql()
 ORACLE["section_genres"] = ORACLE["section_genres"].replace("VERBS", _verbs())
 ORACLE["document_profiles"] = ORACLE["document_types"].rsplit("SELECT doc_id, n_matches", 1)[0] + f""",
 b AS (SELECT doc_id, sum(length(text)) AS chars, sum(CASE WHEN content_type = 'code' THEN length(text) ELSE 0 END) AS code, sum(CASE WHEN content_type = 'table' THEN length(text) ELSE 0 END) AS tab FROM {_B} GROUP BY ALL)
