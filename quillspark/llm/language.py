@@ -49,7 +49,7 @@ COMMON_WORDS = {
     "it": "di e il la che in a per un è del non una con i le si da al dei della sono come più anche lo nel ma gli alla ha o se delle su ed ai dal ci questo essere stato nella loro tra dalla due suo alle quello anni dopo fra era sulla stati prima così quando perché sua dell sul questa ancora solo hanno molto poi tutti cui contro parte senza tutto fatto ogni altri quale altro già fino stata mentre dove proprio oggi nei suoi degli mai qui tre sia grande sotto tempo volta nuovo però ora deve può pagina utile condividila lascia commento ultima modifica generato versione spazio riservata inoltrata consenso elenco seguente passi principali quindi nostro vostro loro questi quelle",
 }
 _UNIT = 1024  # code lengths are whole numbers of 1/1024 bit
-_CHUNK = 2_000_000  # bytes scored at once
+_CHUNK = 1_000_000  # bytes scored at once
 
 _FOLD = np.arange(256, dtype=np.uint8)
 for _b in range(128):
@@ -149,23 +149,24 @@ def train(texts: dict[str, list[str]]) -> ContextTrees:
     for rank, byte in enumerate(np.argsort(-seen, kind="stable")[: SYMBOLS - 1]):
         symbol[byte] = rank
     symbol = symbol[_FOLD]
-    grams = {}
-    for k, raw in raws.items():
-        s = symbol[np.concatenate((np.full(ORDER, 32, np.uint8), raw))].astype(np.int64)
-        grams[k] = ((s[:-3] << 18) | (s[1:-2] << 12) | (s[2:-1] << 6) | s[3:], s[3:])
-    contexts = np.unique(np.concatenate([np.unique(g >> 6) for g, _ in grams.values()]))
+
+    def grams(raw: np.ndarray) -> np.ndarray:
+        """Each byte's symbol with the ORDER symbols before it, six bits each."""
+        s = symbol[np.concatenate((np.full(ORDER, 32, np.uint8), raw))].astype(np.uint32)
+        return (s[:-3] << np.uint32(18)) | (s[1:-2] << np.uint32(12)) | (s[2:-1] << np.uint32(6)) | s[3:]
+
+    contexts = np.unique(np.concatenate([np.unique(grams(r) >> np.uint32(6)) for r in raws.values()])).astype(np.int64)
     # Rows: every context of two symbols, for what no tree has seen, then the seen ones of three.
     row_of = (np.arange(SYMBOLS**3) % SYMBOLS**2).astype(np.uint32)
     row_of[contexts] = SYMBOLS**2 + np.arange(len(contexts))
     tables = []
     for k in languages:
-        g, last = grams[k]
+        g = grams(raws.pop(k)).astype(np.int64)
         p = np.full((1, SYMBOLS), 1.0 / SYMBOLS)
-        p = _blend(np.bincount(last, minlength=SYMBOLS)[None, :], p)
+        p = _blend(np.bincount(g & 63, minlength=SYMBOLS)[None, :], p)
         p1 = _blend(np.bincount(g & 0xFFF, minlength=SYMBOLS**2).reshape(-1, SYMBOLS), np.broadcast_to(p, (SYMBOLS, SYMBOLS)))
         p2 = _blend(np.bincount(g & 0x3FFFF, minlength=SYMBOLS**3).reshape(-1, SYMBOLS), p1[np.arange(SYMBOLS**2) % SYMBOLS])
-        c3 = np.zeros((len(contexts), SYMBOLS))
-        np.add.at(c3, (np.searchsorted(contexts, g >> 6), g & 63), 1)
+        c3 = np.bincount(np.searchsorted(contexts, g >> 6) * SYMBOLS + (g & 63), minlength=len(contexts) * SYMBOLS).reshape(-1, SYMBOLS)
         p3 = _blend(c3, p2[contexts % SYMBOLS**2])
         cost = -np.log2(np.maximum(np.concatenate((p2, p3)), 2.0**-60)) * _UNIT
         tables.append(np.rint(cost).astype(np.uint64).ravel())
