@@ -171,8 +171,14 @@ def template_classes(tokens: DataFrame, min_pages: int = 2) -> DataFrame:
     return forms.join(pairs, ["space", "class_id", "opener"], "left_semi").select("space", "kind", "form", "class_id", "n_pages")
 
 
-def markup_kinds(blocks: DataFrame) -> DataFrame:
-    """(doc_id, block_id, markup): the kinds of markup in each block."""
+def markup_kinds(blocks: DataFrame, unpaired: bool = False) -> DataFrame:
+    """(doc_id, block_id, markup): the kinds of markup in each block.
+
+    ``unpaired``: a tag or environment counts whether its partner stands in the block or not; else
+    one without its partner counts only if a class holds both.
+    """
+    if unpaired:
+        return lexed(blocks).select("doc_id", "block_id", F.col("kind").alias("markup")).distinct()
     tokens = written(lexed(blocks))  # few rows, read for the classes and twice for the kinds
     classes = template_classes(tokens)
     lone = tokens.where(~F.col("whole")).join(classes.select("space", "kind", "form").distinct(), ["space", "kind", "form"], "left_semi")

@@ -89,7 +89,7 @@ def p5_term_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
-    return markup.markup_kinds(table(spark, folder, "blocks"))
+    return markup.markup_kinds(table(spark, folder, "blocks"), unpaired=True)
 
 
 def p6_clean_blocks(spark: SparkSession, folder: str) -> DataFrame:
