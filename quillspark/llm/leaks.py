@@ -2,11 +2,14 @@
 
 Method: one Aho-Corasick automaton over the normalised words of all test questions and
 answers. Its patterns are pairs of neighbouring words of which one at least is distinctive
-for its item, and every document is scanned once. Distinctive are words in few items and,
-by counts over all documents, in few of these. Where pairs of an item lie together, the
-region's words are aligned with the passage in order: half of the passage's words must be
-held, and as large a share of its distinctive words, so that the same phrasing with other
-names, or stock sentences, do not count. Matches map back to characters of the original.
+for its item, and every document is scanned once. Where pairs of any words of an item so
+found lie together, the region's words are aligned with the passage in order:
+half of the passage's words must be held, and a share of its distinctive words, so that the
+same phrasing with other names, or stock sentences, do not count. Distinctive are words in few
+items that stand in few documents, those aside that hold the word next to its neighbour in the
+passage: a leak into many documents raises the count of its words, but not this one. The share
+is taken over the passage or over its densest half in the document, so that a leaked part is
+judged by its own words. Matches map back to characters of the original.
 
 Defined results: null and empty texts and passages match nothing; a passage under four words
 is not searched for; the same document and item come out once, at their best place; a match
@@ -15,6 +18,7 @@ of the question alone is no leak. The items are a stated, small set (a bound is
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -34,6 +38,10 @@ def words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+def rare_items(n: int) -> int:
+    return max(2, n // 100)
+
+
 def in_order(a: list[str], b: list[str]) -> int:
     """Length of the longest common subsequence, by bit-parallel rows."""
     masks: dict[str, int] = defaultdict(int)
@@ -48,6 +56,30 @@ def in_order(a: list[str], b: list[str]) -> int:
     return len(a) - row.bit_count()
 
 
+def aligned(a: list[str], b: list[str]) -> list[int]:
+    """The positions in ``a`` of one longest common subsequence, ascending."""
+    masks: dict[str, int] = defaultdict(int)
+    for i, w in enumerate(a):
+        masks[w] |= 1 << i
+    full = (1 << len(a)) - 1
+    rows = [full]
+    for w in b:
+        row = rows[-1]
+        u = row & masks.get(w, 0)
+        rows.append(((row + u) | (row - u)) & full)
+    out, i, j = [], len(a), len(b)
+    while i and j:
+        bit = 1 << (i - 1)
+        if rows[j] & bit:
+            i -= 1
+        elif rows[j - 1] & bit:
+            out.append(i - 1)
+            i, j = i - 1, j - 1
+        else:
+            j -= 1
+    return out[::-1]
+
+
 @dataclass
 class TestSet:
     """The items' passages and the automaton's patterns."""
@@ -55,61 +87,65 @@ class TestSet:
     passages: dict[int, list[str]]
     doc_df: dict[str, int] = field(default_factory=dict)  # documents that hold a passage's word
     n_docs: int = 0
+    doc_pairs: dict[tuple[int, str], int] = field(default_factory=dict)  # documents that hold the word beside its neighbour of the item
+    cold: dict[int, set[str]] = field(default_factory=dict)  # in few documents, leaks included
     special: dict[int, set[str]] = field(default_factory=dict)
     pairs: dict[str, list[int]] = field(default_factory=lambda: defaultdict(list))
     share: float = 0.5
     special_share: float = 0.3
+    dense: float = 0.8  # share of words held in the densest half, if it is judged alone
     min_pairs: int = 3
 
     def __post_init__(self):
         df = Counter(w for p in self.passages.values() for w in set(p))
         # Distinctive for an item: words of at most two items, or a hundredth of a large set.
-        rare, rare_docs = max(2, len(self.passages) // 100), max(10, self.n_docs // 100)
+        rare, rare_docs = rare_items(len(self.passages)), max(10, self.n_docs // 100)
         for item, p in self.passages.items():
-            self.special[item] = {w for w in p if df[w] <= rare and self.doc_df.get(w, 0) <= rare_docs}
+            own = {w for w in p if df[w] <= rare}
+            self.cold[item] = {w for w in own if self.doc_df.get(w, 0) <= rare_docs}
+            self.special[item] = {w for w in own if self.doc_df.get(w, 0) - self.doc_pairs.get((item, w), 0) <= rare_docs}
             if len(self.special[item]) < 4:  # a passage of common words only: all its words count
                 self.special[item] = set(p)
-            for a, b in zip(p, p[1:]):
+            for a, b in set(zip(p, p[1:])):
                 if a in self.special[item] or b in self.special[item]:
-                    held = self.pairs[f" {a} {b} "]
-                    if item not in held:
-                        held.append(item)
+                    self.pairs[f" {a} {b} "].append(item)
+
+
+def automaton(patterns: dict[str, tuple]):
+    import ahocorasick
+
+    made = ahocorasick.Automaton()
+    for pattern, value in patterns.items():
+        made.add_word(pattern, value)
+    if patterns:
+        made.make_automaton()
+    return made
 
 
 class Scanner:
     def __init__(self, tests: TestSet):
-        import ahocorasick
-
         self.tests = tests
-        self.automaton = ahocorasick.Automaton()
-        for pattern, items in tests.pairs.items():
-            self.automaton.add_word(pattern, (len(pattern), tuple(items)))
-        if tests.pairs:
-            self.automaton.make_automaton()
+        self.automaton = automaton({pattern: tuple(items) for pattern, items in tests.pairs.items()})
 
     def matches(self, text: str) -> list[tuple[int, float, float, int, int]]:
         """(item, share of words, share of distinctive words, first and last character)."""
         if not self.tests.pairs:
             return []
         flat = f" {_NO_WORD.sub(' ', text.lower())} "
-        places: dict[int, list[int]] = defaultdict(list)
-        for end, (size, items) in self.automaton.iter(flat):
-            for item in items:
-                places[item].append(end - size + 1)
+        hit = {item for _, items in self.automaton.iter(flat) for item in items}
         out = []
-        doc: list[str] | None = None
-        for item, at in places.items():
-            if len(set(at)) < self.tests.min_pairs:
+        doc = flat.split() if hit else []
+        held, spans = set(doc), None
+        where: dict[tuple[str, str], list[int]] = defaultdict(list)
+        for item in hit:
+            passage = self.tests.passages[item]
+            if sum(map(held.__contains__, passage)) < self.tests.share * len(passage):  # no place can hold more
                 continue
-            if doc is None:
-                doc = flat.split()
-                starts, c = [], flat.find(doc[0]) if doc else 0
-                for w in doc:
-                    starts.append(c)
-                    c += len(w) + 1
-                number = {s - 1: i for i, s in enumerate(starts)}
-                spans = None
-            best = self._best(item, sorted({number[a] for a in at if a in number}), doc)
+            if not where:
+                for i, pair in enumerate(zip(doc, doc[1:])):
+                    where[pair].append(i)
+            at = {i for pair in zip(passage, passage[1:]) if pair in where for i in where[pair]}
+            best = self._best(item, sorted(at), doc) if len(at) >= self.tests.min_pairs else None
             if best:
                 if spans is None:
                     spans = [m.span() for m in _WORD.finditer(text)] if len(text.lower()) == len(text) else []
@@ -119,9 +155,8 @@ class Scanner:
         return out
 
     def _best(self, item: int, hits: list[int], doc: list[str]) -> tuple[float, float, int, int] | None:
-        passage, special = self.tests.passages[item], self.tests.special[item]
+        passage = self.tests.passages[item]
         n = len(passage)
-        rare = [w for w in passage if w in special]
         best = None
         clusters, run = [], [hits[0]]
         for h in hits[1:]:
@@ -135,18 +170,39 @@ class Scanner:
             if len(run) < self.tests.min_pairs:
                 continue
             i, j = max(0, run[0] - n // 3), min(len(doc), run[-1] + n // 3 + 2)
-            if j - i > 4 * n:  # several copies in a row: the densest place
-                first = max(run, key=lambda h: sum(h <= x < h + 2 * n for x in run))
-                i, j = max(0, first - n // 3), min(len(doc), first + 2 * n)
-            place = doc[i:j]
-            share = in_order(passage, place) / n
-            if share < self.tests.share:
-                continue
-            held = in_order(rare, [w for w in place if w in special]) / len(rare)
-            if held >= self.tests.special_share and (best is None or share > best[0]):
-                best = (share, held, i, j - 1)
+            # a long run is taken in overlapping parts, each place of a passage's length lies in one
+            for i, j in [(i, j)] if j - i <= 4 * n else [(max(0, h - n // 3), min(len(doc), h + 2 * n)) for h in range(run[0], run[-1] + 1, n)]:
+                place = doc[i:j]
+                if sum(map(set(place).__contains__, passage)) < self.tests.share * n:
+                    continue
+                share = in_order(passage, place) / n
+                if share < self.tests.share or best and share <= best[0]:
+                    continue
+                held = self._special_share(item, place)
+                if held >= self.tests.special_share:
+                    best = (share, held, i, j - 1)
         return best
 
+    def _special_share(self, item: int, place: list[str]) -> float:
+        """Share of distinctive words held: of the passage's, or of those of its densest half if that is more."""
+        tests, passage = self.tests, self.tests.passages[item]
+        cold, special = tests.cold[item], tests.special[item]
+        judge = cold if len(cold) >= 4 else special
+        rare = [w for w in passage if w in judge]
+        held = in_order(rare, [w for w in place if w in judge]) / len(rare)
+        if held >= tests.special_share or special <= cold:
+            return held
+        at = aligned(passage, place)
+        need = math.ceil(tests.share * len(passage))
+        k = min(range(len(at) - need + 1), key=lambda k: at[k + need - 1] - at[k])
+        found, part = set(at), range(at[k], at[k + need - 1] + 1)
+        hot = [i in found for i in part if passage[i] in special]
+        few = [i in found for i in part if passage[i] in cold]
+        # Other names than the passage's are no leak, however much of its phrasing is there.
+        if need < tests.dense * len(part) or len(hot) < 4 or few and sum(few) < tests.special_share * len(few):
+            return held
+        return max(held, sum(hot) / len(hot))
+
 
 def read_items(golden: DataFrame) -> dict[int, list[str]]:
     """item_id -> normalised passage words; the number of items is checked before they are collected."""
@@ -157,25 +213,40 @@ def read_items(golden: DataFrame) -> dict[int, list[str]]:
     return {k: v for k, v in passages.items() if len(v) >= 4}
 
 
-def document_frequencies(documents: DataFrame, vocabulary: set[str]) -> tuple[dict[str, int], int]:
-    """In how many documents each word of the passages stands, and the number of documents.
+def document_frequencies(documents: DataFrame, passages: dict[int, list[str]]) -> tuple[dict[str, int], int, dict[tuple[int, str], int]]:
+    """In how many documents each word of the passages stands, the number of documents, and by item
+    and word in how many documents the word stands next to its neighbour in the passage.
 
-    Tasks send one row per word, so what the driver gets is bounded by the vocabulary.
+    Tasks send a row per word, and per item and word, so what the driver gets is bounded by the passages.
     """
-    shared = documents.sparkSession.sparkContext.broadcast(vocabulary)
+    owners: dict[tuple[str, str], list[tuple[int, str]]] = defaultdict(list)
+    item_df = Counter(w for p in passages.values() for w in set(p))
+    rare = rare_items(len(passages))
+    for item, p in passages.items():
+        for pair in set(zip(p, p[1:])):
+            owners[pair].extend((item, w) for w in set(pair) if item_df[w] <= rare)
+    owners = {f" {a} {b} ": tuple(held) for (a, b), held in owners.items() if held}
+    shared = documents.sparkSession.sparkContext.broadcast((set(item_df), owners))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts, vocab, n = Counter(), shared.value, 0
+        counts, beside, n = Counter(), Counter(), 0
+        vocab, owners = shared.value
+        pairs = automaton(owners)
         for pdf in batches:
             for text in pdf["text"]:
                 n += 1
-                counts.update(vocab.intersection(_WORD.findall(text.lower())))
+                flat = f" {_NO_WORD.sub(' ', text.lower())} "
+                counts.update(vocab.intersection(flat.split()))
+                if owners:
+                    beside.update({key for _, held in pairs.iter(flat) for key in held})
         counts[""] = n
-        yield pd.DataFrame({"word": list(counts), "n": list(counts.values())})
+        rows = [(None, w, k) for w, k in counts.items()] + [(item, w, k) for (item, w), k in beside.items()]
+        yield pd.DataFrame(rows, columns=["item_id", "word", "n"]).astype({"item_id": "Int64"})
 
-    rows = documents.where(F.length("text") > 0).select("text").mapInPandas(run, "word string, n bigint")
-    found = {r["word"]: r["n"] for r in rows.groupBy("word").agg(F.sum("n").alias("n")).collect()}
-    return found, found.pop("", 0)
+    rows = documents.where(F.length("text") > 0).select("text").mapInPandas(run, "item_id bigint, word string, n bigint")
+    totals = rows.groupBy("item_id", "word").agg(F.sum("n").alias("n")).collect()
+    found = {r["word"]: r["n"] for r in totals if r["item_id"] is None}
+    return found, found.pop("", 0), {(r["item_id"], r["word"]): r["n"] for r in totals if r["item_id"] is not None}
 
 
 def leaked_items(documents: DataFrame, golden: DataFrame) -> DataFrame:
@@ -185,8 +256,7 @@ def leaked_items(documents: DataFrame, golden: DataFrame) -> DataFrame:
     lower-casing changes the text's length.
     """
     passages = read_items(golden)
-    frequencies, n_docs = document_frequencies(documents, {w for p in passages.values() for w in p})
-    tests = documents.sparkSession.sparkContext.broadcast(TestSet(passages, frequencies, n_docs))  # bounded by MAX_ITEMS
+    tests = documents.sparkSession.sparkContext.broadcast(TestSet(passages, *document_frequencies(documents, passages)))  # bounded by MAX_ITEMS
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scanner = Scanner(tests.value)
