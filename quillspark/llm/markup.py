@@ -1,11 +1,10 @@
 """Markup residue: which kinds a text holds, and clean text with its structure kept.
 
-Method: texts are lexed into markup tokens. Per space, the tokens with equal occurrence
-vectors over the space's pages form an equivalence class; a class is valid if its tokens
-open and close in nested order wherever they occur, and valid classes form the template of
-the space. Text between a template's tokens are its slots. A token that has no partner to
-share a vector with, such as an entity or a formula, cannot be told by classes; such tokens
-count by the form of a whole construct (see README).
+Method: texts are lexed into markup tokens by a grammar, which gives the kinds of a block.
+Per space, the tokens with equal occurrence vectors over the space's pages form an
+equivalence class; classes that hold an opener with its closer come out as well. The order
+and nesting of tokens is not looked at, no template is built from the classes, no slot is
+taken out, and cleaning does not read them (see README).
 
 Defined results: null and empty texts hold no markup; code spans, list marks, numbering,
 ``>`` marks, pipe tables, ``<br />`` inside a cell and placeholders are no markup; code
