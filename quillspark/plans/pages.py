@@ -199,7 +199,7 @@ def block_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def language_samples(spark: SparkSession, folder: str) -> DataFrame:
-    """Hash of the first 2,000 characters of title, headings and text, what a detector reads."""
+    """Hash of the first 2,000 characters of the section titles, as its SQL states; ``classify.language_sample`` adds page title and text."""
     titles = _sections(spark, folder).groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "section_id", "title"))), lambda x: F.coalesce(x["title"], F.lit(""))), " ").alias("titles"))
     return titles.select("doc_id", F.md5(F.substring("titles", 1, 2000)).alias("sample_hash"), F.length("titles").alias("n_chars"))
 
