@@ -38,7 +38,7 @@ SELECT field_name, term, count(*) AS n_occurrences, count(DISTINCT rec) AS n_rec
 ORACLE = {
     "p3_bigram_frequencies": _BIGRAMS,
     "p5_found": _PAGE_TERMS + "SELECT doc_id, kind, term FROM p WHERE n_pages <= 3 AND tf >= CASE kind WHEN 'word' THEN 4 ELSE 2 END",
-    "p5_term_scores": _PAGE_TERMS + "SELECT doc_id, kind, term, tf, n_pages, round(pd * ln(pd / pc), 9) AS score FROM p WHERE n_pages >= 2",
+    "p5_term_scores": _PAGE_TERMS + "SELECT doc_id, kind, term, tf, n_pages, round(pd * ln(pd / pc), 9) AS score FROM p",
     "p3_found": _SECTION_TERMS + "SELECT field_name, term, mark FROM m WHERE mark IS NOT NULL",
     "p3_term_frequencies": _SECTION_TERMS + "SELECT field_name, term, n_occurrences, n_records, mark FROM m",
 }

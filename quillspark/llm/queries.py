@@ -84,7 +84,7 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p5_term_scores(spark: SparkSession, folder: str) -> DataFrame:
-    terms = distinctive.distinctive_terms(_page_terms(spark, folder), min_pages=2)
+    terms = distinctive.distinctive_terms(_page_terms(spark, folder))
     return terms.withColumn("score", F.round("score", 9))
 
 
