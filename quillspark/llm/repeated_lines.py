@@ -1,10 +1,15 @@
 """Lines repeated across the pages of one space.
 
-Method: every line is parsed into a fixed-depth token tree (space, token count, then
-either its first or its last two tokens), and the tokens of a leaf that are too rare at
-their position become wildcard slots. The leaves are hash aggregates: each task builds
-the tree of its own rows, and the shuffle merges the trees by adding their counters.
-A template that covers enough pages is removed.
+Method: every line is parsed into a fixed-depth token tree (space, then either its first or
+its last two words), and the words that few lines of a leaf hold become wildcard slots: a run
+of one to four such words is one slot, so names of any length meet in one template. The leaves
+are hash aggregates: each task builds the tree of its own rows, and the shuffle merges the
+trees by adding their counters. A template that covers enough pages is removed.
+
+Lines are alike if they differ in a person's name, but not if they differ in a fact. A slot
+holds names if a word that names an agent stands before it ("by", "von", "author"), a verb
+of editing follows it at the line's start, or two or more capitalised words fill it; a template
+counts if its slots are such in half of its pages.
 
 Defined results: null or empty text has no lines; a line of fewer than three words is
 never a case; a null space is a space of its own; copies of a block count once, since
@@ -17,18 +22,31 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.session import checkpointed
+from quillspark.functions.skew import hot_keys
+from quillspark.session import checkpointed, written
 from quillspark.tables import is_prose
 
 #: a tree of up to so many leaves is sent to all tasks; a larger one is joined by a shuffle
 TREE_BROADCAST_ROWS = 100_000
-
-
-def line_tokens(line: Column) -> Column:
-    """Lower-cased words of a line; dates and figures are ``0``, marks and blanks fall away."""
-    s = F.regexp_replace(F.lower(line), r"\d[\d./:,-]*", " 0 ")
+#: a line of no more words is looked at whatever its ends
+SHORT_LINE = 16
+#: parts that the lines of a space with a large share of all lines are split into for such a shuffle
+HOT_PARTS = 32
+# Words that a person's name follows, and words that follow a name at a line's start.
+AGENT_WORDS = [
+    "by", "from", "author", "authors", "editor", "owner", "reviewer", "approver", "contact", "von", "durch", "autor", "autorin", "verfasser", "bearbeiter", "prüfer", "ansprechpartner",
+    "par", "auteur", "autrice", "rédacteur", "relecteur", "da", "di", "autore", "redattore", "revisore", "referente",
+]
+EDIT_WORDS = [
+    "last", "changed", "edited", "updated", "wrote", "created", "modified", "published", "reviewed", "approved", "has", "hat", "änderte", "erstellte", "prüfte", "a", "ha", "modifia", "créa", "modificò", "creò",
+]
+
+
+def line_words(line: Column) -> Column:
+    """The words of a line, parted by blanks; dates and figures are ``0``, marks and further blanks fall away."""
+    s = F.regexp_replace(line, r"\d[\d./:,-]*", " 0 ")
     s = F.trim(F.regexp_replace(s, r"[^\p{L}\p{M}0]+", " "))
-    return F.split(F.regexp_replace(s, r" 0(?: 0)+(?= |$)", " 0"), " ")
+    return F.regexp_replace(s, r" 0(?: 0)+(?= |$)", " 0")
 
 
 def _lines(blocks: DataFrame) -> DataFrame:
@@ -36,76 +54,114 @@ def _lines(blocks: DataFrame) -> DataFrame:
     # The words are made inside the generator, so that no later filter makes them again.
     lines = prose.select(
         "doc_id", "block_id", F.coalesce("space", F.lit("")).alias("space"),
-        F.posexplode(F.transform(F.split("text", "\n"), line_tokens)).alias("line_no", "w"),
+        F.posexplode(F.transform(F.split("text", "\n"), line_words)).alias("line_no", "words"),
     )
-    return lines.withColumn("line_no", (F.col("line_no") + 1).cast("bigint")).where(F.size("w") >= 3)
+    return lines.withColumn("line_no", (F.col("line_no") + 1).cast("bigint")).where(F.col("words").rlike(r"^\S+ \S+ \S"))
 
 
-def _leaves() -> Column:
-    """The two leaves of a line: by its head and by its tail."""
-    n = F.size("w")
-    return F.array(
-        F.xxhash64(F.lit("head"), n, F.slice("w", 1, 2)),
-        F.xxhash64(F.lit("tail"), n, F.slice("w", -2, 2)),
-    )
+def _with_leaves(lines: DataFrame) -> DataFrame:
+    """Adds the two leaves of a line: by its head and by its tail."""
+    low = F.lower("words")
+    return lines.withColumns({
+        "head": F.xxhash64(F.lit("head"), F.substring_index(low, " ", 2)), "tail": F.xxhash64(F.lit("tail"), F.substring_index(low, " ", -2)),
+    })
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """``df``, marked for broadcast only while its counted rows stay under the bound."""
-    return F.broadcast(df) if df.limit(TREE_BROADCAST_ROWS + 1).count() <= TREE_BROADCAST_ROWS else df
+class _Tree:
+    """Joins lines with what is known of their space: by broadcast while its counted rows are few, else by a
+    shuffle in which the lines of hot spaces are split by page."""
 
+    def __init__(self, lines: DataFrame):
+        self.lines, self.hot = lines, None
 
-def repeated_lines(blocks: DataFrame, min_pages: int = 3, min_share: float = 0.2, max_slots: int = 2) -> DataFrame:
-    """(doc_id, block_id, line_no, template, n_pages) of every line of a template that is
-    found in at least ``min_pages`` distinct pages and ``min_share`` of the pages of its space.
+    def __call__(self, lines: DataFrame, side: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+        if side.limit(TREE_BROADCAST_ROWS + 1).count() <= TREE_BROADCAST_ROWS:
+            return lines.join(F.broadcast(side), on, how)
+        if self.hot is None:
+            self.hot = hot_keys(self.lines.select("space"), "space")
+        if not self.hot:
+            return lines.join(side, on, how)
+        hot = F.col("space").isin(self.hot)
+        lines = lines.withColumn("_part", F.when(hot, F.pmod(F.xxhash64("doc_id"), F.lit(HOT_PARTS)).cast("int")).otherwise(0))
+        every = F.array(*[F.lit(i) for i in range(HOT_PARTS)])
+        side = side.withColumn("_part", F.explode(F.when(hot, every).otherwise(F.array(F.lit(0)))))
+        return lines.join(side, [*on, "_part"], how).drop("_part")
 
-    ``max_slots``: how many wildcard slots a template may have besides figures and dates.
-    """
+
+def _ends() -> Column:
+    """Whether a line of long prose may end a template: each end is a frequent leaf, or a name may stand there."""
+    low, head, tail = F.lower("words"), F.col("head_lines").isNotNull(), F.col("tail_lines").isNotNull()
+    name_ends = low.rlike(rf"(?<![^ ])(?:{'|'.join(AGENT_WORDS)})(?: \S+){{1,6}}$")
+    name_leads = low.rlike(rf"^(?:\S+ ){{1,5}}(?:{'|'.join(EDIT_WORDS)})(?![^ ])")
+    return (head & tail) | ((head | tail) & (F.size(F.split("words", " ")) <= SHORT_LINE)) | (head & name_ends) | (tail & name_leads)
+
+
+def _masked(kept: str) -> Column:
+    """The line with ``*`` for each word outside ``kept``."""
+    return F.array_join(F.transform(F.split(F.lower("words"), " "), lambda w: F.when(F.array_contains(F.col(kept), w), w).otherwise(F.lit("*"))), " ")
+
+
+def _names_only() -> Column:
+    """Whether each slot of ``m`` holds a person's name, as far as its surroundings tell; true without slots."""
+    words, low = F.split("words", " "), F.lower("words")
+    mixed = (F.col("words") != low) & (F.col("words") != F.upper("words"))  # case says nothing in lines of one case
+    capital = F.transform(F.split("m", " "), lambda t, i: F.when((t == "*") & mixed & F.get(words, i).rlike(r"^\p{Lu}"), F.lit("^")).otherwise(t))
+    run = r"[*^](?: [*^]){0,3}(?![^ ])"
+    left = F.regexp_replace(F.array_join(capital, " "), rf"(?<![^ ])({'|'.join(AGENT_WORDS)}) {run}", "$1")
+    left = F.regexp_replace(left, rf"^{run} (?=(?:{'|'.join(EDIT_WORDS)})(?![^ ]))", "")
+    left = F.regexp_replace(left, r"(?<![^ ])(?<![*^] )\^(?: \^){1,3}(?![^ ])", "")
+    return ~left.rlike(r"[*^]")
+
+
+def repeated_lines(blocks: DataFrame, min_pages: int = 3, min_share: float = 0.2) -> DataFrame:
+    """(doc_id, block_id, line_no, template, n_pages) of every line of a template that is
+    found in at least ``min_pages`` distinct pages and ``min_share`` of the pages of its space."""
     pages = (
         blocks.select(F.coalesce("space", F.lit("")).alias("space"), "doc_id").distinct()
         .groupBy("space").agg(F.greatest(F.lit(min_pages), F.ceil(F.count("*") * F.lit(min_share) - 1e-9)).cast("bigint").alias("need"))
     )
-    pages = _small(checkpointed(pages))
-    lines = _lines(blocks)
+    lines = written(_lines(blocks))
+    joined = _Tree(lines)
 
     # A leaf with fewer lines than the pages needed can hold no template, so the cut is exact.
-    leaves = (
-        lines.select("space", F.explode(_leaves()).alias("leaf"))
-        .groupBy("space", "leaf").agg(F.count("*").alias("n_lines"))
-        .join(pages, "space").where("n_lines >= need").select("space", "leaf", "n_lines", "need")
-    )
-    leaves = _small(checkpointed(leaves))
-    kept = lines.withColumn("leaf", F.explode(_leaves())).join(leaves, ["space", "leaf"])
-    kept = checkpointed(kept)
-
-    # Tokens that stay at their position: frequent enough to be in a template of their own (strict),
-    # and of these the ones that most lines of the leaf share (loose), for a name that is frequent itself.
+    lines = _with_leaves(lines)
+    counted = lines.select("space", F.explode(F.array("head", "tail")).alias("leaf")).groupBy("space", "leaf").agg(F.count("*").alias("n_lines"))
+    counted = counted.where(F.col("n_lines") >= min_pages)
+    leaves = checkpointed(counted.join(pages, "space").where("n_lines >= need").select("space", "leaf", "n_lines", "need"))
+    for end in ("head", "tail"):
+        side = leaves.select("space", F.col("leaf").alias(end), F.col("n_lines").alias(f"{end}_lines"), F.col("need").alias(f"{end}_need"))
+        lines = joined(lines, side, ["space", end], "left")
+    each = F.array(*[F.struct(F.col(end).alias("leaf"), F.col(f"{end}_lines").alias("n_lines"), F.col(f"{end}_need").alias("need")) for end in ("head", "tail")])
+    kept = written(lines.where(_ends()).select("doc_id", "block_id", "space", "line_no", "words", F.inline(each)).where("n_lines is not null"))
+
+    # Words that stay: held by enough lines to be in a template of their own (strict), and of these
+    # the ones that most lines of the leaf share (loose), for a name that is frequent itself.
     slots = (
-        kept.select("space", "leaf", "need", "n_lines", F.posexplode("w").alias("pos", "tok"))
-        .groupBy("space", "leaf", "need", "n_lines", "pos", "tok").agg(F.count("*").alias("n"))
+        kept.select("space", "leaf", "need", "n_lines", F.explode(F.array_distinct(F.split(F.lower("words"), " "))).alias("tok"))
+        .groupBy("space", "leaf", "need", "n_lines", "tok").agg(F.count("*").alias("n"))
         .where("n >= need")
         .groupBy("space", "leaf").agg(
-            F.collect_set(F.struct("pos", "tok")).alias("strict"),
-            F.collect_set(F.when(F.col("n") >= 0.5 * F.col("n_lines"), F.struct("pos", "tok"))).alias("loose"),
+            F.collect_set("tok").alias("strict"),
+            F.collect_set(F.when(F.col("n") >= 0.5 * F.col("n_lines"), F.col("tok"))).alias("loose"),
         )
     )
-    slots = _small(checkpointed(slots))
-
-    def mask(kind: str) -> Column:
-        return F.transform("w", lambda t, i: F.when(F.array_contains(F.col(kind), F.struct(i.alias("pos"), t.alias("tok"))), t).otherwise(F.lit("*")))
-
-    masked = kept.join(slots, ["space", "leaf"]).select(
-        "doc_id", "block_id", "space", "line_no", "need", F.size("w").alias("n_words"),
-        F.explode(F.array_distinct(F.array(mask("strict"), mask("loose")))).alias("t"),
+    masked = joined(kept, checkpointed(slots), ["space", "leaf"]).select(
+        "doc_id", "block_id", "space", "line_no", "need", "words", F.explode(F.array_distinct(F.array(_masked("strict"), _masked("loose")))).alias("m"),
     )
-    n_slots = F.size(F.filter("t", lambda t: t == "*"))
-    masked = masked.where((n_slots <= max_slots) & (F.col("n_words") - n_slots >= 3)).withColumn("template", F.array_join("t", " ")).drop("t")
+    fixed = F.size(F.filter(F.split("m", " "), lambda t: t != "*"))
+    masked = written(masked.where((fixed >= 3) & ~F.col("m").contains("* * * * *")).withColumn("template", F.regexp_replace("m", r"\*(?: \*)+", "*")))
     covering = (
-        masked.select("space", "template", "doc_id", "need").distinct()
-        .groupBy("space", "template").agg(F.count("*").alias("n_pages"), F.first("need").alias("need"))
-        .where("n_pages >= need").drop("need")
+        masked.groupBy("space", "template", "doc_id").agg(F.max("need").alias("need"))
+        .groupBy("space", "template").agg(F.count("*").alias("n_pages"), F.max("need").alias("need"))
+        .where("n_pages >= need").select("space", "template", "n_pages")
+    )
+    found = joined(masked.drop("need"), checkpointed(covering), ["space", "template"]).withColumn("named", _names_only())
+    found = written(found.select("doc_id", "block_id", "space", "line_no", "template", "n_pages", "named"))
+    named = (
+        found.groupBy("space", "template", "doc_id").agg(F.max(F.col("named").cast("int")).alias("named"))
+        .groupBy("space", "template").agg(F.avg("named").alias("share")).where("share >= 0.5").select("space", "template")
     )
-    found = masked.drop("need").join(_small(checkpointed(covering)), ["space", "template"])
+    found = joined(found, checkpointed(named), ["space", "template"])
     return found.groupBy("doc_id", "block_id", "line_no").agg(F.max(F.struct("n_pages", "template")).alias("m")).select(
         "doc_id", "block_id", "line_no", F.col("m.template").alias("template"), F.col("m.n_pages").alias("n_pages")
     )
