@@ -124,7 +124,7 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def p8_leaks(spark: SparkSession, folder: str) -> DataFrame:
     rows = leaks.leaked_items(table(spark, folder, "documents"), table(spark, folder, "golden_items"))
-    return rows.withColumns({c: F.round(c, 6) for c in ("share", "special_share")})
+    return rows.withColumns({c: F.round(c, 6) for c in ("share", "special_share", "question_share")})
 
 
 def p9_pieces(spark: SparkSession, folder: str) -> DataFrame:
