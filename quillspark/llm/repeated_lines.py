@@ -1,7 +1,8 @@
 """Lines repeated across the pages of one space.
 
-Method: every line is parsed into a fixed-depth token tree (space, then either its first or
-its last two words), and the words that few lines of a leaf hold become wildcard slots: a run
+Method: every line is parsed into a fixed-depth token tree (space, then its outer words: the first
+two and the last, the first and the last two, and an open end where a name may stand),
+and the words that few lines of a leaf hold become wildcard slots: a run
 of one to four such words is one slot, so names of any length meet in one template. The leaves
 are hash aggregates: each task builds the tree of its own rows, and the shuffle merges the
 trees by adding their counters. A template that covers enough pages is removed.
@@ -28,8 +29,6 @@ from quillspark.tables import is_prose
 
 #: a tree of up to so many leaves is sent to all tasks; a larger one is joined by a shuffle
 TREE_BROADCAST_ROWS = 100_000
-#: a line of no more words is looked at whatever its ends
-SHORT_LINE = 16
 #: parts that the lines of a space with a large share of all lines are split into for such a shuffle
 HOT_PARTS = 32
 # Words that a person's name follows, and words that follow a name at a line's start.
@@ -59,12 +58,16 @@ def _lines(blocks: DataFrame) -> DataFrame:
     return lines.withColumn("line_no", (F.col("line_no") + 1).cast("bigint")).where(F.col("words").rlike(r"^\S+ \S+ \S"))
 
 
-def _with_leaves(lines: DataFrame) -> DataFrame:
-    """Adds the two leaves of a line: by its head and by its tail."""
+def _leaves() -> Column:
+    """The leaves of a line by its outer words. An end that a name may stand at is left open in a leaf of its own."""
     low = F.lower("words")
-    return lines.withColumns({
-        "head": F.xxhash64(F.lit("head"), F.substring_index(low, " ", 2)), "tail": F.xxhash64(F.lit("tail"), F.substring_index(low, " ", -2)),
-    })
+    one, two, last, last_two = F.substring_index(low, " ", 1), F.substring_index(low, " ", 2), F.substring_index(low, " ", -1), F.substring_index(low, " ", -2)
+    name_ends = low.rlike(rf"(?<![^ ])(?:{'|'.join(AGENT_WORDS)})(?: \S+){{1,5}}$") | F.col("words").rlike(r" \p{Lu}\S* \p{Lu}\S*$")
+    name_leads = low.rlike(rf"^(?:\S+ ){{1,4}}(?:{'|'.join(EDIT_WORDS)})(?![^ ])") | F.col("words").rlike(r"^\p{Lu}\S* \p{Lu}\S* ")
+    return F.array_compact(F.array(
+        F.xxhash64(F.lit("head"), two, last), F.xxhash64(F.lit("tail"), one, last_two),
+        F.when(name_ends, F.xxhash64(F.lit("head"), two, F.lit("*"))), F.when(name_leads, F.xxhash64(F.lit("tail"), F.lit("*"), last_two)),
+    ))
 
 
 class _Tree:
@@ -74,26 +77,18 @@ class _Tree:
     def __init__(self, lines: DataFrame):
         self.lines, self.hot = lines, None
 
-    def __call__(self, lines: DataFrame, side: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    def __call__(self, lines: DataFrame, side: DataFrame, on: list[str]) -> DataFrame:
         if side.limit(TREE_BROADCAST_ROWS + 1).count() <= TREE_BROADCAST_ROWS:
-            return lines.join(F.broadcast(side), on, how)
+            return lines.join(F.broadcast(side), on)
         if self.hot is None:
             self.hot = hot_keys(self.lines.select("space"), "space")
         if not self.hot:
-            return lines.join(side, on, how)
+            return lines.join(side, on)
         hot = F.col("space").isin(self.hot)
         lines = lines.withColumn("_part", F.when(hot, F.pmod(F.xxhash64("doc_id"), F.lit(HOT_PARTS)).cast("int")).otherwise(0))
         every = F.array(*[F.lit(i) for i in range(HOT_PARTS)])
         side = side.withColumn("_part", F.explode(F.when(hot, every).otherwise(F.array(F.lit(0)))))
-        return lines.join(side, [*on, "_part"], how).drop("_part")
-
-
-def _ends() -> Column:
-    """Whether a line of long prose may end a template: each end is a frequent leaf, or a name may stand there."""
-    low, head, tail = F.lower("words"), F.col("head_lines").isNotNull(), F.col("tail_lines").isNotNull()
-    name_ends = low.rlike(rf"(?<![^ ])(?:{'|'.join(AGENT_WORDS)})(?: \S+){{1,6}}$")
-    name_leads = low.rlike(rf"^(?:\S+ ){{1,5}}(?:{'|'.join(EDIT_WORDS)})(?![^ ])")
-    return (head & tail) | ((head | tail) & (F.size(F.split("words", " ")) <= SHORT_LINE)) | (head & name_ends) | (tail & name_leads)
+        return lines.join(side, [*on, "_part"]).drop("_part")
 
 
 def _masked(kept: str) -> Column:
@@ -124,15 +119,10 @@ def repeated_lines(blocks: DataFrame, min_pages: int = 3, min_share: float = 0.2
     joined = _Tree(lines)
 
     # A leaf with fewer lines than the pages needed can hold no template, so the cut is exact.
-    lines = _with_leaves(lines)
-    counted = lines.select("space", F.explode(F.array("head", "tail")).alias("leaf")).groupBy("space", "leaf").agg(F.count("*").alias("n_lines"))
-    counted = counted.where(F.col("n_lines") >= min_pages)
+    lines = lines.withColumn("leaf", F.explode(_leaves()))
+    counted = lines.groupBy("space", "leaf").agg(F.count("*").alias("n_lines")).where(F.col("n_lines") >= min_pages)
     leaves = checkpointed(counted.join(pages, "space").where("n_lines >= need").select("space", "leaf", "n_lines", "need"))
-    for end in ("head", "tail"):
-        side = leaves.select("space", F.col("leaf").alias(end), F.col("n_lines").alias(f"{end}_lines"), F.col("need").alias(f"{end}_need"))
-        lines = joined(lines, side, ["space", end], "left")
-    each = F.array(*[F.struct(F.col(end).alias("leaf"), F.col(f"{end}_lines").alias("n_lines"), F.col(f"{end}_need").alias("need")) for end in ("head", "tail")])
-    kept = written(lines.where(_ends()).select("doc_id", "block_id", "space", "line_no", "words", F.inline(each)).where("n_lines is not null"))
+    kept = written(joined(lines, leaves, ["space", "leaf"]))
 
     # Words that stay: held by enough lines to be in a template of their own (strict), and of these
     # the ones that most lines of the leaf share (loose), for a name that is frequent itself.
