@@ -35,7 +35,17 @@ g AS (SELECT rec, field_name, unnest(list_transform(v[1:len(v) - 1], lambda x, i
 SELECT field_name, term, count(*) AS n_occurrences, count(DISTINCT rec) AS n_records FROM g GROUP BY ALL
 """
 
+_NGRAMS = """
+WITH s AS (SELECT DISTINCT doc_id, section_id, entities, tags FROM sections),
+r AS (SELECT row_number() OVER () AS rec, field_name, list_filter(list_transform(list_filter(vals, lambda x: x IS NOT NULL), lambda x: trim(regexp_replace(lower(x), '\\s+', ' ', 'g'))), lambda x: x <> '') AS v
+      FROM (SELECT 'entities' AS field_name, entities AS vals FROM s UNION ALL SELECT 'tags', tags FROM s)),
+i AS (SELECT rec, field_name, v, unnest(range(1, len(v) + 1)) AS a FROM r WHERE len(v) > 0),
+g AS (SELECT rec, field_name, v, a, unnest(range(1, len(v) - a + 2)) AS n FROM i)
+SELECT field_name, n::INTEGER AS n, array_to_string(v[a:a + n - 1], '␟') AS term, count(*) AS n_occurrences, count(DISTINCT rec) AS n_records FROM g GROUP BY ALL
+"""
+
 ORACLE = {
+    "p3_ngram_frequencies": _NGRAMS,
     "p3_bigram_frequencies": _BIGRAMS,
     "p5_found": _PAGE_TERMS + "SELECT doc_id, kind, term FROM p WHERE n_pages <= 3 AND tf >= CASE kind WHEN 'word' THEN 4 ELSE 2 END",
     "p5_term_scores": _PAGE_TERMS + "SELECT doc_id, kind, term, tf, n_pages, round(pd * ln(pd / pc), 9) AS score FROM p",

@@ -38,7 +38,7 @@ def p2_residue_by_kind(spark: SparkSession, folder: str) -> DataFrame:
     return found.groupBy("rec_kind", "residue").agg(F.count("*").alias("n"))
 
 
-def _section_terms(spark: SparkSession, folder: str, max_n: int) -> tuple[DataFrame, int]:
+def _section_terms(spark: SparkSession, folder: str, max_n: int | None) -> tuple[DataFrame, int]:
     sections = distinct_sections(table(spark, folder, "sections"), "doc_id", "section_id", "entities", "tags")
     total = table(spark, folder, "sections").select("doc_id", "section_id").distinct().count()
     return term_counts.term_frequencies(sections, ["entities", "tags"], max_n), total
@@ -59,6 +59,12 @@ def p3_bigram_frequencies(spark: SparkSession, folder: str) -> DataFrame:
     return freq.where("n = 2").drop("n")
 
 
+def p3_ngram_frequencies(spark: SparkSession, folder: str) -> DataFrame:
+    """Every run of values of a record, of every length."""
+    freq, _ = _section_terms(spark, folder, None)
+    return freq
+
+
 def _language_rows(spark: SparkSession, folder: str) -> DataFrame:
     return language.language_rows(table(spark, folder, "blocks"), table(spark, folder, "pipeline_config"), table(spark, folder, "documents"))
 
@@ -145,6 +151,7 @@ QUERIES = {
     "p3_found": p3_found,
     "p3_term_frequencies": p3_term_frequencies,
     "p3_bigram_frequencies": p3_bigram_frequencies,
+    "p3_ngram_frequencies": p3_ngram_frequencies,
     "p4_found": p4_found,
     "p4_languages": p4_languages,
     "p5_found": p5_found,

@@ -1,9 +1,10 @@
 """Frequency of every distinct value or n-gram of values.
 
-Method: each task builds a suffix array with common-prefix lengths over the value
-sequences of its records. A common-prefix interval of depth n is one n-gram: its length
-counts the occurrences, and taking off the adjacent entries of one record counts the
-records. A record lies in one task, so the counts of the tasks simply add up, and a value
+Method: each task builds a suffix array over the value sequences of its records, by prefix doubling to
+the full length of every record, with the common-prefix lengths of neighbouring suffixes. A
+common-prefix interval of depth n is one n-gram: its length counts the occurrences, and taking off
+the adjacent entries of one record counts the records. The one array gives n-grams of all lengths.
+A record lies in one task, so the counts of the tasks simply add up, and a value
 in a third of all rows is one row per task before the shuffle.
 
 Defined results: null arrays, null values and blank values hold no term; values are
@@ -35,38 +36,61 @@ def norm_terms(values: Column) -> Column:
     return F.filter(clean, lambda t: t.isNotNull() & (t != ""))
 
 
-def suffix_counts(tokens: np.ndarray, records: np.ndarray, max_n: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For n = 1 .. max_n: the n-grams (rows of token ids), their occurrences and their records.
+def suffix_array(tokens: np.ndarray, records: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, lcp): the suffixes sorted to the end of their record, and how many values each shares with the one before it.
+
+    A round ranks all suffixes by twice as many values as the last. The ranks of the rounds tell
+    the common prefixes: the longest equal powers of two add up to them, from the largest down.
+    """
+    size = len(tokens)
+    if not size:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    ends = np.searchsorted(records, records, side="right")  # where each suffix's record ends
+    longest = int((ends - np.arange(size)).max())
+    rank = np.unique(tokens, return_inverse=True)[1].astype(np.int64) + 1  # 0 is past a record's end
+    rounds, width = [rank], 1
+    while width < longest:
+        at = np.arange(size) + width
+        second = np.where(at < ends, rank[np.minimum(at, size - 1)], 0)
+        rank = np.unique(rank * (size + 2) + second, return_inverse=True)[1].astype(np.int64) + 1
+        rounds.append(rank)
+        width *= 2
+    order = np.argsort(rank, kind="stable")
+    a, b = order[:-1].copy(), order[1:].copy()
+    lcp = np.zeros(size - 1, dtype=np.int64)
+    for k in range(len(rounds) - 1, -1, -1):
+        inside = (a + (1 << k) <= ends[order[:-1]]) & (b + (1 << k) <= ends[order[1:]])
+        same = inside & (rounds[k][np.minimum(a, size - 1)] == rounds[k][np.minimum(b, size - 1)])
+        step = same.astype(np.int64) << k
+        a, b, lcp = a + step, b + step, lcp + step
+    return order, np.concatenate(([0], lcp))
+
+
+def suffix_counts(tokens: np.ndarray, records: np.ndarray, max_n: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For n = 1, 2, .. (to ``max_n``, else to the longest record): the n-grams (rows of token ids), their occurrences and their records.
 
     ``tokens``: ids of all values in order; ``records``: the record of each, not decreasing.
     """
     size = len(tokens)
     if not size:
         return
-    # Past the end of a record a suffix holds -1, so no n-gram crosses records.
-    ahead = np.full((max_n, size), -1, dtype=np.int64)
-    for k in range(max_n):
-        same = records[k:] == records[: size - k]
-        ahead[k, : size - k] = np.where(same, tokens[k:], -1)
-    order = np.lexsort(ahead[::-1])  # the suffix array, to the depth that is asked for
-    by = ahead[:, order]
-    differs = by[:, 1:] != by[:, :-1]
-    lcp = np.where(differs.any(axis=0), differs.argmax(axis=0), max_n)
+    order, lcp = suffix_array(tokens, records)
+    length = np.searchsorted(records, records, side="right") - np.arange(size)
     rec = records[order]
-    for n in range(1, max_n + 1):
-        interval = np.concatenate(([0], np.cumsum(lcp < n)))
-        full = by[n - 1] >= 0
-        starts = np.flatnonzero(np.concatenate(([True], lcp < n)))
+    for n in range(1, int(length.max()) + 1 if max_n is None else min(max_n, int(length.max())) + 1):
+        begins = lcp < n
+        starts = np.flatnonzero(begins)
+        interval = np.cumsum(begins) - 1
         occurrences = np.bincount(interval, minlength=len(starts))
         inner = np.lexsort((rec, interval))
         r, i = rec[inner], interval[inner]
         twice = (r[1:] == r[:-1]) & (i[1:] == i[:-1])
         in_records = occurrences - np.bincount(i[1:][twice], minlength=len(starts))
-        ok = full[starts]
-        yield by[:n, starts[ok]].T, occurrences[ok], in_records[ok]
+        ok = length[order[starts]] >= n  # shorter suffixes hold no n-gram
+        yield tokens[order[starts[ok]][:, None] + np.arange(n)], occurrences[ok], in_records[ok]
 
 
-def _count_batches(batches: Iterator[pd.DataFrame], max_n: int) -> Iterator[pd.DataFrame]:
+def _count_batches(batches: Iterator[pd.DataFrame], max_n: int | None) -> Iterator[pd.DataFrame]:
     def counted(rows: list[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(rows, ignore_index=True)
         for field, part in pdf.groupby("field_name", sort=False):
@@ -92,8 +116,8 @@ def _count_batches(batches: Iterator[pd.DataFrame], max_n: int) -> Iterator[pd.D
         yield from counted(held)
 
 
-def term_frequencies(records: DataFrame, fields: list[str], max_n: int = 1) -> DataFrame:
-    """(field_name, n, term, n_occurrences, n_records) of every n-gram up to ``max_n``.
+def term_frequencies(records: DataFrame, fields: list[str], max_n: int | None = 1) -> DataFrame:
+    """(field_name, n, term, n_occurrences, n_records) of every n-gram up to ``max_n`` values, of every length where it is None.
 
     ``records`` has one row per record; ``fields`` are array columns. The values of an
     n-gram are joined by ``GLUE``.

@@ -81,14 +81,14 @@ def test_residue_records(spark):
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.lists(st.lists(st.integers(0, 4), max_size=7), max_size=8), st.integers(1, 3))
+@given(st.lists(st.lists(st.integers(0, 4), max_size=7), max_size=8), st.sampled_from([1, 2, 3, None]))
 def test_suffix_array_counts(records, max_n):
     toks = np.array([t for r in records for t in r], dtype=np.int64)
     rec = np.repeat(np.arange(len(records)), [len(r) for r in records]) if records else np.array([], dtype=np.int64)
     got = {tuple(g): (int(o), int(c)) for grams, occ, cnt in term_counts.suffix_counts(toks, rec, max_n) for g, o, c in zip(grams.tolist(), occ, cnt)}
     occ, cnt = Counter(), defaultdict(set)
     for i, r in enumerate(records):
-        for n in range(1, max_n + 1):
+        for n in range(1, (max_n or 9) + 1):
             for j in range(len(r) - n + 1):
                 occ[tuple(r[j : j + n])] += 1
                 cnt[tuple(r[j : j + n])].add(i)
