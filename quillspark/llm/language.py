@@ -49,6 +49,8 @@ TRAIN_CHARS = 20_000
 MIN_WORDS = 8
 #: bytes before a byte that its code length depends on, six at most
 ORDER = 4
+#: those of the model that puts labels right
+FIRST_ORDER = 2
 # Common words, so that text unlike the training text is not judged by rare contexts alone.
 COMMON_WORDS = {
     "en": "the of and to in is that for it as was with be by on not he this are or his from at which but have an had they you were their one all we can her has there been if more when will would who so no out up into than them only other new some could time these two may then do first any my now such like our over man me even most made after also did many before must through back years where much your way well down should because each just those people how too little state good very make world still own see men work long get here between both life being under never day same another know while last might us great old year off come since against go came right used",
@@ -353,8 +355,9 @@ def training_texts(documents: DataFrame, blocks: DataFrame | None = None, config
 
 
 def train_twice(texts: dict[str, list[str]]) -> ContextTrees:
-    """The second time each text counts for the language that the first model gives it."""
-    first = train(texts)
+    """The second time each text counts for the language that the first model gives it. The first model's trees are
+    shallow, so that a text under a wrong label does not find itself learnt by heart."""
+    first = train(texts, FIRST_ORDER)
     every = [p for v in texts.values() for p in v]
     best = first.code_lengths(every).argmin(axis=1)
     return train({k: [p for p, b in zip(every, best) if first.languages[b] == k] or texts[k] for k in first.languages})
