@@ -55,15 +55,17 @@ def _lines(blocks: DataFrame) -> DataFrame:
         "doc_id", "block_id", F.coalesce("space", F.lit("")).alias("space"),
         F.posexplode(F.transform(F.split("text", "\n"), line_words)).alias("line_no", "words"),
     )
-    return lines.withColumn("line_no", (F.col("line_no") + 1).cast("bigint")).where(F.col("words").rlike(r"^\S+ \S+ \S"))
+    lines = lines.withColumn("line_no", (F.col("line_no") + 1).cast("bigint")).where(F.substring_index("words", " ", 2) != F.col("words"))
+    return lines.withColumn("leaves", _leaves())
 
 
 def _leaves() -> Column:
     """The leaves of a line by its outer words. An end that a name may stand at is left open in a leaf of its own."""
     low = F.lower("words")
     one, two, last, last_two = F.substring_index(low, " ", 1), F.substring_index(low, " ", 2), F.substring_index(low, " ", -1), F.substring_index(low, " ", -2)
-    name_ends = low.rlike(rf"(?<![^ ])(?:{'|'.join(AGENT_WORDS)})(?: \S+){{1,5}}$") | F.col("words").rlike(r" \p{Lu}\S* \p{Lu}\S*$")
-    name_leads = low.rlike(rf"^(?:\S+ ){{1,4}}(?:{'|'.join(EDIT_WORDS)})(?![^ ])") | F.col("words").rlike(r"^\p{Lu}\S* \p{Lu}\S* ")
+    agents, edits = F.array(*map(F.lit, AGENT_WORDS)), F.array(*map(F.lit, EDIT_WORDS))
+    name_ends = F.arrays_overlap(F.split(F.substring_index(low, " ", -6), " "), agents) | F.substring_index("words", " ", -2).rlike(r"^\p{Lu}\S* \p{Lu}")
+    name_leads = F.arrays_overlap(F.split(F.substring_index(low, " ", 5), " "), edits) | F.substring_index("words", " ", 2).rlike(r"^\p{Lu}\S* \p{Lu}")
     return F.array_compact(F.array(
         F.xxhash64(F.lit("head"), two, last), F.xxhash64(F.lit("tail"), one, last_two),
         F.when(name_ends, F.xxhash64(F.lit("head"), two, F.lit("*"))), F.when(name_leads, F.xxhash64(F.lit("tail"), F.lit("*"), last_two)),
@@ -119,7 +121,7 @@ def repeated_lines(blocks: DataFrame, min_pages: int = 3, min_share: float = 0.2
     joined = _Tree(lines)
 
     # A leaf with fewer lines than the pages needed can hold no template, so the cut is exact.
-    lines = lines.withColumn("leaf", F.explode(_leaves()))
+    lines = lines.withColumn("leaf", F.explode("leaves")).drop("leaves")
     counted = lines.groupBy("space", "leaf").agg(F.count("*").alias("n_lines")).where(F.col("n_lines") >= min_pages)
     leaves = checkpointed(counted.join(pages, "space").where("n_lines >= need").select("space", "leaf", "n_lines", "need"))
     kept = written(joined(lines, leaves, ["space", "leaf"]))
@@ -136,7 +138,7 @@ def repeated_lines(blocks: DataFrame, min_pages: int = 3, min_share: float = 0.2
         )
     )
     masked = joined(kept, checkpointed(slots), ["space", "leaf"]).select(
-        "doc_id", "block_id", "space", "line_no", "need", "words", F.explode(F.array_distinct(F.array(_masked("strict"), _masked("loose")))).alias("m"),
+        "doc_id", "block_id", "space", "line_no", "need", "words", F.explode(F.array_compact(F.array(_masked("strict"), F.when(F.size("loose") < F.size("strict"), _masked("loose"))))).alias("m"),
     )
     fixed = F.size(F.filter(F.split("m", " "), lambda t: t != "*"))
     masked = written(masked.where((fixed >= 3) & ~F.col("m").contains("* * * * *")).withColumn("template", F.regexp_replace("m", r"\*(?: \*)+", "*")))

@@ -4,10 +4,12 @@ Method: the labelled exemplars below stand in an inverted index. A text that hol
 rarest terms of an exemplar is cut into passage windows (lines, sentences, table cells,
 bracketed spans), and each window is held against the retrieved exemplars by TF-IDF
 containment in both directions: how much of the exemplar the window holds, and how much
-of the window the exemplar covers. Text that only speaks of an error page covers little.
+of the window the exemplar covers. Text that only speaks of an error page covers little. A sentence
+of its own that the exemplars of one category cover together, one of them by half, counts as well, so
+that messages in other words are found. Written forms such as ``{{x}}`` are exemplars with a slot.
 
-Defined results: null and empty texts are no residue; code spans in backticks are blanked
-first; whole texts are read, however long; further columns are carried along.
+Defined results: null and empty texts are no residue; code spans in backticks and names of
+environment variables are blanked first; whole texts are read, however long; further columns are carried along.
 """
 
 from __future__ import annotations
@@ -36,11 +38,23 @@ EXEMPLARS: dict[str, list[str]] = {
         "«service»", "«Dienst»", "«servizio»", "«service name»", "{SERVICE}", "{DIENST}", "{SERVIZIO}", "{SERVICE_NAME}",
         "Untitled section", "Untitled", "Ohne Titel", "Sans titre", "Senza titolo", "Insert title here", "Überschrift einsetzen", "Titel einsetzen", "Insérer le titre ici", "Insérer un titre", "Inserire il titolo", "Inserire qui il titolo",
         "<Heading>", "<Title>", "<Überschrift>", "<Titel>", "<Titre>", "<Titolo>", "[Section title]", "[Abschnittstitel]", "[Titre de la section]", "[Titolo della sezione]", "[Heading]", "[Title]",
+        "{{*}}", "${*}", "%*%", "@@*@@",
+        "[PLACEHOLDER]", "Placeholder", "Placeholder text", "Your text here", "Enter text here", "Insert text here", "Add your text here", "Text goes here", "Title goes here", "Type here", "Coming soon", "Under construction",
+        "This page is under construction.", "Content to follow", "To be determined", "To be defined", "To be announced", "TBA", "FIXME", "FIXME: *", "Fill in *", "<to be completed>", "[to be filled in]",
+        "Platzhalter", "Platzhaltertext", "[Platzhalter]", "Hier Text einfügen", "Text hier einfügen", "Titel hier einfügen", "Inhalt folgt", "Folgt in Kürze", "Noch zu ergänzen", "Diese Seite ist im Aufbau.",
+        "Texte à insérer", "Insérer votre texte ici", "Votre texte ici", "À venir", "À définir", "Bientôt disponible", "Page en construction", "Espace réservé",
+        "Segnaposto", "Testo segnaposto", "Inserire il testo qui", "Il tuo testo qui", "Da definire", "Prossimamente", "Disponibile a breve", "Pagina in costruzione",
+        "Marcador de posición", "Próximamente", "Por completar", "Insertar texto aquí", "Su texto aquí", "Sin título",
         "New page (copy of template)", "Neue Seite (Kopie der Vorlage)", "Nouvelle page (copie du modèle)", "Nuova pagina (copia del modello)", "copy of template",
     ],
     "guidance": [
         "Describe * here.", "[Describe * here.", "Delete this text before publishing.", "Hier * beschreiben.", "[Hier * beschreiben.", "Diesen Text vor der Freigabe löschen.",
         "Décrire ici *", "[Décrire ici *", "Supprimer ce texte avant publication.", "Descrivere qui *", "[Descrivere qui *", "Cancellare questo testo prima della pubblicazione.",
+        "Guidance: list * in this section, then remove the guidance.", "Guidance: *, then remove the guidance.", "Guidance: *", "Instructions for authors: *", "Note to author: *", "Template note: *",
+        "Remove this text before publishing.", "Remove this note before publishing.", "Delete this section if it does not apply.", "Explain * here.", "List * here.", "Enter * here.", "Provide * here.", "Replace this text with *", "Use this section to describe *",
+        "Hinweis für Autoren: *", "Diesen Hinweis vor der Veröffentlichung entfernen.", "Diesen Abschnitt löschen, falls nicht zutreffend.", "Hier * auflisten.", "Hier * eintragen.", "Diesen Text ersetzen durch *",
+        "Consigne pour l’auteur : *", "Supprimer cette consigne avant publication.", "Supprimer cette section si elle ne s’applique pas.", "Lister ici *", "Expliquer ici *", "Remplacer ce texte par *",
+        "Istruzioni per l’autore: *", "Rimuovere questa nota prima della pubblicazione.", "Eliminare questa sezione se non applicabile.", "Elencare qui *", "Spiegare qui *", "Sostituire questo testo con *",
         "<Add a short description of *>", "<Kurze Beschreibung von *>", "<Ajouter une courte description de *>", "<Aggiungere una breve descrizione di *>",
         "Click here to enter text about *", "Click here to enter text.", "Klicken Sie hier, um Text einzugeben *", "Hier klicken, um Text einzugeben *", "Cliquez ici pour saisir du texte *", "Cliquez ici pour taper du texte *", "Fare clic qui per immettere testo *",
         "Replace this paragraph with a summary: *", "Replace this paragraph by a summary: *", "Diesen Absatz durch eine Zusammenfassung ersetzen: *", "Remplacer ce paragraphe par un résumé : *", "Sostituire questo paragrafo con un riassunto: *", "Sostituire questo paragrafo con una sintesi: *",
@@ -57,6 +71,13 @@ EXEMPLARS: dict[str, list[str]] = {
         "404 Not Found", "404 - Page not found", "Page not found", "Not found", "Error 404", "404 - Seite nicht gefunden", "Seite nicht gefunden", "404 - Page introuvable", "Page introuvable", "404 - Pagina non trovata", "Pagina non trovata",
         "The page you asked for was moved or never existed.", "Oops! We cannot find that page.", "We cannot find that page.", "The requested page could not be found.", "Die gewünschte Seite wurde verschoben.", "La page demandée a été déplacée.", "La pagina richiesta è stata spostata.",
         "Access denied", "Access denied (code 0)", "Access denied: *", "You do not have permission to view *", "403 Forbidden", "Forbidden", "401 Unauthorized", "Zugriff verweigert", "Zugriff verweigert: *", "Zugriff verweigert (Code 0)", "Accès refusé", "Accès refusé : *", "Accesso negato", "Accesso negato: *",
+        "Gateway Timeout", "408 Request Timeout", "Request timed out.", "400 Bad Request", "Bad request", "410 Gone", "This page does not exist.", "This page no longer exists.", "The page cannot be displayed.", "We could not find the page you were looking for.",
+        "The file you requested was not found on this server.", "An error occurred while processing your request.", "An error has occurred.", "An internal error occurred.", "Sorry, an error occurred.", "The server is temporarily unavailable.", "The server encountered an error.", "Failed to load content.", "Could not load the page.",
+        "You are not authorized to access this page.", "You must be logged in to view this page.", "Login required", "Please log in to continue.", "Your login has expired.", "This content is not available.", "Connection refused", "The server did not respond.",
+        "Diese Seite existiert nicht.", "Die Seite wurde nicht gefunden.", "Die angeforderte Seite konnte nicht gefunden werden.", "Ein Fehler ist aufgetreten.", "Ein interner Fehler ist aufgetreten.", "Bitte versuchen Sie es später erneut.", "Sie haben keine Berechtigung, diese Seite anzuzeigen.", "Bitte melden Sie sich an.", "Zeitüberschreitung der Anfrage", "Der Server ist nicht erreichbar.",
+        "La page n’existe pas.", "Cette page n’existe plus.", "La page que vous cherchez est introuvable.", "Une erreur est survenue.", "Une erreur interne s’est produite.", "Veuillez réessayer plus tard.", "Vous n’avez pas l’autorisation d’afficher cette page.", "Veuillez vous connecter.", "Délai d’attente dépassé", "Le serveur ne répond pas.",
+        "Questa pagina non esiste.", "La pagina cercata non è stata trovata.", "Si è verificato un errore.", "Si è verificato un errore interno.", "Riprovare più tardi.", "Non si dispone dell’autorizzazione per visualizzare questa pagina.", "Effettuare l’accesso.", "Richiesta scaduta", "Il server non risponde.",
+        "Página no encontrada", "La página no existe.", "Acceso denegado", "Se ha producido un error.", "Inténtelo de nuevo más tarde.",
         "Internal Server Error.", "500 Internal Server Error", "502 Bad Gateway", "Bad Gateway", "503 Service Unavailable", "Service temporarily unavailable", "Service unavailable", "504 Gateway Timeout", "Try again later.", "Please try again later.",
         "Interner Fehler, Vorgang 0 abgebrochen.", "Erreur interne, opération 0 interrompue.", "Errore interno, operazione 0 interrotta.", "Request 0 could not be completed.", "incident reference 0", "An unexpected error occurred *", "Something went wrong *",
         "Too many requests. Slow down and retry in 0 seconds.", "Too many requests.", "Slow down and retry in 0 seconds.",
@@ -67,6 +88,9 @@ EXEMPLARS: dict[str, list[str]] = {
         "Dienst vorübergehend nicht verfügbar", "Service temporairement indisponible", "Servizio temporaneamente non disponibile",
     ],
     "scripts": [
+        "Your browser does not support JavaScript.", "This page requires JavaScript.", "This site needs JavaScript to work.", "JavaScript must be enabled in your browser.", "Enable JavaScript and cookies to continue.", "Scripts are disabled in your browser.",
+        "Ihr Browser unterstützt kein JavaScript.", "Diese Seite benötigt JavaScript.", "JavaScript ist deaktiviert.", "Votre navigateur ne prend pas en charge JavaScript.", "Cette page nécessite JavaScript.", "JavaScript est désactivé.",
+        "Il browser non supporta JavaScript.", "Questa pagina richiede JavaScript.", "JavaScript è disattivato.", "Su navegador no admite JavaScript.", "Debe habilitar JavaScript para ver esta página.",
         "JavaScript required", "JavaScript is required *", "JavaScript is disabled. Some content cannot be shown.", "JavaScript is disabled.", "Some content cannot be shown.", "You need to enable JavaScript to run this app.", "Please enable JavaScript *",
         "Please turn on JavaScript in your browser and reload the page.", "This diagram viewer needs scripts; your browser has them switched off.", "This diagram viewer needs scripts", "your browser has them switched off",
         "Checking your browser before you proceed. This requires scripting and cookies.", "Checking your browser before you proceed.", "This requires scripting and cookies.", "Please activate scripting to see *",
@@ -74,13 +98,18 @@ EXEMPLARS: dict[str, list[str]] = {
         "Cette vue nécessite des scripts désactivés dans le navigateur.", "Attivare JavaScript per visualizzare questa pagina.", "JavaScript richiesto", "Questa vista richiede script, disattivati nel browser.",
     ],
 }
-# Written forms that are a placeholder whatever the name inside.
-TEMPLATE_FORMS = r"\{\{[^{}\n]{1,60}\}\}|\$\{[^{}\n]{1,60}\}|%[A-Z][A-Z_]{2,30}%|@@[A-Z][A-Z_]{1,30}@@"
+#: stands for a slot's words while an exemplar is cut into terms
+SLOT = "slotslot"
+#: categories whose messages may be put in other words
+MESSAGES = ("error", "scripts")
+# Variables of an environment, which a text may name in a form that placeholders have.
+ENVIRONMENT = ["HOME", "PATH", "USER", "USERNAME", "PWD", "SHELL", "TMP", "TEMP", "TMPDIR", "LANG", "HOSTNAME", "APPDATA", "PROGRAMFILES", "SYSTEMROOT", "USERPROFILE", "JAVA_HOME"]
 
 _CODE_SPAN = re.compile(r"``[^\n]*?``(?!`)|`[^`\n]+`")
-_FORMS = re.compile(TEMPLATE_FORMS)
-_SPAN = re.compile(r"(?<![\w\]\[])\[[^\[\]\n|]{2,160}\](?![\[(:\w])|(?<![\w/])<[^\W\d_][^<>\n=]{2,160}>|«[^«»\n]{2,40}»|(?<![\w/{$])\{[A-Z][A-Z_]{2,30}\}")
-_TOKEN = re.compile(r"n/a|[^\W_]+|…|\.\.\.|[\[\]<>«»{}]")
+_VARIABLE = re.compile(rf"\$\{{(?:{'|'.join(ENVIRONMENT)})\}}|%(?:{'|'.join(ENVIRONMENT)})%")
+_FORM = r"\{\{[^{}\n]{1,60}\}\}|\$\{[^{}\n]{1,60}\}|(?<![\w%])%[A-Z][A-Z_]{2,30}%(?![\w%])|(?<![\w@])@@[A-Z][A-Z_]{1,30}@@(?![\w@])"
+_SPAN = re.compile(_FORM + r"|(?<![\w\]\[])\[[^\[\]\n|]{2,160}\](?![\[(:\w])|(?<![\w/])<[^\W\d_][^<>\n=]{2,160}>|«[^«»\n]{2,40}»|(?<![\w/{$])\{[A-Z][A-Z_]{2,30}\}")
+_TOKEN = re.compile(r"n/a|[^\W_]+|…|\.\.\.|\{\{|\}\}|\$\{|@@|(?<![\w%])%(?=[^\W\d_])|(?<=[^\W\d_])%(?![\w%])|[\[\]<>«»{}]")
 _SENTENCE = re.compile(r"(?<=[.!?;])[ \xa0]+")
 _MARKS = re.compile(r"^[\s>#*+-]*(?:\d+[.)]\s+)?")
 _X = re.compile(r"x{3,}\Z")
@@ -100,21 +129,26 @@ def tokens(text: str) -> list[str]:
 class ResidueIndex:
     """An inverted index of exemplars with TF-IDF weights."""
 
-    def __init__(self, exemplars: dict[str, list[str]] = EXEMPLARS, exemplar_share: float = 0.8, window_share: float = 0.75, anchors: int = 2):
-        self.exemplar_share, self.window_share = exemplar_share, window_share
+    def __init__(self, exemplars: dict[str, list[str]] = EXEMPLARS, exemplar_share: float = 0.8, window_share: float = 0.75, anchors: int = 2, joint_share: float = 0.9, half: float = 0.5):
+        self.exemplar_share, self.window_share, self.joint_share, self.half = exemplar_share, window_share, joint_share, half
         self.items: list[tuple[str, list[str], int, Counter]] = []
         for kind, texts in exemplars.items():
             for text in texts:
                 slot = text.find("*")
-                head = len(tokens(text[:slot])) if slot >= 0 else -1
-                toks = tokens(text.replace("*", " "))
+                head = len(tokens(text[:slot] + SLOT)) - 1 if slot >= 0 else -1
+                toks = [t for t in tokens(text.replace("*", SLOT)) if t != SLOT]
                 self.items.append((kind, toks, head, Counter(toks)))
         df = Counter(t for _, toks, _, _ in self.items for t in set(toks))
         n = len(self.items)
         self.idf = {t: math.log(1 + n / d) for t, d in df.items()}
         self.unknown = math.log(1 + n / 2)
         self.postings: dict[str, list[int]] = defaultdict(list)
+        self.vocab: dict[str, set[str]] = defaultdict(set)  # by category, for messages in other words
+        for kind, toks, _, _ in self.items:
+            if kind in MESSAGES:
+                self.vocab[kind].update(t for t in toks if t.isalnum())
         self.totals = []
+        self.long_totals = [sum(self.idf[t] * c for t, c in counts.items() if len(t) >= 4) for _, _, _, counts in self.items]
         self.anchors = []
         for i, (_, toks, _, counts) in enumerate(self.items):
             self.totals.append(sum(self.idf[t] * c for t, c in counts.items()))
@@ -128,6 +162,21 @@ class ResidueIndex:
             self.anchors.append(frozenset(best))
             self.postings[best[0]].append(i)
 
+    def reworded(self, i: int) -> bool:
+        """Whether exemplar ``i`` is a sentence that may be put in other words."""
+        kind, toks, head, _ = self.items[i]
+        return kind in MESSAGES and head < 0 and len(toks) >= 4
+
+    def _jointly(self, counts: Counter, weight: float, i: int) -> bool:
+        """Whether the longer words of exemplar ``i`` are held by half and its category covers the whole sentence."""
+        if not self.reworded(i) or not 4 <= sum(counts.values()) <= 14:
+            return False
+        kind, _, _, wanted = self.items[i]
+        if sum(self.idf[t] * min(c, counts.get(t, 0)) for t, c in wanted.items() if len(t) >= 4) < self.half * self.long_totals[i]:
+            return False
+        known = self.vocab[kind]
+        return sum(self.idf[t] * c for t, c in counts.items() if t in known) >= self.joint_share * weight
+
     def _long_filler(self, i: int) -> bool:
         kind, toks, head, _ = self.items[i]
         return kind == "filler" and head < 0 and len(toks) > 20
@@ -142,15 +191,19 @@ class ResidueIndex:
         weight = sum(self.idf.get(t, self.unknown) * c for t, c in counts.items())
         for term in counts:
             for i in self.postings.get(term, ()):
-                if not self.anchors[i] <= counts.keys():
-                    continue
                 kind, toks, head, wanted = self.items[i]
                 held = sum(self.idf[t] * min(c, counts.get(t, 0)) for t, c in wanted.items())
+                if not self.anchors[i] <= counts.keys():
+                    if self._jointly(counts, weight, i):
+                        return kind
+                    continue
                 if head >= 0:  # words in a slot are free, but the window has to begin as the exemplar does
                     if held >= self.exemplar_share * self.totals[i] and window[:head] == toks[:head] and len(window) <= len(toks) + 16:
                         return kind
                 elif held >= self.window_share * weight and (held >= self.exemplar_share * self.totals[i] or (self._long_filler(i) and len(window) >= 5)):
                     return kind
+                if self._jointly(counts, weight, i):
+                    return kind
         return None
 
     def windows(self, text: str) -> Iterator[str]:
@@ -176,8 +229,8 @@ class ResidueIndex:
             return None
         if "`" in text:
             text = _CODE_SPAN.sub(" ", text)
-        if _FORMS.search(text):
-            return "placeholder"
+        if "$" in text or "%" in text:
+            text = _VARIABLE.sub(" ", text)
         for window in self.windows(text):
             toks = tokens(window)
             if toks and (kind := self.score(toks)):
@@ -192,29 +245,29 @@ class Retriever:
         import ahocorasick
 
         self.automaton = ahocorasick.Automaton()
-        forms = {"{{": "{{", "${": "${", "@@": "@@"}
-        for t in index.terms() | set(forms):
+        for t in index.terms():
             self.automaton.add_word(t, t)
-        self.automaton.add_word("%", "%")
         self.automaton.make_automaton()
         self.index = index
         # Of each exemplar, the terms that a text may lack as far as the share allows.
         self.wanted = [[(t, index.idf[t] * c) for t, c in counts.items() if t != "0"] for _, _, _, counts in index.items]
-        self.free = [index.idf["0"] * counts["0"] for _, _, _, counts in index.items]
+        self.slack = [(1 - index.exemplar_share) * total + 1e-9 for total in index.totals]
+        self.long = [[(t, index.idf[t] * c) for t, c in counts.items() if len(t) >= 4] if index.reworded(i) else [] for i, (_, _, _, counts) in enumerate(index.items)]
+        self.long_slack = [(1 - index.half) * total + 1e-9 for total in index.long_totals]
 
     def may_hold(self, text: str) -> bool:
         low = text.lower()
         hit = {t for _, t in self.automaton.iter(low)}
         if not hit:
             return False
-        if hit & {"{{", "${", "@@", "%"}:
-            return True
         for t in hit:
             for i in self.index.postings.get(t, ()):
                 if self.index._long_filler(i):
                     return True
-                lacking = sum(w for a, w in self.wanted[i] if a not in low)
-                if lacking <= (1 - self.index.exemplar_share) * self.index.totals[i] + 1e-9:
+                if self.long[i]:  # says less than all its terms, which need no look then
+                    if sum(w for a, w in self.long[i] if a not in low) <= self.long_slack[i]:
+                        return True
+                elif sum(w for a, w in self.wanted[i] if a not in low) <= self.slack[i]:
                     return True
         return False
 
