@@ -26,12 +26,12 @@ from pyspark.sql import functions as F
 # Labelled exemplars by category. ``*`` stands for any run of words.
 EXEMPLARS: dict[str, list[str]] = {
     "placeholder": [
-        "TODO", "TODO: fill in *", "TODO: complete *", "TODO : compléter *", "TODO: completare *", "TODO: * ergänzen",
+        "TODO", "TODO: *", "FIXME: *", "TBD: *", "TODO: fill in *", "TODO: complete *", "TODO : compléter *", "TODO: completare *", "TODO: * ergänzen",
         "TBD", "TBD - to be completed by the owner of *", "to be completed by the owner of *", "to be completed (*)",
         "À compléter par le responsable (*)", "À compléter", "Wird noch ausgefüllt (*)", "Wird noch ausgefüllt", "Noch auszufüllen",
         "Da completare a cura del responsabile (*)", "Da completare (*)", "Da completare", "Da compilare", "n/a (to do)", "xxx", "…", "...",
         "[TBD]", "[...]", "[…]", "[TODO]", "[offen]", "[à définir]", "[da definire]", "[to be defined]", "[noch offen]", "[à compléter]", "[da completare]",
-        "[insert service name]", "[insert *]", "[Name of the component]", "[name of the service]", "[service name]", "[your *]",
+        "[enter *]", "[add *]", "[choose *]", "[eingeben *]", "[saisir *]", "[compilare *]", "Untitled document", "Unbenannte Seite", "Page sans titre", "Pagina senza titolo", "[insert service name]", "[insert *]", "[Name of the component]", "[name of the service]", "[service name]", "[your *]",
         "[Dienstnamen einsetzen]", "[* einsetzen]", "[* einfügen]", "[Name des Dienstes]", "[Name der Komponente]",
         "[insérer le nom du service]", "[insérer *]", "[nom du service]", "[nom du composant]", "[inserire il nome del servizio]", "[inserire *]", "[nome del servizio]", "[nome del componente]",
         "<Service Name>", "<your-component>", "<your *>", "<Name des Dienstes>", "<Nom du service>", "<Nome del servizio>", "<component name>", "<insert *>",
@@ -40,7 +40,7 @@ EXEMPLARS: dict[str, list[str]] = {
         "<Heading>", "<Title>", "<Überschrift>", "<Titel>", "<Titre>", "<Titolo>", "[Section title]", "[Abschnittstitel]", "[Titre de la section]", "[Titolo della sezione]", "[Heading]", "[Title]",
         "{{*}}", "${*}", "%*%", "@@*@@",
         "[PLACEHOLDER]", "Placeholder", "Placeholder text", "Your text here", "Enter text here", "Insert text here", "Add your text here", "Text goes here", "Title goes here", "Type here", "Coming soon", "Under construction",
-        "This page is under construction.", "Content to follow", "To be determined", "To be defined", "To be announced", "TBA", "FIXME", "FIXME: *", "Fill in *", "<to be completed>", "[to be filled in]",
+        "This page is under construction.", "Content to follow", "To be determined", "To be defined", "To be announced", "TBA", "FIXME", "Fill in *", "<to be completed>", "[to be filled in]",
         "Platzhalter", "Platzhaltertext", "[Platzhalter]", "Hier Text einfügen", "Text hier einfügen", "Titel hier einfügen", "Inhalt folgt", "Folgt in Kürze", "Noch zu ergänzen", "Diese Seite ist im Aufbau.",
         "Texte à insérer", "Insérer votre texte ici", "Votre texte ici", "À venir", "À définir", "Bientôt disponible", "Page en construction", "Espace réservé",
         "Segnaposto", "Testo segnaposto", "Inserire il testo qui", "Il tuo testo qui", "Da definire", "Prossimamente", "Disponibile a breve", "Pagina in costruzione",
@@ -51,10 +51,10 @@ EXEMPLARS: dict[str, list[str]] = {
         "Describe * here.", "[Describe * here.", "Delete this text before publishing.", "Hier * beschreiben.", "[Hier * beschreiben.", "Diesen Text vor der Freigabe löschen.",
         "Décrire ici *", "[Décrire ici *", "Supprimer ce texte avant publication.", "Descrivere qui *", "[Descrivere qui *", "Cancellare questo testo prima della pubblicazione.",
         "Guidance: list * in this section, then remove the guidance.", "Guidance: *, then remove the guidance.", "Guidance: *", "Instructions for authors: *", "Note to author: *", "Template note: *",
-        "Remove this text before publishing.", "Remove this note before publishing.", "Delete this section if it does not apply.", "Explain * here.", "List * here.", "Enter * here.", "Provide * here.", "Replace this text with *", "Use this section to describe *",
-        "Hinweis für Autoren: *", "Diesen Hinweis vor der Veröffentlichung entfernen.", "Diesen Abschnitt löschen, falls nicht zutreffend.", "Hier * auflisten.", "Hier * eintragen.", "Diesen Text ersetzen durch *",
+        "Remove this text before publishing.", "Remove this note before publishing.", "Remove this paragraph before the page is published.", "Delete this section if it does not apply.", "Explain * here.", "List * here.", "Enter * here.", "Provide * here.", "Replace this text with *", "Use this section to describe *",
+        "Hinweis für Autoren: *", "Diesen Hinweis vor der Veröffentlichung entfernen.", "Diesen Absatz vor dem Veröffentlichen löschen.", "Diesen Abschnitt löschen, falls nicht zutreffend.", "Hier * auflisten.", "Hier * eintragen.", "Diesen Text ersetzen durch *",
         "Consigne pour l’auteur : *", "Supprimer cette consigne avant publication.", "Supprimer cette section si elle ne s’applique pas.", "Lister ici *", "Expliquer ici *", "Remplacer ce texte par *",
-        "Istruzioni per l’autore: *", "Rimuovere questa nota prima della pubblicazione.", "Eliminare questa sezione se non applicabile.", "Elencare qui *", "Spiegare qui *", "Sostituire questo testo con *",
+        "Istruzioni per l’autore: *", "Rimuovere questa nota prima della pubblicazione.", "Eliminare questo paragrafo prima di pubblicare.", "Eliminare questa sezione se non applicabile.", "Elencare qui *", "Spiegare qui *", "Sostituire questo testo con *",
         "<Add a short description of *>", "<Kurze Beschreibung von *>", "<Ajouter une courte description de *>", "<Aggiungere una breve descrizione di *>",
         "Click here to enter text about *", "Click here to enter text.", "Klicken Sie hier, um Text einzugeben *", "Hier klicken, um Text einzugeben *", "Cliquez ici pour saisir du texte *", "Cliquez ici pour taper du texte *", "Fare clic qui per immettere testo *",
         "Replace this paragraph with a summary: *", "Replace this paragraph by a summary: *", "Diesen Absatz durch eine Zusammenfassung ersetzen: *", "Remplacer ce paragraphe par un résumé : *", "Sostituire questo paragrafo con un riassunto: *", "Sostituire questo paragrafo con una sintesi: *",
@@ -75,8 +75,9 @@ EXEMPLARS: dict[str, list[str]] = {
         "The file you requested was not found on this server.", "An error occurred while processing your request.", "An error has occurred.", "An internal error occurred.", "Sorry, an error occurred.", "The server is temporarily unavailable.", "The server encountered an error.", "Failed to load content.", "Could not load the page.",
         "You are not authorized to access this page.", "You must be logged in to view this page.", "Login required", "Please log in to continue.", "Your login has expired.", "This content is not available.", "Connection refused", "The server did not respond.",
         "Diese Seite existiert nicht.", "Die Seite wurde nicht gefunden.", "Die angeforderte Seite konnte nicht gefunden werden.", "Ein Fehler ist aufgetreten.", "Ein interner Fehler ist aufgetreten.", "Bitte versuchen Sie es später erneut.", "Sie haben keine Berechtigung, diese Seite anzuzeigen.", "Bitte melden Sie sich an.", "Zeitüberschreitung der Anfrage", "Der Server ist nicht erreichbar.",
-        "La page n’existe pas.", "Cette page n’existe plus.", "La page que vous cherchez est introuvable.", "Une erreur est survenue.", "Une erreur interne s’est produite.", "Veuillez réessayer plus tard.", "Vous n’avez pas l’autorisation d’afficher cette page.", "Veuillez vous connecter.", "Délai d’attente dépassé", "Le serveur ne répond pas.",
+        "La page n’existe pas.", "Cette page n’existe plus.", "La page que vous cherchez est introuvable.", "Une erreur est survenue.", "Une erreur interne s’est produite.", "Veuillez réessayer plus tard.", "Réessayer ultérieurement.", "Vous n’avez pas l’autorisation d’afficher cette page.", "Veuillez vous connecter.", "Délai d’attente dépassé", "Le serveur ne répond pas.",
         "Questa pagina non esiste.", "La pagina cercata non è stata trovata.", "Si è verificato un errore.", "Si è verificato un errore interno.", "Riprovare più tardi.", "Non si dispone dell’autorizzazione per visualizzare questa pagina.", "Effettuare l’accesso.", "Richiesta scaduta", "Il server non risponde.",
+        "Your session is not valid.", "Log in again to view this content.", "You do not have access to this page.", "Sie haben keinen Zugriff auf diese Seite.", "Accès non autorisé à cette page.", "Non hai accesso a questa pagina.",
         "Página no encontrada", "La página no existe.", "Acceso denegado", "Se ha producido un error.", "Inténtelo de nuevo más tarde.",
         "Internal Server Error.", "500 Internal Server Error", "502 Bad Gateway", "Bad Gateway", "503 Service Unavailable", "Service temporarily unavailable", "Service unavailable", "504 Gateway Timeout", "Try again later.", "Please try again later.",
         "Interner Fehler, Vorgang 0 abgebrochen.", "Erreur interne, opération 0 interrompue.", "Errore interno, operazione 0 interrotta.", "Request 0 could not be completed.", "incident reference 0", "An unexpected error occurred *", "Something went wrong *",
@@ -88,8 +89,9 @@ EXEMPLARS: dict[str, list[str]] = {
         "Dienst vorübergehend nicht verfügbar", "Service temporairement indisponible", "Servizio temporaneamente non disponibile",
     ],
     "scripts": [
-        "Your browser does not support JavaScript.", "This page requires JavaScript.", "This site needs JavaScript to work.", "JavaScript must be enabled in your browser.", "Enable JavaScript and cookies to continue.", "Scripts are disabled in your browser.",
+        "Your browser does not support JavaScript.", "This page requires JavaScript.", "This site needs JavaScript to work.", "This application needs JavaScript to run.", "JavaScript muss eingeschaltet sein.", "JavaScript must be enabled in your browser.", "Enable JavaScript and cookies to continue.", "Scripts are disabled in your browser.",
         "Ihr Browser unterstützt kein JavaScript.", "Diese Seite benötigt JavaScript.", "JavaScript ist deaktiviert.", "Votre navigateur ne prend pas en charge JavaScript.", "Cette page nécessite JavaScript.", "JavaScript est désactivé.",
+        "Activate JavaScript in your browser to see this content.", "JavaScript in Ihrem Browser einschalten, um den Inhalt zu sehen.", "Aktivieren Sie JavaScript, um fortzufahren.", "Activer JavaScript dans le navigateur pour continuer.", "Abilitare JavaScript per continuare.", "Per usare questo sito attivare JavaScript nel browser.",
         "Il browser non supporta JavaScript.", "Questa pagina richiede JavaScript.", "JavaScript è disattivato.", "Su navegador no admite JavaScript.", "Debe habilitar JavaScript para ver esta página.",
         "JavaScript required", "JavaScript is required *", "JavaScript is disabled. Some content cannot be shown.", "JavaScript is disabled.", "Some content cannot be shown.", "You need to enable JavaScript to run this app.", "Please enable JavaScript *",
         "Please turn on JavaScript in your browser and reload the page.", "This diagram viewer needs scripts; your browser has them switched off.", "This diagram viewer needs scripts", "your browser has them switched off",
@@ -98,10 +100,12 @@ EXEMPLARS: dict[str, list[str]] = {
         "Cette vue nécessite des scripts désactivés dans le navigateur.", "Attivare JavaScript per visualizzare questa pagina.", "JavaScript richiesto", "Questa vista richiede script, disattivati nel browser.",
     ],
 }
+#: words of a sentence that says a message in other words, at most
+JOINT_WORDS = 14
 #: stands for a slot's words while an exemplar is cut into terms
 SLOT = "slotslot"
 #: categories whose messages may be put in other words
-MESSAGES = ("error", "scripts")
+MESSAGES = ("guidance", "error", "scripts")
 # Variables of an environment, which a text may name in a form that placeholders have.
 ENVIRONMENT = ["HOME", "PATH", "USER", "USERNAME", "PWD", "SHELL", "TMP", "TEMP", "TMPDIR", "LANG", "HOSTNAME", "APPDATA", "PROGRAMFILES", "SYSTEMROOT", "USERPROFILE", "JAVA_HOME"]
 
@@ -109,7 +113,7 @@ _CODE_SPAN = re.compile(r"``[^\n]*?``(?!`)|`[^`\n]+`")
 _VARIABLE = re.compile(rf"\$\{{(?:{'|'.join(ENVIRONMENT)})\}}|%(?:{'|'.join(ENVIRONMENT)})%")
 _FORM = r"\{\{[^{}\n]{1,60}\}\}|\$\{[^{}\n]{1,60}\}|(?<![\w%])%[A-Z][A-Z_]{2,30}%(?![\w%])|(?<![\w@])@@[A-Z][A-Z_]{1,30}@@(?![\w@])"
 _SPAN = re.compile(_FORM + r"|(?<![\w\]\[])\[[^\[\]\n|]{2,160}\](?![\[(:\w])|(?<![\w/])<[^\W\d_][^<>\n=]{2,160}>|«[^«»\n]{2,40}»|(?<![\w/{$])\{[A-Z][A-Z_]{2,30}\}")
-_TOKEN = re.compile(r"n/a|[^\W_]+|…|\.\.\.|\{\{|\}\}|\$\{|@@|(?<![\w%])%(?=[^\W\d_])|(?<=[^\W\d_])%(?![\w%])|[\[\]<>«»{}]")
+_TOKEN = re.compile(r"n/a|(?<![^\W_])(?:todo|fixme|tbd)(?=\s?:)\s?:|[^\W_]+|…|\.\.\.|\{\{|\}\}|\$\{|@@|(?<![\w%])%(?=[^\W\d_])|(?<=[^\W\d_])%(?![\w%])|[\[\]<>«»{}]")
 _SENTENCE = re.compile(r"(?<=[.!?;])[ \xa0]+")
 _MARKS = re.compile(r"^[\s>#*+-]*(?:\d+[.)]\s+)?")
 _X = re.compile(r"x{3,}\Z")
@@ -122,7 +126,7 @@ def tokens(text: str) -> list[str]:
             t = "0"
         elif _X.match(t):
             t = "xxx"
-        out.append(t)
+        out.append(t.replace(" ", "").replace("\xa0", ""))
     return out
 
 
@@ -158,9 +162,18 @@ class ResidueIndex:
                     if len(t) >= 5:
                         self.postings[t].append(i)
                 continue
-            best = sorted(set(toks), key=lambda t: (-self.idf[t], -len(t), t))[:anchors]
+            best = sorted(set(toks), key=lambda t: (t.isalnum() and len(t) < 5, -self.idf[t], -len(t), t))[:anchors]  # short words stand in most texts
             self.anchors.append(frozenset(best))
             self.postings[best[0]].append(i)
+            if self.reworded(i):  # any of its longer words may lead to it
+                for t in counts:
+                    if len(t) >= 5 and t != best[0]:
+                        self.postings[t].append(i)
+
+    def known_words(self, low: str) -> bool:
+        """Whether almost all words of a sentence stand in exemplars, so that they may cover it."""
+        words = low.split()
+        return sum(w.strip(".,;:!?()") not in self.idf for w in words) <= 1 + len(words) // 4
 
     def reworded(self, i: int) -> bool:
         """Whether exemplar ``i`` is a sentence that may be put in other words."""
@@ -169,7 +182,7 @@ class ResidueIndex:
 
     def _jointly(self, counts: Counter, weight: float, i: int) -> bool:
         """Whether the longer words of exemplar ``i`` are held by half and its category covers the whole sentence."""
-        if not self.reworded(i) or not 4 <= sum(counts.values()) <= 14:
+        if not self.reworded(i) or not 4 <= sum(counts.values()) <= JOINT_WORDS:
             return False
         kind, _, _, wanted = self.items[i]
         if sum(self.idf[t] * min(c, counts.get(t, 0)) for t, c in wanted.items() if len(t) >= 4) < self.half * self.long_totals[i]:
@@ -187,10 +200,13 @@ class ResidueIndex:
 
     def score(self, window: list[str]) -> str | None:
         """The category of the best exemplar that covers the window and is held by it."""
+        leads = [t for t in window if t in self.postings]
+        if not leads:
+            return None
         counts = Counter(window)
         weight = sum(self.idf.get(t, self.unknown) * c for t, c in counts.items())
-        for term in counts:
-            for i in self.postings.get(term, ()):
+        for term in dict.fromkeys(leads):
+            for i in self.postings[term]:
                 kind, toks, head, wanted = self.items[i]
                 held = sum(self.idf[t] * min(c, counts.get(t, 0)) for t, c in wanted.items())
                 if not self.anchors[i] <= counts.keys():
@@ -223,8 +239,8 @@ class ResidueIndex:
         for m in _SPAN.finditer(text):
             yield m.group(0)
 
-    def classify(self, text: str | None) -> str | None:
-        """The category of the text's first residue, or None."""
+    def classify(self, text: str | None, leads: tuple[set[str], set[str]] | None = None) -> str | None:
+        """The category of the text's first residue, or None. ``leads``: the terms that the retriever found."""
         if not text:
             return None
         if "`" in text:
@@ -232,6 +248,11 @@ class ResidueIndex:
         if "$" in text or "%" in text:
             text = _VARIABLE.sub(" ", text)
         for window in self.windows(text):
+            if leads is not None:
+                low = window.lower()
+                # A sentence in other words has at most JOINT_WORDS, all of which exemplars have.
+                if not any(t in low for t in leads[0]) and (low.count(" ") > 2 * JOINT_WORDS or not any(t in low for t in leads[1]) or not self.known_words(low)):
+                    continue
             toks = tokens(window)
             if toks and (kind := self.score(toks)):
                 return kind
@@ -255,21 +276,20 @@ class Retriever:
         self.long = [[(t, index.idf[t] * c) for t, c in counts.items() if len(t) >= 4] if index.reworded(i) else [] for i, (_, _, _, counts) in enumerate(index.items)]
         self.long_slack = [(1 - index.half) * total + 1e-9 for total in index.long_totals]
 
-    def may_hold(self, text: str) -> bool:
+    def leads(self, text: str) -> tuple[set[str], set[str]]:
+        """The leading terms in the text whose exemplars it may hold, and those whose exemplars it may hold in other words."""
         low = text.lower()
-        hit = {t for _, t in self.automaton.iter(low)}
-        if not hit:
-            return False
-        for t in hit:
-            for i in self.index.postings.get(t, ()):
-                if self.index._long_filler(i):
-                    return True
-                if self.long[i]:  # says less than all its terms, which need no look then
-                    if sum(w for a, w in self.long[i] if a not in low) <= self.long_slack[i]:
-                        return True
-                elif sum(w for a, w in self.wanted[i] if a not in low) <= self.slack[i]:
-                    return True
-        return False
+        whole, reworded = set(), set()
+        for t in {t for _, t in self.automaton.iter(low)}:
+            for i in self.index.postings[t]:
+                if self.long[i] and sum(w for a, w in self.long[i] if a not in low) > self.long_slack[i]:
+                    continue  # says less than all its terms, which need no look then
+                if self.index._long_filler(i) or sum(w for a, w in self.wanted[i] if a not in low) <= self.slack[i]:
+                    whole.add(t)
+                    break
+                if self.long[i]:
+                    reworded.add(t)
+        return whole, reworded
 
 
 _STATE: dict = {}
@@ -285,7 +305,7 @@ def detector():
 
 def residue_kind(text: str | None) -> str | None:
     index, retriever = detector()
-    return index.classify(text) if text and retriever.may_hold(text) else None
+    return index.classify(text, leads) if text and any(leads := retriever.leads(text)) else None
 
 
 def residue_rows(rows: DataFrame, text: str = "text") -> DataFrame:

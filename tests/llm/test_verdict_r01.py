@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from quillspark.llm import repeated_lines
+from quillspark.llm import repeated_lines, residue
 from tests.llm.test_problems import blocks
 
 NAMES = ["Ada Lovelace", "Bo", "Cy van der Dam", "Dee Ann Eve", "Fay G. Hill", "ike"]
@@ -32,3 +32,28 @@ def test_three_names_in_a_line_and_large_trees(spark, monkeypatch):
     assert {tuple(r) for r in repeated_lines.repeated_lines(blocks(spark, rows)).collect()} == plain
     monkeypatch.setattr(repeated_lines, "hot_keys", lambda *a, **k: ["S"])
     assert {tuple(r) for r in repeated_lines.repeated_lines(blocks(spark, rows)).collect()} == plain
+
+
+# Wordings that no exemplar states, to measure recall off the planted wording, and texts that only speak of such things.
+HELD_OUT = [
+    "Gateway timeout (504)", "Sorry, that page was not found.", "The page you are looking for does not exist.", "This page could not be found on the server.", "Error 500: internal server error occurred", "Access denied. Please contact the owner.",
+    "You do not have permission to access this page.", "The server is not available. Try again later.", "Please sign in to view this content.", "Your session is no longer valid. Please log in again.", "403 - Forbidden: Access is denied.", "An unexpected error has occurred.",
+    "Die Seite konnte nicht gefunden werden.", "Diese Seite existiert nicht mehr.", "Bitte später erneut versuchen.", "Sie haben keine Berechtigung für diese Seite.", "Ein unerwarteter Fehler ist aufgetreten.", "La page demandée est introuvable.", "La page demandée n’existe pas.", "Une erreur inattendue est survenue.",
+    "Veuillez réessayer ultérieurement.", "La pagina richiesta non esiste.", "Si è verificato un errore imprevisto.", "Non hai l’autorizzazione per questa pagina.", "Please enable JavaScript in your browser to view this page.", "JavaScript is required to use this site.", "This application requires JavaScript.",
+    "Bitte aktivieren Sie JavaScript in Ihrem Browser.", "JavaScript muss aktiviert sein, um diese Seite zu nutzen.", "Veuillez activer JavaScript dans votre navigateur.", "Abilitare JavaScript nel browser per vedere questa pagina.", "[INSERT NAME]", "[enter the owner]", "<Your Name>", "{{ project.name }}", "Deploy ${service_name} here",
+    "%PROJECT_NAME%", "@@VERSION@@", "TODO: add the diagram", "TBD", "To be completed", "Untitled page", "Lorem ipsum", "Ut enim ad minim veniam, quis nostrud exercitation.", "Describe the purpose of the service here.", "Remove this paragraph before publishing.", "Delete this note before publishing.", "List the open risks here.",
+    "Hier die Architektur beschreiben.", "Diesen Text vor der Veröffentlichung löschen.", "Décrire ici les composants.", "Supprimer ce paragraphe avant publication.", "Descrivere qui i componenti.", "Rimuovere questo paragrafo prima della pubblicazione.", "Placeholder text", "Text to be inserted here", "Coming soon!", "À compléter",
+]
+ONLY_SPOKEN_OF = [
+    "The gateway times out after 30 seconds and retries twice.", "A page that was not found is logged with its address.", "The service returns 404 when no record exists and 403 when the role is missing.", "Users without permission see a short notice instead of the report.", "The ${HOME} variable names the home of the worker.",
+    "A share of 100%ABC% x is no form.", "Session tokens expire after one hour, and the client signs in again.", "The JavaScript bundle is built once per release.", "Placeholders in charts are drawn in grey.", "We describe the purpose of each service in its own page.", "Delete stale rows before publishing the report to the tenants.",
+    "The error budget is spent when requests fail.", "An internal queue holds the messages until the broker answers.", "Die Seite zeigt die offenen Punkte.", "Ein Fehler im Adapter löst einen neuen Versuch aus.", "La page décrit les points ouverts.", "Le serveur répond avec 404 quand la fiche est inconnue.", "La pagina descrive i componenti.",
+    "Open points: who owns the index?", "The template engine fills in the names at build time.", "Scripts in the tools folder start the jobs.", "The title of a page is set by its author.", "Access control is done by roles.", "The path /users/{id} returns one user.", "usage: copy [options] <source> <target>", "The text goes to the printer here and there.",
+]
+
+
+def test_residue_off_the_exemplars():
+    found = [t for t in HELD_OUT if residue.residue_kind(t)]
+    wrong = [t for t in ONLY_SPOKEN_OF if residue.residue_kind(t)]
+    assert len(found) >= 0.9 * len(HELD_OUT), sorted(set(HELD_OUT) - set(found))
+    assert not wrong
