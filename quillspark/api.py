@@ -10,12 +10,15 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from quillspark.config import DEFAULT, Config
 from quillspark.operators import chunking, classify, inventory, lint, search, store, structure
 from quillspark.session import written
 
 HASH_DIMS = 512
+#: folders that an export is spread over
+EXPORT_BUCKETS = 256
 
 
 def enriched_sections(documents: DataFrame, cfg: Config = DEFAULT, vocabulary: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
@@ -73,27 +76,39 @@ def build_index(documents: DataFrame, target: store.ChunkStore, cfg: Config = DE
     """
     chunks = written(chunk_documents(documents, cfg, vocabulary))
     kept, bad = lint.gate(chunks, "content") if cfg.gate else (chunks, None)
-    kept = kept if cfg.gate else chunks
+    kept = written(kept) if cfg.gate else chunks
     target.upsert(kept)
     if cfg.lexical:
         target.write_provenance("lexical", "none", 1)
     else:
-        target.upsert(search.hashed_buckets(kept, "chunk_id", F.col("embed_text"), HASH_DIMS).withColumnRenamed("id", "chunk_id"), "vectors", "chunk_id")
+        target.upsert(written(search.hashed_buckets(kept, "chunk_id", F.col("embed_text"), HASH_DIMS).withColumnRenamed("id", "chunk_id")), "vectors", "chunk_id")
         target.write_provenance("hashing", "md5", HASH_DIMS)
     return {"chunks": kept.count(), "rejected_documents": bad.count() if bad is not None else 0}
 
 
 def reindex(documents: DataFrame, target: store.ChunkStore, cfg: Config = DEFAULT, vocabulary: list[str] | None = None) -> dict:
     """The documents' chunks are taken out, then indexed anew, so chunks that are gone leave nothing behind."""
-    ids = [str(r["doc_id"]) for r in documents.select("doc_id").distinct().collect()]  # the documents of one change
+    ids = written(documents.select(F.col("doc_id").cast("string").alias("doc_id")).distinct())
     old = target.read()
-    if old is not None and target.read("vectors") is not None:
-        gone = old.where(F.col("doc_id").isin(ids)).select("chunk_id")
-        target._replace("vectors", written(target.read("vectors").join(gone, "chunk_id", "left_anti")))
+    if old is not None:
+        target.delete_keys(written(old.join(ids, "doc_id", "left_semi").select("chunk_id")), "vectors")
     deleted = target.delete(ids)
     return build_index(documents, target, cfg, vocabulary) | {"deleted": deleted}
 
 
+def reindex_stream(changes: DataFrame, target: store.ChunkStore, checkpoint: str, cfg: Config = DEFAULT, vocabulary: list[str] | None = None, once: bool = True) -> StreamingQuery:
+    """Reindexes the documents of each batch of a stream (doc_id, text, title, ..); of a document that comes
+    several times in one batch the last by ``updated_at`` counts, where the stream has that column."""
+
+    def apply(batch: DataFrame, _: int) -> None:
+        rows = store.last_per_key(batch, "doc_id", "updated_at") if "updated_at" in batch.columns else batch.dropDuplicates(["doc_id"])
+        if not rows.isEmpty():
+            reindex(written(rows), target, cfg, vocabulary)
+
+    writer = changes.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer).start()
+
+
 def query(target: store.ChunkStore, text: str, cfg: Config = DEFAULT, **filters: str | None) -> DataFrame:
     """(rank, score, chunk_id, ...) of the best chunks; filters come first, so statistics are those of what is left."""
     chunks = target.read()
@@ -118,9 +133,10 @@ def query(target: store.ChunkStore, text: str, cfg: Config = DEFAULT, **filters:
     return search.result_records(best.join(corpus.withColumnRenamed("chunk_id", "id"), "id"), "content", cfg.snippet_chars).withColumnRenamed("id", "chunk_id").drop("query_id").orderBy("rank")
 
 
-def export(chunks: DataFrame, folder: str) -> None:
-    """Chunks as JSON lines, a folder per document."""
-    chunks.write.partitionBy("doc_id").mode("overwrite").json(folder)
+def export(chunks: DataFrame, folder: str, buckets: int = EXPORT_BUCKETS) -> None:
+    """Chunks as JSON lines in ``buckets`` folders by the hash of their document, so a document lies in one
+    folder and their number does not grow with the documents."""
+    chunks.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets))).write.partitionBy("bucket").mode("overwrite").json(folder)
 
 
 def lint_documents(documents: DataFrame, cfg: Config = DEFAULT, strict: bool = False) -> DataFrame:

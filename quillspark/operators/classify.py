@@ -19,10 +19,13 @@ from quillspark.functions.text import bounded_words, normalise_header, normalise
 from quillspark.tables import PROSE_TYPES
 
 # ---- Fixed values -------------------------------------------------------------------
-SERVICE_SUFFIXES = "Service|Controller|Manager|Handler|Client|Server|Worker|Processor|Repository|Store|Cache|Queue|Bus|Gateway|Proxy|Registry|Resolver|Scheduler|Engine|Provider|Factory|Adapter|Decorator|Facade|Bridge|Middleware|Filter|Interceptor"
-TECHNOLOGIES = r"PostgreSQL|MySQL|MariaDB|MongoDB|Redis|Memcached|Elasticsearch|OpenSearch|Kafka|RabbitMQ|Kinesis|Pulsar|DynamoDB|Cassandra|S3|GCS|Azure\s*Blob|Kubernetes|K8s|Docker|Helm|Terraform|Ansible|Nginx|HAProxy|Envoy|Istio|Linkerd"
-PROTOCOLS = "REST|gRPC|GraphQL|WebSocket|MQTT|AMQP|STOMP|JWT|OAuth2?|OIDC|SAML|mTLS|TLS|SSL|HTTPS?"
-HTTP_METHODS = "GET|POST|PUT|PATCH|DELETE|HEAD|OPTIONS"
+SERVICES = r"\b([A-Z][a-z]+(?:[A-Z][a-z]+)*(?:Service|Controller|Manager|Handler|Client|Server|Worker|Processor|Repository|Store|Cache|Queue|Bus|Gateway|Proxy|Registry|Resolver|Scheduler|Engine|Provider|Factory|Adapter|Decorator|Facade|Bridge|Middleware|Filter|Interceptor))\b"
+TECHNOLOGIES = r"(?i)\b(PostgreSQL|MySQL|MariaDB|MongoDB|Redis|Memcached|Elasticsearch|OpenSearch|Kafka|RabbitMQ|Kinesis|Pulsar|DynamoDB|Cassandra|S3|GCS|Azure\s*Blob|Kubernetes|K8s|Docker|Helm|Terraform|Ansible|Nginx|HAProxy|Envoy|Istio|Linkerd)\b"
+PROTOCOLS = r"\b(REST|gRPC|GraphQL|WebSocket|MQTT|AMQP|STOMP|JWT|OAuth2?|OIDC|SAML|mTLS|TLS|SSL|HTTPS?)\b"
+ENDPOINTS = r"\b(?:GET|POST|PUT|PATCH|DELETE|HEAD|OPTIONS)\s+/[A-Za-z0-9_/{}.:\-]*"
+CAPITALS = r"\b([A-Z][A-Z0-9]{2,})\b"
+BACKTICKED = r"`([A-Za-z][A-Za-z0-9_./-]{2,})`"
+RAKE_TOKEN = r"(\w+(?:[._+\-]\w+)*)|(\W+)"
 CAPS_STOP = "HTTP HTTPS URL URI API SQL XML CSV JSON HTML YAML PDF ID OK NA TODO FIXME NOTE NB FAQ HR IT PM QA CI CD PR TBD WIP N/A EOF EOL UUID UTF TLDR SELECT FROM WHERE JOIN INTO VALUES UPDATE INSERT DELETE AND NOT SET GROUP".split()
 SAD_HEADINGS = ["introduction", "requirement", "quality attribute", "baseline solution architecture", "target solution architecture", "architecture", "component", "data model", "decision record"]
 # ---- end of fixed values ------------------------------------------------------------
@@ -149,19 +152,19 @@ def _found(text: Column, pattern: str, group: int = 1) -> Column:
 
 
 def services(text: Column) -> Column:
-    return _found(text, rf"\b([A-Z][a-z]+(?:[A-Z][a-z]+)*(?:{SERVICE_SUFFIXES}))\b")
+    return _found(text, SERVICES)
 
 
 def technologies(text: Column) -> Column:
-    return F.transform(_found(text, rf"(?i)\b({TECHNOLOGIES})\b"), lambda t: F.replace(t, F.lit(" "), F.lit("")))
+    return F.transform(_found(text, TECHNOLOGIES), lambda t: F.replace(t, F.lit(" "), F.lit("")))
 
 
 def protocols(text: Column) -> Column:
-    return _found(text, rf"\b({PROTOCOLS})\b")
+    return _found(text, PROTOCOLS)
 
 
 def endpoints(text: Column) -> Column:
-    whole = _found(text, rf"\b(?:{HTTP_METHODS})\s+/[A-Za-z0-9_/{{}}.:\-]*", 0)
+    whole = _found(text, ENDPOINTS, 0)
     return F.transform(whole, lambda e: F.regexp_replace(e, r"\s+", " "))
 
 
@@ -202,8 +205,8 @@ def without_fences(text: Column) -> Column:
 
 def raw_terms(text: Column) -> Column:
     """All candidates for a vocabulary: entities without endpoints, capitals, code in backticks."""
-    caps = F.filter(_found(text, r"\b([A-Z][A-Z0-9]{2,})\b"), lambda t: ~t.isin(*CAPS_STOP))
-    return F.concat(services(text), technologies(text), protocols(text), caps, _found(text, r"`([A-Za-z][A-Za-z0-9_./-]{2,})`"))
+    caps = F.filter(_found(text, CAPITALS), lambda t: ~t.isin(*CAPS_STOP))
+    return F.concat(services(text), technologies(text), protocols(text), caps, _found(text, BACKTICKED))
 
 
 def vocabulary(texts: DataFrame, text: Column, seeds: list[str] | None = None, cfg: Config = DEFAULT) -> DataFrame:
@@ -217,15 +220,13 @@ def vocabulary(texts: DataFrame, text: Column, seeds: list[str] | None = None, c
 
 # ---- key phrases --------------------------------------------------------------------
 
-_RAKE = re.compile(r"(\w+(?:[._+\-]\w+)*)|(\W+)")
-
 
 def keyphrases(text: str | None, top_n: int = DEFAULT.keyphrases, longest: int = DEFAULT.keyphrase_words, language: str = "en") -> list[str]:
     """RAKE: runs of content words, scored by the degree over the frequency of their words."""
     stop = pack(language).stop_words
     runs: list[tuple[str, ...]] = []
     run: list[str] = []
-    for word, other in _RAKE.findall(text or ""):
+    for word, other in re.findall(RAKE_TOKEN, text or ""):
         word = word.lower()
         content = bool(word) and not (word in stop or word.isdigit() or len(word) < 3)
         if content:

@@ -23,6 +23,9 @@ SPACE_TOKEN = r"(?:^|[^\w])(?:ac|ri|at|fab):[A-Za-z][\w-]*"
 ENTITY = r"&(?:[A-Za-z][A-Za-z0-9]*|#\d+|#x[0-9A-Fa-f]+);"
 BASE64 = r"[A-Za-z0-9+/]{200,}={0,2}"
 STORAGE = r"<(?:ac|ri|at):[A-Za-z]"
+FENCE = r"^(`{3,}|~{3,})"
+SPAN = r"`+[^`]*`+"
+HEADING = r"^(#{1,6})\s+\S"
 # ---- end of fixed values ------------------------------------------------------------
 
 
@@ -57,11 +60,6 @@ def substance(text: Column) -> Column:
     return F.length(F.trim(F.regexp_replace(F.regexp_replace(text, SYNTAX, ""), r"\s+", " ")))
 
 
-_FENCE = re.compile(r"^(`{3,}|~{3,})")
-_SPAN = re.compile(r"`+[^`]*`+")
-_HEADING = re.compile(r"^(#{1,6})\s+\S")
-
-
 def blank_code(text: str | None) -> str:
     """The text with fenced lines emptied and code spans blanked; lines keep their numbers.
 
@@ -69,7 +67,7 @@ def blank_code(text: str | None) -> str:
     """
     fence, out = "", []
     for line in (text or "").split("\n"):
-        mark = _FENCE.match(line.strip())
+        mark = re.match(FENCE, line.strip())
         if fence:
             if mark and mark.group(1)[0] == fence[0] and len(mark.group(1)) >= len(fence) and not line.strip()[len(mark.group(1)) :].strip():
                 fence = ""
@@ -78,14 +76,14 @@ def blank_code(text: str | None) -> str:
             fence = mark.group(1)
             out.append("")
         else:
-            out.append(_SPAN.sub(lambda m: " " * len(m.group(0)), line))
+            out.append(re.sub(SPAN, lambda m: " " * len(m.group(0)), line))
     return "\n".join(out)
 
 
 def orphan_headings(prose: str, raw: str) -> list[int]:
     """Lines of headings that have no content before a heading of the same or a higher level."""
     rows = raw.split("\n")
-    heads = [(i, len(m.group(1))) for i, line in enumerate(prose.split("\n")) if (m := _HEADING.match(line))]
+    heads = [(i, len(m.group(1))) for i, line in enumerate(prose.split("\n")) if (m := re.match(HEADING, line))]
     bare = []
     for (at, level), (until, then) in zip(heads, [*heads[1:], (len(rows), 0)]):
         if then <= level and not any(r.strip() for r in rows[at + 1 : until]):

@@ -1,13 +1,21 @@
-"""The chunk store: Parquet folders that are replaced as a whole.
+"""The chunk store: bucketed Parquet files under a manifest.
 
-An upsert is an anti-join and a union, written beside the old table and put in its place,
-so a lost job leaves the old table. Arrays stay arrays.
+A table's rows lie in BUCKETS folders by the hash of their key, and a manifest names the folder of each
+bucket. A change writes new folders for the buckets it touches and then a new manifest, which
+appears by one rename; until then, and if the job is lost before it, the old manifest and its files are the table.
+Arrays stay arrays.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import json
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from quillspark.session import written
 
 EMBED_FORMAT = 4
 
@@ -29,44 +37,114 @@ def without_documents(stored: DataFrame, doc_ids: DataFrame) -> tuple[DataFrame,
     return stored.join(ids, "doc_id", "left_anti"), stored.join(ids, "doc_id", "left_semi").agg(F.count("*").alias("n_deleted"))
 
 
+#: folders that a table's rows are spread over
+BUCKETS = 64
+
+
 class ChunkStore:
     """Tables ``chunks``, ``vectors`` and ``provenance`` under one folder."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
-        jvm = spark.sparkContext._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
+        self._jvm = spark.sparkContext._jvm
+        self._path = self._jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-    def _exists(self, table: str) -> bool:
-        return self._fs.exists(self._path(f"{self.folder}/{table}"))
+    # ---- manifests ----
+
+    def _versions(self, table: str) -> list[int]:
+        """The numbers of the manifests, ascending."""
+        place = self._path(f"{self.folder}/{table}")
+        if not self._fs.exists(place):
+            return []
+        names = [f.getPath().getName() for f in self._fs.listStatus(place)]
+        return sorted(int(n[9:-5]) for n in names if n.startswith("manifest-") and n.endswith(".json"))
+
+    def _manifest(self, table: str, version: int | None = None) -> dict | None:
+        """{'schema': .., 'buckets': {bucket: folder}} of the newest or a given version."""
+        versions = self._versions(table)
+        if not versions:
+            return None
+        stream = self._fs.open(self._path(f"{self.folder}/{table}/manifest-{version or versions[-1]:012d}.json"))
+        try:
+            return json.loads(self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def _commit(self, table: str, manifest: dict) -> None:
+        version = (self._versions(table) or [0])[-1] + 1
+        staged = self._path(f"{self.folder}/{table}/.staged-{uuid.uuid4().hex}")
+        stream = self._fs.create(staged, True)
+        stream.write(bytearray(json.dumps(manifest).encode()))
+        stream.close()
+        if not self._fs.rename(staged, self._path(f"{self.folder}/{table}/manifest-{version:012d}.json")):
+            raise RuntimeError(f"another job has changed {table}")
+        self._clear(table)
+
+    def _clear(self, table: str) -> None:
+        """Takes away what neither the newest manifest nor the one before names, so readers of that one go on."""
+        *old, _, _ = [None, None, *self._versions(table)]
+        for version in filter(None, old):
+            self._fs.delete(self._path(f"{self.folder}/{table}/manifest-{version:012d}.json"), False)
+        named = {f.rsplit("/", 1)[0] for v in self._versions(table) for f in self._manifest(table, v)["buckets"].values()}
+        data = self._path(f"{self.folder}/{table}/data")
+        for f in self._fs.listStatus(data) if self._fs.exists(data) else []:
+            if f"data/{f.getPath().getName()}" not in named:
+                self._fs.delete(f.getPath(), True)
+
+    # ---- rows ----
+
+    def _rows(self, table: str, manifest: dict, buckets: list[int] | None = None) -> DataFrame:
+        schema = StructType.fromJson(manifest["schema"])
+        places = [f"{self.folder}/{table}/{f}" for b, f in manifest["buckets"].items() if buckets is None or int(b) in buckets]
+        return self.spark.read.schema(schema).parquet(*places) if places else self.spark.createDataFrame([], schema)
 
     def read(self, table: str = "chunks") -> DataFrame | None:
-        return self.spark.read.parquet(f"{self.folder}/{table}") if self._exists(table) else None
+        manifest = self._manifest(table)
+        return None if manifest is None else self._rows(table, manifest)
 
-    def _replace(self, table: str, rows: DataFrame) -> None:
-        staged, old, place = (f"{self.folder}/{p}{table}" for p in ("_new_", "_old_", ""))
-        rows.write.mode("overwrite").parquet(staged)
-        self._fs.delete(self._path(old), True)
-        if self._exists(table):
-            self._fs.rename(self._path(place), self._path(old))
-        self._fs.rename(self._path(staged), self._path(place))
-        self._fs.delete(self._path(old), True)
+    def _write(self, table: str, rows: DataFrame, key: str, kept: dict[str, str]) -> None:
+        """``rows`` as new folders; ``kept`` names the folders of the buckets that are not touched."""
+        version = f"data/{uuid.uuid4().hex}"
+        place = f"{self.folder}/{table}/{version}"
+        rows.withColumn("_bucket", _bucket(key)).repartition("_bucket", F.pmod(F.xxhash64(key), F.lit(self.spark.sparkContext.defaultParallelism))).write.partitionBy("_bucket").parquet(place)
+        made = [f.getPath().getName() for f in self._fs.listStatus(self._path(place))]
+        buckets = {n.split("=")[1]: f"{version}/{n}" for n in made if n.startswith("_bucket=")}
+        self._commit(table, {"schema": rows.schema.jsonValue(), "buckets": kept | buckets})
 
-    def upsert(self, rows: DataFrame, table: str = "chunks", key: str = "chunk_id") -> None:
-        stored = self.read(table)
-        self._replace(table, rows if stored is None else upserted(stored, rows, key))
+    def replace(self, rows: DataFrame, table: str = "chunks", key: str = "chunk_id") -> None:
+        self._write(table, rows, key, {})
 
-    def delete(self, doc_ids: list[str], table: str = "chunks") -> int:
-        stored = self.read(table)
-        if stored is None:
+    def upsert(self, rows: DataFrame, table: str = "chunks", key: str = "chunk_id") -> None:
+        """Puts ``rows`` over the stored ones of equal keys; only the buckets of their keys are written anew."""
+        manifest = self._manifest(table)
+        if manifest is None:
+            return self.replace(rows, table, key)
+        touched = self._touched(rows, key)
+        if touched:
+            kept = {b: f for b, f in manifest["buckets"].items() if int(b) not in touched}
+            self._write(table, upserted(self._rows(table, manifest, touched), rows, key), key, kept)
+
+    def _touched(self, rows: DataFrame, key: str) -> list[int]:
+        return [r[0] for r in rows.select(_bucket(key)).distinct().collect()]  # at most BUCKETS
+
+    def delete(self, doc_ids: DataFrame | list[str], table: str = "chunks", key: str = "chunk_id") -> int:
+        """Takes the rows of the documents out and returns how many there were."""
+        manifest = self._manifest(table)
+        if manifest is None:
             return 0
-        ids = self.spark.createDataFrame([(d,) for d in doc_ids], f"doc_id {dict(stored.dtypes)['doc_id']}")
-        kept, counted = without_documents(stored, ids)
-        n = counted.first()["n_deleted"]
-        if n:
-            self._replace(table, kept)
-        return n
+        stored = self._rows(table, manifest)
+        if not isinstance(doc_ids, DataFrame):
+            doc_ids = self.spark.createDataFrame([(d,) for d in doc_ids], f"doc_id {dict(stored.dtypes)['doc_id']}")
+        gone = written(stored.join(doc_ids.select(F.col("doc_id").cast(stored.schema["doc_id"].dataType)).distinct(), "doc_id", "left_semi").select(key))
+        self.delete_keys(gone, table, key)
+        return gone.count()
+
+    def delete_keys(self, gone: DataFrame, table: str = "chunks", key: str = "chunk_id") -> None:
+        manifest, touched = self._manifest(table), self._touched(gone, key)
+        if manifest is not None and touched:
+            kept = {b: f for b, f in manifest["buckets"].items() if int(b) not in touched}
+            self._write(table, self._rows(table, manifest, touched).join(gone, key, "left_anti"), key, kept)
 
     def reset(self) -> None:
         for table in ("chunks", "vectors", "provenance"):
@@ -78,8 +156,12 @@ class ChunkStore:
 
     def write_provenance(self, provider: str, model: str, dimension: int, embed_format: int = EMBED_FORMAT) -> None:
         row = self.spark.createDataFrame([(provider, model, dimension, embed_format)], "provider string, model string, dimension int, embed_format int")
-        self._replace("provenance", row.coalesce(1))
+        self.replace(row, "provenance", "provider")
 
     def provenance(self) -> dict:
         rows = self.read("provenance")
         return {} if rows is None else rows.first().asDict()
+
+
+def _bucket(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")

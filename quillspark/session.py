@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import atexit
+import sys
 import tempfile
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -27,11 +27,14 @@ def get_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share.
 
-    It is the cluster's ``spark.checkpoint.dir``. Only where that is unset, as in
-    local tests, a temporary folder of this machine is used.
+    It is the cluster's ``spark.checkpoint.dir``. Only a local session, as in tests, may leave it
+    unset and use a temporary folder of this machine; on a cluster the executors would not share one.
     """
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if conf is None:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that the executors of {master} share")
         conf = tempfile.mkdtemp(prefix="quillspark-")
         spark.conf.set("spark.checkpoint.dir", conf)
     return conf
@@ -46,18 +49,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def cached(df: DataFrame) -> DataFrame:
-    """Keep a result that several branches read; lost blocks are computed again."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
 def _remove(spark: SparkSession, path: str) -> None:
     try:
         jvm = spark.sparkContext._jvm
         place = jvm.org.apache.hadoop.fs.Path(path)
         place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
-    except Exception:  # the session has ended; the folder's owner clears it
-        pass
+    except Exception as e:  # noqa: BLE001 - the session may have ended; then the folder's owner clears it
+        print(f"{path} is left behind: {type(e).__name__}", file=sys.stderr)
 
 
 def written(df: DataFrame) -> DataFrame:

@@ -32,7 +32,8 @@ LINE = (
 def _attr_map(attrs: Column) -> Column:
     text = lambda v: F.coalesce(v["stringValue"], v["intValue"], v["doubleValue"].cast("string"), v["boolValue"].cast("string"))
     pairs = F.filter(F.transform(F.coalesce(attrs, F.array().cast(_ATTRS)), lambda a: F.struct(a["key"], text(a["value"]))), lambda p: p["key"].isNotNull())
-    return F.map_from_entries(F.array_distinct(pairs))
+    # Of several values under one key the last counts.
+    return F.map_from_entries(F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda q: q["key"] == p["key"])))
 
 
 def _session(attrs: Column) -> Column:
@@ -86,8 +87,8 @@ def _fields(buf: bytes) -> dict[int, list]:
         elif key & 7 == 2 or width:
             n = width or varint()
             value, at = buf[at : at + n], at + n
-        else:
-            raise ValueError(f"wire type {key & 7}")
+        else:  # a group or an unknown type has no length; what came before it stays
+            return out
         out.setdefault(key >> 3, []).append(value)
     return out
 

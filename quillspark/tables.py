@@ -20,10 +20,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def spread(rows: DataFrame) -> DataFrame:
     """Rows of fewer files than cores, dealt out to all cores. A file of one row group is read by one
-    task however many cores there are; a table of many files is left as it is. Column pruning and
-    filters still reach the scan below the exchange."""
+    task however many cores there are; a table of many files is left as it is, so a large table never
+    takes this shuffle. The files are counted in the driver's file index, their names stay there.
+    Column pruning and filters still reach the scan below the exchange."""
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if len(rows.inputFiles()) < min(cores, 4) else rows
+    return rows.repartition(cores) if len(rows._jdf.inputFiles()) < min(cores, 4) else rows
 
 
 def is_prose(content_type="content_type"):
