@@ -6,8 +6,6 @@ step that needs all documents first is the vocabulary, if one is asked for.
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -35,18 +33,19 @@ def enriched_sections(documents: DataFrame, cfg: Config = DEFAULT, vocabulary: l
     kind = classify.section_type(F.col("title"), lang)
     body = F.coalesce("body", F.lit(""))
     s = s.withColumn("section_type", kind).withColumn("entities", classify.entities(F.concat_ws("\n", "title", body), vocabulary)).withColumn("tags", classify.tags(F.col("section_type"), body, lang)).drop("body")
-    none = F.array().cast("array<string>")
+    none, empty = F.array().cast("array<string>"), F.create_map().cast("map<string,array<string>>")
     if cfg.inventory:
         facts = inventory.table_records(inventory.parsed_tables(blocks)).select("doc_id", "section_id", F.col("value").alias("canonical"), "field", F.lit("table_cell").alias("source"), F.lit(1.0).alias("confidence"), F.col("value").alias("text"), F.struct("block_id", "row_no", "col_no").alias("seq"))
         by_target = inventory.routed_values(inventory.reconcile(facts), cfg)
         wide = by_target.groupBy("doc_id", "section_id").agg(
             F.first(F.when(F.col("target") == "depends_on", F.col("values")), True).alias("depends_on"), F.first(F.when(F.col("target") == "exposes", F.col("values")), True).alias("exposes"),
             F.flatten(F.array_sort(F.collect_list(F.when(F.col("target").startswith("metadata."), F.col("values"))))).alias("facts"),
+            F.map_from_entries(F.array_sort(F.collect_list(F.when(~F.col("target").isin("depends_on", "exposes"), F.struct(F.regexp_replace("target", r"^metadata\.", "").alias("key"), F.col("values").alias("value")))))).alias("metadata"),
         )
         s = s.join(wide, ["doc_id", "section_id"], "left")
     else:
-        s = s.withColumns({c: none for c in ("depends_on", "exposes", "facts")})
-    return s.withColumns({c: F.coalesce(c, none) for c in ("depends_on", "exposes", "facts")}), blocks
+        s = s.withColumns({c: none for c in ("depends_on", "exposes", "facts")}).withColumn("metadata", empty)
+    return s.withColumns({c: F.coalesce(c, none) for c in ("depends_on", "exposes", "facts")}).withColumn("metadata", F.coalesce("metadata", empty)), blocks
 
 
 def chunk_documents(documents: DataFrame, cfg: Config = DEFAULT, vocabulary: list[str] | None = None) -> DataFrame:
@@ -55,11 +54,19 @@ def chunk_documents(documents: DataFrame, cfg: Config = DEFAULT, vocabulary: lis
     reserve = chunking.header_reserve(F.array_join("breadcrumb", " > "), F.col("section_type"), F.col("tags"), F.col("genre"), cfg)
     sized = sections.withColumn("width", chunking.width(reserve, cfg=cfg))
     key = blocks.withColumn("doc_id", F.col("doc_id").cast("string"))
-    chunks = chunking.chunks(key, sized.select(F.col("doc_id").cast("string").alias("doc_id"), "section_id", "genre", "width"), cfg)
-    labels = sections.select(F.col("doc_id").cast("string").alias("doc_id"), "section_id", "breadcrumb", "section_type", "genre", "tags", "depends_on", "exposes", "facts")
+    sized = sized.select(F.col("doc_id").cast("string").alias("doc_id"), "section_id", "title", "genre", "width")
+    if cfg.profile_routing:
+        sized = sized.join(classify.document_profiles(key, classify.document_types(sized, cfg), cfg), "doc_id", "left")
+    strategy = classify.merge_strategy(F.col("profile") if cfg.profile_routing else F.lit(None), cfg)
+    chunks = chunking.chunks(key, sized.select("doc_id", "section_id", "genre", "width", strategy.alias("s")).select("doc_id", "section_id", "genre", "width", "s.*"), cfg)
+    labels = sections.select(F.col("doc_id").cast("string").alias("doc_id"), "section_id", "breadcrumb", "section_type", "genre", "tags", "depends_on", "exposes", "facts", "metadata")
     rows = chunks.join(labels, ["doc_id", "section_id"])
     own = documents.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("title").alias("doc_title"), *[F.col(c) for c in ("space",) if c in documents.columns])
     rows = rows.join(own, "doc_id", "left").withColumn("entities", classify.entities(F.col("content"), vocabulary))
+    if cfg.keyphrases:  # prose sections name their key phrases after the entities
+        rows = classify.keyphrase_rows(rows, "content", cfg.language, cfg)
+        rows = rows.withColumn("entities", chunking.merged_keywords(F.col("entities"), F.col("keyphrases"), F.col("genre"))).drop("keyphrases")
+    rows = rows.withColumn("metadata", chunking.scoped_metadata(F.col("metadata"), F.col("content")))
     header = chunking.embed_header(crumb=F.col("breadcrumb"), section_type=F.col("section_type"), genre=F.col("genre"), keywords=F.concat("entities", "facts"), tags=F.col("tags"), depends_on=F.col("depends_on"), exposes=F.col("exposes"))
     body = F.when(F.col("content_type") == "table", chunking.table_summary(F.col("content"))).otherwise(F.col("content"))
     return rows.withColumn("embed_text", F.when(header != "", F.concat(header, F.lit("\n\n"), body)).otherwise(body))
@@ -144,10 +151,3 @@ def lint_documents(documents: DataFrame, cfg: Config = DEFAULT, strict: bool = F
     rows = lint.lint(documents, cfg)
     blocked = F.exists("issues", lambda i: i["severity"] == "block")
     return rows.withColumn("status", F.when(F.size("issues") == 0, "clean").when(blocked & F.lit(strict), "failed").otherwise("issue"))
-
-
-def with_profile(cfg: Config, profile: str) -> Config:
-    """The merge flags that a document profile asks for, if routing is on and no flag is set."""
-    if not cfg.profile_routing or cfg.merge_prose or cfg.merge_definitions:
-        return cfg
-    return replace(cfg, merge_prose=profile in ("prose", "mixed"), merge_definitions=profile == "prose")

@@ -88,10 +88,14 @@ def has_signal(text: Column) -> Column:
     return F.replace(text, F.lit("`"), F.lit("")).rlike("[A-Za-z0-9]")
 
 
+# Fixed value: a line that names a file.
+LEAD_IN_FILE = r"(?U)^[\w./-]+\.[A-Za-z0-9]{1,6}$"
+
+
 def is_lead_in(text: Column, longest: int = 48) -> Column:
     """A short single line that ends with a colon or names a file."""
     t = F.trim(text)
-    return (F.length(t) <= longest) & (F.length(t) > 0) & ~t.contains("\n") & (t.endswith(":") | t.rlike(r"^`?[\w./-]+\.\w{1,8}`?$"))
+    return (F.length(t) <= longest) & (F.length(t) > 0) & ~t.contains("\n") & (t.endswith(":") | t.rlike(LEAD_IN_FILE))
 
 
 def bounded_words(words: list[str], tail: bool = False) -> str:

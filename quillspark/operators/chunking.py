@@ -2,23 +2,27 @@
 
 The widths are column expressions. Joining lead-ins, pairing questions with answers,
 packing and splitting carry state from block to block, so they run over the ordered
-blocks of a section in one Arrow pass. A section is handed on in runs of ``RUN_BLOCKS``
-blocks, so one with very many blocks does not become one task's memory; packing starts
-anew at a run's end.
+blocks of a section in one Arrow pass. A section of very many blocks is handed on in runs, so that it does not
+become one task's memory. Runs are cut where no unit is open: whether a block opens a unit of its own, whatever
+came before, shows from it and the block before it alone, so the chunks are those of the whole section.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import replace
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillspark.config import DEFAULT, Config
+from quillspark.functions.text import LEAD_IN_FILE
+from quillspark.session import written
 from quillspark.tables import PROSE_TYPES
 
+#: blocks of a section that a run begins with; it ends where the next block opens a unit
 RUN_BLOCKS = 5_000
 _SENTENCE = re.compile(r"(?<=[.!?])\s+")
 _ITEM = re.compile(r"\s*(?:[-*+]|\d+\.)\s")
@@ -48,7 +52,7 @@ def has_signal(text: str) -> bool:
 
 def is_lead_in(text: str, longest: int) -> bool:
     t = text.strip()
-    return bool(t) and len(t) <= longest and "\n" not in t and (t.endswith(":") or re.fullmatch(r"[\w./-]+\.[A-Za-z0-9]{1,6}", t) is not None)
+    return bool(t) and len(t) <= longest and "\n" not in t and (t.endswith(":") or re.match(LEAD_IN_FILE.removeprefix("(?U)"), t) is not None)
 
 
 def _packed(parts: list[str], glue: str, limit: int) -> Iterator[str]:
@@ -130,9 +134,30 @@ def split_block(text: str, limit: int, content_type: str, language: str | None,
     return with_overlap(pieces, sentences) if sentences > 0 and content_type != "table" and len(pieces) > 1 else pieces
 
 
+def packable_types(cfg: Config) -> set[str]:
+    return {*PROSE_TYPES, "code"} if cfg.merge_definitions else set(PROSE_TYPES) if cfg.merge_prose else set()
+
+
+def ready_text(block: dict) -> str:
+    """The block's trimmed text; empty for a block that gives no chunk."""
+    text = (block["text"] or "").strip()
+    return text if text and has_signal(text) else ""
+
+
+def opens_unit(before: dict, block: dict, genre: str, limit: int, cfg: Config) -> bool:
+    """Whether ``block`` opens a unit whatever came before ``before``, the ready block ahead of it."""
+    text, last = ready_text(block), ready_text(before)
+    if genre == "faq":
+        return block["content_type"] == "paragraph" and text.endswith("?")
+    packable = packable_types(cfg)
+    if packable:  # what is held includes the block before
+        return not {block["content_type"], before["content_type"]} <= packable or len(last) + 2 + len(text) > limit
+    return not is_lead_in(last, cfg.lead_in_chars)
+
+
 def section_units(blocks: list[dict], genre: str, limit: int, cfg: Config) -> Iterator[tuple[str, str, str | None, str]]:
     """(text, content type, language, id of the first block) of what is embedded together."""
-    ready = [(b["text"].strip(), b) for b in blocks if b["text"] and b["text"].strip() and has_signal(b["text"].strip())]
+    ready = [(text, b) for b in blocks if (text := ready_text(b))]
     if genre == "faq":
         group: list[str] = []
         first = ""
@@ -145,7 +170,7 @@ def section_units(blocks: list[dict], genre: str, limit: int, cfg: Config) -> It
         if group:
             yield "\n\n".join(group), "paragraph", None, first
         return
-    packable = {*PROSE_TYPES, "code"} if cfg.merge_definitions else set(PROSE_TYPES) if cfg.merge_prose else set()
+    packable = packable_types(cfg)
     if packable:
         held, first = "", ""
         for text, b in ready:
@@ -172,30 +197,89 @@ def section_units(blocks: list[dict], genre: str, limit: int, cfg: Config) -> It
             yield text, b["content_type"], b["language"], b["block_id"]
 
 
-SCHEMA = "doc_id string, section_id string, chunk_id string, idx int, content string, content_type string, language string"
+SCHEMA = "doc_id string, section_id string, chunk_id string, idx int, chunk_order int, content string, content_type string, language string"
+_BLOCK = ("seq", "block_id", "content_type", "text", "language")
+_FLAGS = ("merge_prose", "merge_definitions")
+
+
+def _runs(blocks: DataFrame) -> DataFrame:
+    """(doc_id, section_id, run_no, blocks): the blocks in order, RUN_BLOCKS sequence numbers at a time."""
+    return blocks.groupBy("doc_id", "section_id", F.floor(F.col("seq") / RUN_BLOCKS).cast("bigint").alias("run_no")).agg(F.array_sort(F.collect_list(F.struct(*_BLOCK))).alias("blocks"))
+
+
+def _joined_runs(runs: DataFrame, cfg: Config) -> DataFrame:
+    """Runs of sections of several runs, cut anew: the blocks before the first that opens a unit go to the run before.
+
+    Only the last ready block of a run, and whether a run holds a cut, cross from run to run.
+    """
+    runs = written(runs)
+    flags = [f"{c} boolean" for c in _FLAGS]
+    last_schema = "doc_id string, section_id string, run_no bigint, last struct<content_type: string, text: string>"
+
+    def last(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            ends = [next((b for b in reversed(list(bl)) if ready_text(b)), None) for bl in pdf["blocks"]]
+            yield pdf[["doc_id", "section_id", "run_no"]].assign(last=[{"content_type": b["content_type"], "text": b["text"]} if b else None for b in ends])
+
+    by_run = Window.partitionBy("doc_id", "section_id").orderBy("run_no")  # a row per RUN_BLOCKS blocks
+    before = runs.select("doc_id", "section_id", "run_no", "blocks").mapInPandas(last, last_schema).select("doc_id", "section_id", "run_no", F.last("last", True).over(by_run.rowsBetween(Window.unboundedPreceding, -1)).alias("before"))
+    cut_schema = ", ".join(["doc_id string, section_id string, run_no bigint, part int, genre string, width int", *flags, f"blocks {dict(runs.dtypes)['blocks']}"])
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for r in pdf.to_dict("records"):
+                bl, prev, at = list(r["blocks"]), r["before"], 0
+                own = _own(cfg, r)
+                while prev is not None and at < len(bl):
+                    if ready_text(bl[at]):
+                        if opens_unit(prev, bl[at], r["genre"], int(r["width"]), own):
+                            break
+                        prev = bl[at]
+                    at += 1
+                key = {k: r[k] for k in ("doc_id", "section_id", "run_no", "genre", "width", *_FLAGS)}
+                out += [key | {"part": part, "blocks": b} for part, b in ((0, bl[:at]), (1, bl[at:])) if b]
+            yield pd.DataFrame(out, columns=["doc_id", "section_id", "run_no", "part", "genre", "width", *_FLAGS, "blocks"])
+
+    parts = written(runs.join(before, ["doc_id", "section_id", "run_no"]).mapInPandas(cut, cut_schema))
+    in_order = Window.partitionBy("doc_id", "section_id").orderBy("run_no", "part")
+    target = F.coalesce(F.last(F.when(F.col("part") == 1, F.col("run_no")), True).over(in_order), F.lit(-1))
+    targets = parts.select("doc_id", "section_id", "run_no", "part").withColumn("target", target)
+    merged = parts.join(targets, ["doc_id", "section_id", "run_no", "part"]).groupBy("doc_id", "section_id", F.col("target").alias("run_no"), "genre", "width", *_FLAGS)
+    return merged.agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("run_no", "part", "blocks"))), lambda p: p["blocks"])).alias("blocks"))
+
+
+def _own(cfg: Config, row: dict) -> Config:
+    """The configuration with the flags of the row's document."""
+    return replace(cfg, merge_prose=bool(row["merge_prose"]), merge_definitions=bool(row["merge_definitions"]))
 
 
 def chunks(blocks: DataFrame, sections: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
-    """(doc_id, section_id, chunk_id, idx, content, content_type, language).
+    """(doc_id, section_id, chunk_id, idx, chunk_order, content, content_type, language).
 
     ``blocks``: doc_id, section_id, seq, block_id, content_type, text, language; ``sections``:
-    doc_id, section_id, genre, width. A piece without a letter or figure leaves a gap in idx.
+    doc_id, section_id, genre, width, and optionally merge_prose and merge_definitions, which else are those of ``cfg``.
+    A piece without a letter or figure leaves a gap in idx. ``chunk_order`` is the place of the chunk's first
+    block in its document. Sections without blocks, and blocks without a section, give no chunk.
     """
-    run_no = F.floor(F.col("seq") / RUN_BLOCKS)
-    runs = blocks.groupBy("doc_id", "section_id", run_no.alias("run_no")).agg(
-        F.array_sort(F.collect_list(F.struct("seq", "block_id", "content_type", "text", "language"))).alias("blocks")
-    )
-    rows = runs.join(sections.select("doc_id", "section_id", "genre", "width"), ["doc_id", "section_id"])
+    wanted = sections.select("doc_id", "section_id", "genre", "width", *[F.col(f) if f in sections.columns else F.lit(getattr(cfg, f)).alias(f) for f in _FLAGS])
+    long = blocks.groupBy("doc_id", "section_id").agg(F.max("seq").alias("m"), F.min("seq").alias("l")).where(F.floor(F.col("m") / RUN_BLOCKS) > F.floor(F.col("l") / RUN_BLOCKS)).select("doc_id", "section_id")
+    rows = _runs(blocks).join(wanted, ["doc_id", "section_id"])
+    if not (long := written(long)).isEmpty():
+        columns = ["doc_id", "section_id", "run_no", "genre", "width", *_FLAGS, "blocks"]
+        rows = rows.join(long, ["doc_id", "section_id"], "left_anti").select(columns).unionByName(_joined_runs(rows.join(long, ["doc_id", "section_id"], "left_semi"), cfg).select(columns))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
-            for doc, section, bl, genre, limit in zip(pdf["doc_id"], pdf["section_id"], pdf["blocks"], pdf["genre"], pdf["width"]):
-                for text, kind, language, first in section_units(list(bl), genre, int(limit), cfg):
-                    for idx, piece in enumerate(split_block(text, int(limit), kind, language, cfg.overlap_sentences)):
+            for r in pdf.to_dict("records"):
+                doc, section, limit, own = r["doc_id"], r["section_id"], int(r["width"]), _own(cfg, r)
+                place = {b["block_id"]: b["seq"] for b in r["blocks"]}
+                for text, kind, language, first in section_units(list(r["blocks"]), r["genre"], limit, own):
+                    for idx, piece in enumerate(split_block(text, limit, kind, language, own.overlap_sentences)):
                         if has_signal(piece):
-                            out.append((doc, section, f"{doc}_{section}_{first}_{idx}", idx, piece, kind, language))
-            yield pd.DataFrame(out, columns=["doc_id", "section_id", "chunk_id", "idx", "content", "content_type", "language"])
+                            out.append((doc, section, f"{doc}_{section}_{first}_{idx}", idx, place[first], piece, kind, language))
+            yield pd.DataFrame(out, columns=["doc_id", "section_id", "chunk_id", "idx", "chunk_order", "content", "content_type", "language"])
 
     return rows.mapInPandas(run, SCHEMA)
 

@@ -141,10 +141,12 @@ def document_profiles(blocks: DataFrame, doc_types: DataFrame, cfg: Config = DEF
 
 
 def merge_strategy(profile: Column, cfg: Config = DEFAULT) -> Column:
-    """Flags if one is set, else by profile when routing is on."""
+    """(merge_prose, merge_definitions): the flags if one is set, else by profile when routing is on:
+    technical documents merge definitions with code, prose merges prose, mixed ones nothing."""
     if cfg.merge_prose or cfg.merge_definitions or not cfg.profile_routing:
-        return F.struct(F.lit(cfg.merge_prose).alias("prose"), F.lit(cfg.merge_definitions).alias("definitions"))
-    return F.struct(profile.isin("prose", "mixed").alias("prose"), (profile == "prose").alias("definitions"))
+        return F.struct(F.lit(cfg.merge_prose).alias("merge_prose"), F.lit(cfg.merge_definitions).alias("merge_definitions"))
+    profile = F.coalesce(profile, F.lit("mixed"))
+    return F.struct((profile == "prose").alias("merge_prose"), (profile == "technical").alias("merge_definitions"))
 
 
 def _found(text: Column, pattern: str, group: int = 1) -> Column:
@@ -246,13 +248,13 @@ def keyphrases(text: str | None, top_n: int = DEFAULT.keyphrases, longest: int =
     return sorted(scored, key=lambda p: (-scored[p], p))[:top_n]
 
 
-def keyphrase_rows(rows: DataFrame, text: str = "text", language: str = "en") -> DataFrame:
+def keyphrase_rows(rows: DataFrame, text: str = "text", language: str = "en", cfg: Config = DEFAULT) -> DataFrame:
     """The rows with ``keyphrases array<string>``; null and empty texts have none."""
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields) + ", keyphrases array<string>"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pdf.assign(keyphrases=[keyphrases(t, language=language) for t in pdf[text]])
+            yield pdf.assign(keyphrases=[keyphrases(t, cfg.keyphrases, cfg.keyphrase_words, language) for t in pdf[text]])
 
     return rows.mapInPandas(run, schema)
 

@@ -347,7 +347,7 @@ SELECT doc_id, length(text) AS n_chars, len(string_split(text, chr(10))) AS n_li
     "link_hosts": "SELECT DISTINCT doc_id, CASE WHEN regexp_matches(url, '^[a-zA-Z]+://') THEN regexp_replace(regexp_extract(url, '^[a-zA-Z]+://([^/?#]*)', 1), '^www\\.', '') ELSE regexp_extract(url, '^([^?#]*)', 1) END AS host FROM page_meta",
     "slugs": "SELECT title, CASE WHEN s = '' THEN 'x' ELSE s END AS slug FROM (SELECT DISTINCT title, substr(regexp_replace(regexp_replace(lower(title), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), 1, 40) AS s FROM sections WHERE title IS NOT NULL)",
     "low_signal": f"""SELECT doc_id, block_id, len(regexp_extract_all(text, '[A-Za-z0-9]{{2,}}')) < 3 AS low, regexp_matches(replace(text, '`', ''), '[A-Za-z0-9]') AS signal,
-  length(trim(text)) <= 48 AND length(trim(text)) > 0 AND NOT contains(trim(text), chr(10)) AND (trim(text) LIKE '%:' OR regexp_matches(trim(text), '^`?[0-9A-Za-z_./-]+\\.[0-9A-Za-z_]{{1,8}}`?$')) AS lead_in FROM {_B} WHERE text IS NOT NULL""",
+  length(trim(text)) <= 48 AND length(trim(text)) > 0 AND NOT contains(trim(text), chr(10)) AND (trim(text) LIKE '%:' OR regexp_matches(trim(text), '^[\\p{{L}}\\p{{M}}\\p{{N}}_./-]+\\.[A-Za-z0-9]{{1,6}}$')) AS lead_in FROM {_B} WHERE text IS NOT NULL""",
     "lint_html_leakage": f"SELECT * FROM (SELECT doc_id, block_id, n_leaks, CASE WHEN n_leaks > 3 THEN 'block' WHEN n_leaks > 0 THEN 'warn' END AS severity FROM (SELECT *, len(regexp_extract_all(text, '{_LEAK}')) AS n_leaks FROM {_B} WHERE content_type <> 'code' AND text IS NOT NULL)) WHERE n_leaks > 0",
     "lint_macros": f"SELECT * FROM (SELECT doc_id, array_to_string(list_sort(list_distinct(list_transform(regexp_extract_all(text, '{_MACRO}'), lambda x: substr(x, 1, 24)))), ',') AS samples FROM {_D}) WHERE samples <> ''",
     "lint_content_density": f"SELECT *, substance < 200 AS is_stub FROM (SELECT doc_id, length(trim(regexp_replace(regexp_replace(text, '[#*_`\\[\\]()>|~^\\\\!=+-]', '', 'g'), '\\s+', ' ', 'g'))) AS substance FROM {_D})",

@@ -46,7 +46,9 @@ def test_index_and_search(spark, docs, tmp_path):
 def test_lint_vocabulary_and_profiles(spark, docs):
     assert {r.doc_id: r.status for r in api.lint_documents(docs, strict=True).collect()} == {"a": "failed", "b": "failed", "c": "failed", "d": "failed"}
     assert "Kafka" in [r.term for r in api.scan_vocabulary(docs, ["seed"]).collect()]
-    assert api.with_profile(Config(profile_routing=True), "prose").merge_definitions and not api.with_profile(Config(), "prose").merge_prose
+    flags = {p: tuple(spark.range(1).select(classify.merge_strategy(F.lit(p), Config(profile_routing=True)).alias("s")).first().s) for p in ("technical", "prose", "mixed", None)}
+    assert flags == {"technical": (False, True), "prose": (True, False), "mixed": (False, False), None: (False, False)}
+    assert tuple(spark.range(1).select(classify.merge_strategy(F.lit("technical"), Config(profile_routing=True, merge_prose=True)).alias("s")).first().s) == (True, False)
     m = spark.createDataFrame([("s1", "1", "/W/a/"), ("s2", "2", "/w/A"), ("s3", "3", None)], "session_id string, ts string, cwd string")
     assert usage.newest_session(m, spark.createDataFrame([("/w/a",), ("/none",)], "path string")).orderBy("workspace").collect() == [("/none", None), ("/w/a", "s2")]
     got = docs.select("doc_id", classify.voted_language(F.col("text")).alias("v")).collect()

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from quillspark import api, session
+from quillspark.config import Config
 from quillspark.functions.lang_packs import pack
-from quillspark.operators import convert, store
+from quillspark.operators import chunking, convert, store
 from quillspark.sources import otel
 
 
@@ -93,3 +95,31 @@ def test_repeated_attributes_and_unknown_wire_types(spark):
 def test_tidy_and_language_codes():
     assert convert.tidy("\n\n\na\\*\\*b\\*\\*  \n\n\n\n- \\[x\\] done\xa0now\n``` py\n\n\n\nx\\*  \n```\n\n\n\nend\n\n\n") == "\na**b**\n\n- [x] done now\n```py\n\n\n\nx\\*  \n```\n\nend\n"
     assert [pack(x).code for x in ("de-AT", " fr_CA", "IT", "english", None, "", "es", "d", "de at")] == ["de", "fr", "it", "en", "en", "en", "en", "en", "en"]
+
+
+@pytest.mark.parametrize("genre,cfg", [("narrative", {}), ("faq", {}), ("narrative", {"merge_prose": True}), ("narrative", {"merge_definitions": True})])
+def test_chunks_of_runs_are_those_of_the_section(spark, monkeypatch, genre, cfg):
+    rng = random.Random(5)
+    texts = ["Steps:", "Files:", "app.yaml", "Why is that?", "short text", "a longer text of some words", "x" * 90, "---", None, "", "`\\`"]
+    block = [("d", "s", i, f"b{i}", rng.choice(["paragraph", "paragraph", "list", "code", "table"]), rng.choice(texts), None) for i in range(90)]
+    block += [("d", "t", i, f"c{i}", "paragraph", None, None) for i in range(30)] + [("d", "u", i, f"e{i}", "paragraph", "Steps:", None) for i in range(40)]
+    b = spark.createDataFrame(block, "doc_id string, section_id string, seq int, block_id string, content_type string, text string, language string")
+    s = spark.createDataFrame([("d", x, genre, 100) for x in "stu"], "doc_id string, section_id string, genre string, width int")
+    whole = sorted(tuple(r) for r in chunking.chunks(b, s, Config(**cfg)).collect())
+    for run in (1, 4, 7):
+        monkeypatch.setattr(chunking, "RUN_BLOCKS", run)
+        assert sorted(tuple(r) for r in chunking.chunks(b, s, Config(**cfg)).collect()) == whole
+
+
+def test_chunks_carry_key_phrases_metadata_and_profiles(spark):
+    prose = "Retry queue depth grows while the broker restarts. " * 8
+    docs = spark.createDataFrame([
+        ("p", f"# Story\n\n{prose}\n\n{prose}", "Story", "S"), ("t", "# Code\n\nUse this now and then.\n\n```py\n" + "x = 1\n" * 60 + "```\n\n| Runtime | Uses |\n| --- | --- |\n| Go | payments |", "Code", "S"),
+    ], "doc_id string, text string, title string, space string")
+    rows = api.chunk_documents(docs, Config(profile_routing=True)).collect()
+    story = [r for r in rows if r.doc_id == "p"]
+    assert len(story) == 1 and "keywords: " in story[0].embed_text and "retry queue depth grows" in story[0].entities  # prose packs its paragraphs
+    code = [r for r in rows if r.doc_id == "t" and r.content_type == "paragraph"]
+    assert len(code) == 1 and "x = 1" in code[0].content  # technical documents pack code with prose
+    assert all(r.metadata.get("runtime") == ["Go"] for r in rows if r.doc_id == "t") and not any(r.metadata for r in story)
+    assert [r.chunk_order for r in sorted(story, key=lambda r: r.chunk_order)] == sorted(r.chunk_order for r in story)
