@@ -474,7 +474,7 @@ PAGE = """<html><head><title>SP : My page</title><meta name="ajs-page-id" conten
 def test_html_conversion(spark):
     got = convert.convert_html(PAGE)
     md = got["markdown"]
-    for part in ("# Top", "One **two** & here [out](https://u.example)", "> **Warning** Hot", "> Mind it", "> - a", "```sql\nSELECT a FROM b\n```", "```\nplain\n```", "- [x] done", "  - [ ] sub", "3. c\n4. d", "| H\\|1 | H2 |", "| x; y |  |", "(yes)", "[DONE]", "> said"):
+    for part in ("# Top", "One **two** & here [out](https://u.example)", "> **Warning — Hot:**", "> Mind it", "> - a", "```sql\nSELECT a FROM b\n```", "```\nplain\n```", "- [x] done", "  - [ ] sub", "3. c\n4. d", "| H\\|1 | H2 |", "| x; y |  |", "(yes)", "**DONE**", "> said"):
         assert part in md, part
     assert "menu" not in md and "var a" not in md and got["title"] == "My page" and got["meta"]["space"] == "SP" and got["meta"]["page_id"] == "7" and got["macro_counts"]["warning"] == 1
     d = spark.createDataFrame([(1, PAGE), (2, None), (3, "<ri:page/>"), (4, "<p>bare</p>"), (5, "")], "doc_id int, text string")
