@@ -149,26 +149,22 @@ def link_texts(markdown: Column) -> Column:
     return F.regexp_extract_all(markdown, F.lit(r"\[([^\]]+)\]\([^)]+\)"), 1)
 
 
-def markdown_measures(markdown: Column) -> dict[str, Column]:
-    """Twelve counters of a Markdown text."""
-    lines = F.split(markdown, "\n")
+# What the counters of a Markdown text count.
+MEASURES = {
+    "headings": r"(?m)^#{1,6}[ \t]", "pictures": r"!\[[^\]]*\]\([^)]*\)", "lists": r"(?m)^[ \t]*(?:[-*+]|\d+\.)[ \t]+\S", "blockquotes": r"(?m)^> ",
+    "links": r"(?<!!)\[[^\]]*\]\([^)\s]+", "autolinks": r"<https?://[^>\s]+>", "bare": r"(?<![(<\w])https?://[^\s)>\]]+",
+}
 
-    def count(pattern: str) -> Column:
-        return F.regexp_count(markdown, F.lit(pattern)).cast("bigint")
 
+def markdown_measures(markdown: Column) -> dict[str, Column]:
+    """Twelve counters of a Markdown text; sections and code_snippets are other names of headings and code_blocks."""
+    n = {k: F.regexp_count(markdown, F.lit(p)).cast("bigint") for k, p in MEASURES.items()}
+    rules = F.filter(F.transform(F.split(markdown, "\n"), lambda x: F.trim(x)), lambda x: x.contains("|") & x.contains("-") & x.rlike(r"^[|: -]+$"))
+    fences = F.floor(F.regexp_count(markdown, F.lit("```")) / 2).cast("bigint")
     return {
-        "n_chars": F.length(markdown).cast("bigint"),
-        "n_lines": F.size(lines).cast("bigint"),
-        "n_words": F.regexp_count(markdown, F.lit(r"\S+")).cast("bigint"),
-        "n_headings": count(r"(?m)^#{1,6}\s+\S"),
-        "n_fences": F.floor(count(r"(?m)^(?:```|~~~)") / 2).cast("bigint"),
-        "n_table_rows": count(r"(?m)^\|.*\|[ \t]*$"),
-        "n_list_items": count(r"(?m)^[ \t]*(?:[-*+]|\d+\.)[ \t]+\S"),
-        "n_quotes": count(r"(?m)^>"),
-        "n_links": count(r"(?<!!)\[[^\]\n]+\]\([^)\n]+\)"),
-        "n_images": count(r"!\[[^\]\n]*\]\([^)\n]+\)"),
-        "n_code_spans": count(r"(?<!`)`[^`\n]+`(?!`)"),
-        "n_html_tags": count(r"</?[A-Za-z][^<>\n]*>"),
+        "lines": F.regexp_count(markdown, F.lit("\n")).cast("bigint"), "words": F.regexp_count(markdown, F.lit(r"\S+")).cast("bigint"), "chars": F.length(markdown).cast("bigint"),
+        "sections": n["headings"], "headings": n["headings"], "pictures": n["pictures"], "code_snippets": fences, "code_blocks": fences, "lists": n["lists"],
+        "tables": F.size(rules).cast("bigint"), "urls": n["links"] + n["autolinks"] + n["bare"], "blockquotes": n["blockquotes"],
     }
 
 

@@ -23,6 +23,8 @@ SPACE_TOKEN = r"(?:^|[^\w])(?:ac|ri|at|fab):[A-Za-z][\w-]*"
 ENTITY = r"&(?:[A-Za-z][A-Za-z0-9]*|#\d+|#x[0-9A-Fa-f]+);"
 BASE64 = r"[A-Za-z0-9+/]{200,}={0,2}"
 STORAGE = r"<(?:ac|ri|at):[A-Za-z]"
+FLAVOUR_DC = r"<meta\b[^>]*name=['\"]ajs-version-number['\"]|class=['\"][^'\"]*(?:syntaxhighlighter-pre|\bconfluenceTable\b)"
+FLAVOUR_CLOUD = r"<meta\b[^>]*name=['\"]confluence-version['\"]|class=['\"](?:[^'\"]*\s)?(?:content-area|wiki-content)(?:\s[^'\"]*)?['\"]"
 FENCE = r"^(`{3,}|~{3,})"
 SPAN = r"`+[^`]*`+"
 HEADING = r"^(#{1,6})\s+\S"
@@ -61,21 +63,32 @@ def substance(text: Column) -> Column:
 
 
 def blank_code(text: str | None) -> str:
-    """The text with fenced lines emptied and code spans blanked; lines keep their numbers.
+    """The text with fenced and indented code emptied and code spans blanked; lines keep their numbers.
 
-    A fence is closed by a run of its own character at least as long as the one that opened it.
+    A fence is closed by a run of its own character at least as long as the one that opened it. Indented
+    code begins after an empty line or at the start and goes on until a line is not indented.
     """
     fence, out = "", []
+    indented, fresh = False, True
     for line in (text or "").split("\n"):
         mark = re.match(FENCE, line.strip())
         if fence:
             if mark and mark.group(1)[0] == fence[0] and len(mark.group(1)) >= len(fence) and not line.strip()[len(mark.group(1)) :].strip():
                 fence = ""
             out.append("")
+            fresh = False
         elif mark:
             fence = mark.group(1)
             out.append("")
+            fresh = False
+        elif not line.strip():
+            out.append(line)
+            indented, fresh = False, True
+        elif line.startswith(("    ", "\t")) and (indented or fresh):
+            out.append("")
+            indented, fresh = True, False
         else:
+            indented = fresh = False
             out.append(re.sub(SPAN, lambda m: " " * len(m.group(0)), line))
     return "\n".join(out)
 
@@ -103,8 +116,15 @@ def with_blanked_code(rows: DataFrame, text: str = "text") -> DataFrame:
     return rows.mapInPandas(run, schema)
 
 
-def _issue(rule: str, severity: Column, detail: Column) -> Column:
-    return F.when(severity.isNotNull(), F.struct(F.lit(rule).alias("rule"), severity.alias("severity"), detail.alias("detail")))
+def first_line(text: Column, pattern: str) -> Column:
+    """The number of the line that the first match begins on."""
+    before = F.substring(text, F.lit(1), F.regexp_instr(text, F.lit(pattern)) - 1)
+    return F.size(F.split(before, "\n"))
+
+
+def _issue(rule: str, severity: Column, detail: Column, line: Column | None = None) -> Column:
+    at = F.lit(None).cast("int") if line is None else line.cast("int")
+    return F.when(severity.isNotNull(), F.struct(F.lit(rule).alias("rule"), severity.alias("severity"), detail.alias("detail"), at.alias("line")))
 
 
 def markdown_issues(text: Column, prose: Column, orphans: Column, cfg: Config = DEFAULT) -> Column:
@@ -112,12 +132,12 @@ def markdown_issues(text: Column, prose: Column, orphans: Column, cfg: Config =
     n, samples = leak_count(prose), macro_samples(prose)
     code, links, left = code_share(text), link_share(prose), substance(prose)
     found = [
-        _issue("html_leakage", leak_severity(prose, cfg), F.concat(n.cast("string"), F.lit(" HTML fragments"))),
-        _issue("confluence_artifacts", F.when(F.size(samples) > 0, "block"), F.array_join(samples, ", ")),
+        _issue("html_leakage", leak_severity(prose, cfg), F.concat(n.cast("string"), F.lit(" HTML fragments")), first_line(prose, LEAK)),
+        _issue("confluence_artifacts", F.when(F.size(samples) > 0, "block"), F.array_join(samples, ", "), first_line(prose, MACRO)),
         _issue("code_ratio", F.when(code > cfg.lint_code_share, "warn"), F.format_string("%.0f%% code", code * 100)),
         _issue("link_density", F.when(links > cfg.lint_link_share, "warn"), F.format_string("%.0f%% link text", links * 100)),
         _issue("content_density", F.when(left < cfg.lint_stub_chars, "block"), F.concat(F.lit("only "), left.cast("string"), F.lit(" characters"))),
-        _issue("orphaned_headings", F.when(F.size(orphans) > 0, "warn"), F.concat(F.size(orphans).cast("string"), F.lit(" empty headings"))),
+        _issue("orphaned_headings", F.when(F.size(orphans) > 0, "warn"), F.concat(F.size(orphans).cast("string"), F.lit(" empty headings")), F.get(orphans, 0)),
     ]
     return F.array_compact(F.array(*found))
 
@@ -151,9 +171,25 @@ def is_poisoned(text: Column, content_type: Column) -> Column:
     return (F.trim(F.coalesce(text, F.lit(""))) == "") | ((content_type != "code") & F.coalesce(text.rlike(_SIGNS), F.lit(False)) & F.coalesce(any_flag, F.lit(False)))
 
 
+#: columns of a chunk that feed the header of its embedding text
+HEADER_VALUES = ("breadcrumb", "doc_title", "entities", "tags")
+
+
+def header_is_poisoned(columns: list[tuple[str, str]]) -> Column:
+    """Whether the values of the header, of those columns that there are, have the shape of markup."""
+    held = [F.array_join(c, "\n") if t.startswith("array") else F.col(c) for c, t in columns if c in HEADER_VALUES]
+    if not held:
+        return F.lit(False)
+    values, found = F.concat_ws("\n", *held), F.lit(False)
+    for flag in residue_flags(values).values():
+        found = found | flag
+    return F.coalesce(values.rlike(_SIGNS) & found, F.lit(False))
+
+
 def gate(chunks: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(kept chunks, rejected doc_ids): one poisoned chunk drops its whole document."""
-    bad = chunks.where(is_poisoned(F.col(text), F.col("content_type"))).groupBy("doc_id").agg(F.count("*").alias("n_poisoned"))
+    """(kept chunks, rejected doc_ids): one chunk that is poisoned in its text or in its header drops its whole document."""
+    poisoned = is_poisoned(F.col(text), F.col("content_type")) | header_is_poisoned(chunks.dtypes)
+    bad = chunks.where(poisoned).groupBy("doc_id").agg(F.count("*").alias("n_poisoned"))
     return chunks.join(bad, "doc_id", "left_anti"), bad
 
 
@@ -167,11 +203,8 @@ def is_low_signal(text: Column) -> Column:
 
 
 def wiki_flavour(html: Column) -> Column:
-    return (
-        F.when(html.rlike(r"confluence-information-macro|class=\"[^\"]*wiki-content"), "dc")
-        .when(html.rlike(r"data-node-type|ak-renderer"), "cloud")
-        .otherwise("unknown")
-    )
+    """Which kind of wiki rendered a page: 'dc', 'cloud' or 'unknown'; the marks of 'dc' count first."""
+    return F.when(html.rlike(FLAVOUR_DC), "dc").when(html.rlike(FLAVOUR_CLOUD), "cloud").otherwise("unknown")
 
 
 def is_storage_format(html: Column) -> Column:

@@ -338,12 +338,12 @@ u AS (SELECT doc_id, list_concat(langs, adm) AS all_tags FROM l),
 o AS (SELECT doc_id, list_filter(all_tags, lambda x, i: list_position(all_tags, x) = i) AS t FROM u)
 SELECT doc_id, 'content,' || array_to_string(t, ',') AS tags FROM o WHERE len(t) > 0""",
     "markdown_stats": f"""
-SELECT doc_id, length(text) AS n_chars, len(string_split(text, chr(10))) AS n_lines, len(regexp_extract_all(text, '\\S+')) AS n_words,
-  len(regexp_extract_all(text, '(?m)^#{{1,6}}\\s+\\S')) AS n_headings, CAST(floor(len(regexp_extract_all(text, '(?m)^(?:```|~~~)')) / 2) AS BIGINT) AS n_fences,
-  len(regexp_extract_all(text, '(?m)^\\|.*\\|[ \\t]*$')) AS n_table_rows, len(regexp_extract_all(text, '(?m)^[ \\t]*(?:[-*+]|\\d+\\.)[ \\t]+\\S')) AS n_list_items,
-  len(regexp_extract_all(text, '(?m)^>')) AS n_quotes, len(regexp_extract_all(text, '\\[[^\\]\\n]+\\]\\([^)\\n]+\\)')) - len(regexp_extract_all(text, '!\\[[^\\]\\n]+\\]\\([^)\\n]+\\)')) AS n_links,
-  len(regexp_extract_all(text, '!\\[[^\\]\\n]*\\]\\([^)\\n]+\\)')) AS n_images, len(regexp_extract_all(regexp_replace(text, '```+', '', 'g'), '`[^`\\n]+`')) AS n_code_spans,
-  len(regexp_extract_all(text, '</?[A-Za-z][^<>\\n]*>')) AS n_html_tags FROM {_D}""",
+SELECT doc_id, len(string_split(text, chr(10))) - 1 AS lines, len(regexp_extract_all(text, '\\S+')) AS words, length(text) AS chars, h AS sections, h AS headings,
+  len(regexp_extract_all(text, '!\\[[^\\]]*\\]\\([^)]*\\)')) AS pictures, f AS code_snippets, f AS code_blocks, len(regexp_extract_all(text, '(?m)^[ \\t]*(?:[-*+]|\\d+\\.)[ \\t]+\\S')) AS lists,
+  len(list_filter(string_split(text, chr(10)), lambda x: contains(x, '|') AND contains(x, '-') AND regexp_matches(trim(x), '^[|: -]+$'))) AS tables,
+  len(list_filter(regexp_extract_all(text, '!?\\[[^\\]]*\\]\\([^)\\s]+'), lambda x: NOT starts_with(x, '!'))) + len(regexp_extract_all(text, '<https?://[^>\\s]+>'))
+    + len(regexp_extract_all(text, '(?:^|[^(<0-9A-Za-z_])https?://[^\\s)>\\]]+')) AS urls, len(regexp_extract_all(text, '(?m)^> ')) AS blockquotes
+FROM (SELECT *, len(regexp_extract_all(text, '(?m)^#{{1,6}}[ \\t]')) AS h, CAST(floor(len(regexp_extract_all(text, '```')) / 2) AS BIGINT) AS f FROM {_D})""",
     "link_hosts": "SELECT DISTINCT doc_id, CASE WHEN regexp_matches(url, '^[a-zA-Z]+://') THEN regexp_replace(regexp_extract(url, '^[a-zA-Z]+://([^/?#]*)', 1), '^www\\.', '') ELSE regexp_extract(url, '^([^?#]*)', 1) END AS host FROM page_meta",
     "slugs": "SELECT title, CASE WHEN s = '' THEN 'x' ELSE s END AS slug FROM (SELECT DISTINCT title, substr(regexp_replace(regexp_replace(lower(title), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), 1, 40) AS s FROM sections WHERE title IS NOT NULL)",
     "low_signal": f"""SELECT doc_id, block_id, len(regexp_extract_all(text, '[A-Za-z0-9]{{2,}}')) < 3 AS low, regexp_matches(replace(text, '`', ''), '[A-Za-z0-9]') AS signal,
