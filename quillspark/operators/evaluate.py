@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,10 +14,31 @@ from quillspark.config import DEFAULT, Config
 def expected_documents(documents: DataFrame, items: DataFrame) -> DataFrame:
     """(query_id, id): documents that hold the first sentence of an item's passage.
 
-    The items are a stated, small set and are broadcast; every document is read once.
+    The items are a stated set; their sentences go into one automaton, which reads every document once, so
+    the time does not grow with documents times items. Items with an empty sentence expect nothing.
     """
-    first = items.select("query_id", F.split("passage", r"\. ")[0].alias("first")).where(F.length("first") > 0)
-    return documents.select(F.col("doc_id").alias("id"), "text").join(F.broadcast(first), F.contains(F.col("text"), F.col("first"))).select("query_id", "id")
+    first = items.select("query_id", F.split("passage", r"\. ")[0].alias("first")).where(F.length("first") > 0).distinct()
+    owners: dict[str, list] = {}
+    for r in first.collect():
+        owners.setdefault(r["first"], []).append(r["query_id"])
+    kinds = dict(documents.dtypes)
+    schema = f"query_id {dict(items.dtypes)['query_id']}, id {kinds['doc_id']}"
+    if not owners:
+        return documents.sparkSession.createDataFrame([], schema)
+    shared = documents.sparkSession.sparkContext.broadcast(owners)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import ahocorasick
+
+        automaton = ahocorasick.Automaton()
+        for sentence, ids in shared.value.items():
+            automaton.add_word(sentence, ids)
+        automaton.make_automaton()
+        for pdf in batches:
+            rows = [(q, d) for d, text in zip(pdf["doc_id"], pdf["text"]) for q in sorted({q for _, ids in automaton.iter(text) for q in ids})]
+            yield pd.DataFrame(rows, columns=["query_id", "id"])
+
+    return documents.where(F.length("text") > 0).select("doc_id", "text").mapInPandas(run, schema)
 
 
 def matched_sections(results: DataFrame, matchers: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ section ids repeat between documents.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -153,3 +155,25 @@ def template_taxonomy(tables: DataFrame, titles: DataFrame) -> DataFrame:
     rows = per.groupBy("section_key").agg(F.min_by("orientation", "first").alias("orientation"), F.array_sort(F.collect_list(F.struct("first", "f"))).alias("g"))
     flat = F.flatten(F.flatten(F.transform("g", lambda s: F.transform(s["f"], lambda x: x["fields"]))))
     return rows.select("section_key", F.array_distinct(flat).alias("fields"), "orientation")
+
+
+def frequent_first(frequencies: DataFrame, by: str = "section_key") -> DataFrame:
+    """(by, rank, field, doc_freq): the fields of each group, the most frequent first, ties by name."""
+    w = Window.partitionBy(by).orderBy(F.col("doc_freq").desc(), "field")
+    return frequencies.select(by, F.row_number().over(w).alias("rank"), "field", "doc_freq")
+
+
+def routed_taxonomy(documents: DataFrame, taxonomy: DataFrame) -> DataFrame:
+    """(doc_id, section_key, fields): the taxonomy for documents of type 'sad'; others have none, a row with nulls."""
+    sad = documents.where("doc_type = 'sad'").select("doc_id").crossJoin(F.broadcast(taxonomy.select("section_key", "fields")))
+    rest = documents.where(F.coalesce(F.col("doc_type") != "sad", F.lit(True))).select("doc_id", F.lit(None).cast("string").alias("section_key"), F.lit(None).cast(dict(taxonomy.dtypes)["fields"]).alias("fields"))
+    return sad.unionByName(rest)
+
+
+def direction_map(path: str) -> dict[str, str]:
+    """Normalised field names to directions, of a YAML file {direction: [names]}; a missing file has none."""
+    import yaml
+
+    p = Path(path)
+    data = (yaml.safe_load(p.read_text(encoding="utf-8")) or {}) if p.exists() else {}
+    return {_norm(str(n)): str(d) for d, names in data.items() for n in names or []}

@@ -72,3 +72,26 @@ def shown_nodes(nodes: DataFrame, limit: int = NODE_LIMIT) -> tuple[DataFrame, D
     w = Window.partitionBy("kind").orderBy("id")
     ranked = nodes.withColumn("_n", F.row_number().over(w))
     return ranked.where(F.col("_n") <= limit).drop("_n"), ranked.groupBy("kind").agg(F.greatest(F.lit(0), F.max("_n") - limit).alias("n_left_out"))
+
+
+def with_paths(results: DataFrame, manifest: DataFrame) -> DataFrame:
+    """``results`` (doc_id, ..) with the ``path`` that the manifest (doc_id, path) names; ``?`` where it names none."""
+    paths = manifest.groupBy("doc_id").agg(F.min("path").alias("path"))
+    return results.join(paths, "doc_id", "left").withColumn("path", F.coalesce("path", F.lit("?")))
+
+
+def section_by_breadcrumb(rows: DataFrame, sections: DataFrame) -> DataFrame:
+    """``rows`` (doc_id, breadcrumb, ..) with the section_id of their breadcrumb; of sections with one breadcrumb the last counts."""
+    last = sections.groupBy("doc_id", "breadcrumb").agg(F.max_by("section_id", F.struct("seq", "section_id")).alias("section_id"))
+    return rows.join(last, ["doc_id", "breadcrumb"], "left")
+
+
+def with_titles(rows: DataFrame, sections: DataFrame) -> DataFrame:
+    """``rows`` (doc_id, section_id, ..) with their section's ``title``; the id where there is none."""
+    titles = sections.groupBy("doc_id", "section_id").agg(F.min("title").alias("title"))
+    return rows.join(titles, ["doc_id", "section_id"], "left").withColumn("title", F.coalesce(F.when(F.col("title") != "", F.col("title")), F.col("section_id")))
+
+
+def status_totals(rows: DataFrame) -> DataFrame:
+    """(status, n): how many files were ok or failed."""
+    return rows.groupBy("status").agg(F.count("*").alias("n"))

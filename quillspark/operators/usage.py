@@ -168,3 +168,12 @@ def newest_session(messages: DataFrame, workspaces: DataFrame) -> DataFrame:
     last = messages.where(F.col("cwd").isNotNull()).groupBy(normalise_path(F.col("cwd")).alias("key"), "session_id").agg(F.max("ts").alias("ts"))
     best = last.groupBy("key").agg(F.max(F.struct("ts", "session_id")).alias("b")).select("key", F.col("b.session_id").alias("session_id"))
     return workspaces.select(F.col("path").alias("workspace"), normalise_path(F.col("path")).alias("key")).join(best, "key", "left").drop("key")
+
+
+def ranked_groups(rows: DataFrame, by: str = "tokens") -> DataFrame:
+    """The groups with ``tokens`` and ``rank``, by tokens or by cost, the most first, ties by name."""
+    if by not in ("tokens", "cost"):
+        raise ValueError(f"rank by tokens or cost, not {by!r}")
+    totals = rows.groupBy("grp").agg(*[F.sum(c).alias(c) for c in COUNTS], F.round(F.sum("cost"), 8).alias("cost")).withColumn("tokens", sum((F.col(c) for c in COUNTS), F.lit(0)))
+    order = Window.orderBy(F.col(by).desc(), "grp")  # a row per group: days, hours, models
+    return totals.select("grp", "tokens", "cost").withColumn("rank", F.row_number().over(order))

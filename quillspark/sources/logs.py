@@ -22,7 +22,12 @@ def _lines(spark: SparkSession, folder: str) -> DataFrame:
 def session_logs(spark: SparkSession, folder: str) -> DataFrame:
     """One row per line with usage: (file, file_stem, line_no, message_id, request_id, model, timestamp, session_id,
     tokens..., logged_cost). Lines that are no JSON are left out; lines without the word are not parsed."""
-    rows = _lines(spark, folder).where(F.col("value").contains('"usage"')).withColumn("r", F.from_json("value", LOG))
+    return session_rows(_lines(spark, folder))
+
+
+def session_rows(lines: DataFrame) -> DataFrame:
+    """``session_logs`` of lines (file, file_stem, line_no, value)."""
+    rows = lines.where(F.col("value").contains('"usage"')).withColumn("r", F.from_json("value", LOG))
     u = "r.message.usage."
     return rows.where(F.col("r.message.usage").isNotNull()).select(
         "file", "file_stem", "line_no", F.col("r.message.id").alias("message_id"), F.coalesce("r.requestId", "r.request_id").alias("request_id"), F.coalesce("r.message.model", "r.model").alias("model"),
@@ -33,7 +38,12 @@ def session_logs(spark: SparkSession, folder: str) -> DataFrame:
 
 def log_messages(spark: SparkSession, folder: str) -> DataFrame:
     """(session_id, ts, type, is_meta, is_sidechain, tool_result, content, cwd) for the prompt filter; text parts are joined."""
-    rows = _lines(spark, folder).withColumn("r", F.from_json("value", LOG)).where("r.type is not null")
+    return message_rows(_lines(spark, folder))
+
+
+def message_rows(lines: DataFrame) -> DataFrame:
+    """``log_messages`` of lines (value)."""
+    rows = lines.withColumn("r", F.from_json("value", LOG)).where("r.type is not null")
     parts = F.from_json(F.col("r.message.content").cast("string"), "array<struct<type: string, text: string>>")
     joined = F.array_join(F.transform(F.filter(parts, lambda p: p["type"] == "text"), lambda p: p["text"]), "\n")
     plain = F.try_variant_get("r.message.content", "$", "string")
@@ -46,7 +56,11 @@ def log_messages(spark: SparkSession, folder: str) -> DataFrame:
 
 def billing_csv(spark: SparkSession, path: str) -> DataFrame:
     """The rows of a premium-request report; header names are trimmed and lower-cased, missing columns are null."""
-    raw = spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"', encoding="UTF-8")
+    return billing_rows(spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"', encoding="UTF-8"))
+
+
+def billing_rows(raw: DataFrame) -> DataFrame:
+    """The columns of a report under their trimmed and lower-cased names."""
     named = raw.toDF(*[c.replace("﻿", "").strip().lower() for c in raw.columns])
     if "model" not in named.columns:
         raise ValueError("no 'model' column; this is not a report per model: " + ", ".join(named.columns))
@@ -56,8 +70,25 @@ def billing_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def captured_content(spark: SparkSession, path: str) -> DataFrame:
     """(session, ts, model, response_id, prompt): user parts of captured calls, once per response and time."""
-    rows = spark.read.schema("session string, ts double, model string, response_id string, input string, output string").json(path)
+    return captured_rows(spark.read.text(path))
+
+
+CAPTURE = "session string, ts double, model string, response_id string, input string, output string"
+
+
+def captured_rows(lines: DataFrame) -> DataFrame:
+    """``captured_content`` of JSON lines (value)."""
+    rows = lines.select(F.from_json("value", CAPTURE).alias("r")).where("r is not null").select("r.*")
     parts = F.from_json("input", "array<struct<role: string, content: string>>")
     user = F.array_join(F.transform(F.filter(parts, lambda p: p["role"] == "user"), lambda p: p["content"]), "\n")
     prompt = F.when(F.trim("input").startswith("["), user).otherwise(F.col("input"))
     return rows.select("session", "ts", "model", "response_id", prompt.alias("prompt")).dropDuplicates(["response_id", "ts"])
+
+
+ITEMS = "usageItems array<struct<product: string, sku: string, model: string, unitType: string, grossQuantity: double, grossAmount: double, discountAmount: double, netAmount: double, netQuantity: double>>"
+
+
+def usage_items(texts: DataFrame) -> DataFrame:
+    """(product, sku, model, quantity, gross_amount, net_amount) of billing answers (value), each a JSON object with usageItems."""
+    rows = texts.select(F.from_json("value", ITEMS).alias("r")).select(F.explode("r.usageItems").alias("i"))
+    return rows.select("i.product", "i.sku", "i.model", F.coalesce("i.netQuantity", "i.grossQuantity").alias("quantity"), F.col("i.grossAmount").alias("gross_amount"), F.col("i.netAmount").alias("net_amount"))

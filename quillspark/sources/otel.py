@@ -7,6 +7,7 @@ descriptor and is decoded per file in Arrow.
 
 from __future__ import annotations
 
+import json
 import struct
 from collections.abc import Iterator
 
@@ -17,15 +18,17 @@ from pyspark.sql import functions as F
 from quillspark.functions.text import epoch_seconds
 from quillspark.operators.usage import TOKEN_KINDS
 
+#: levels that a search for a key goes down
+DEPTH = 8
 _VALUE = "struct<stringValue: string, intValue: string, doubleValue: double, boolValue: boolean>"
 _ATTRS = f"array<struct<key: string, value: {_VALUE}>>"
 _POINT = f"struct<attributes: {_ATTRS}, timeUnixNano: string, asInt: string, asDouble: double, sum: double>"
 _METRIC = f"struct<name: string, sum: struct<dataPoints: array<{_POINT}>>, gauge: struct<dataPoints: array<{_POINT}>>, histogram: struct<dataPoints: array<{_POINT}>>>"
-_SPAN = f"struct<name: string, startTimeUnixNano: string, endTimeUnixNano: string, attributes: {_ATTRS}>"
+_SPAN = f"struct<name: string, traceId: string, spanId: string, startTimeUnixNano: string, endTimeUnixNano: string, attributes: {_ATTRS}>"
 LINE = (
     f"resourceMetrics array<struct<resource: struct<attributes: {_ATTRS}>, scopeMetrics: array<struct<metrics: array<{_METRIC}>>>>>, "
     f"resourceSpans array<struct<resource: struct<attributes: {_ATTRS}>, scopeSpans: array<struct<spans: array<{_SPAN}>>>>>, "
-    f"scopeMetrics array<struct<metrics: array<{_METRIC}>>>, scopeSpans array<struct<spans: array<{_SPAN}>>>, spans array<{_SPAN}>, attributes map<string,string>, timestamp string, name string"
+    f"scopeMetrics array<struct<metrics: array<{_METRIC}>>>, scopeSpans array<struct<spans: array<{_SPAN}>>>, spans array<{_SPAN}>, attributes map<string,string>, timestamp string, hrTime array<bigint>, startTime array<bigint>, name string, traceId string, spanContext struct<traceId: string>"
 )
 
 
@@ -36,6 +39,17 @@ def _attr_map(attrs: Column) -> Column:
     return F.map_from_entries(F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda q: q["key"] == p["key"])))
 
 
+def _traced(attrs: Column, trace: Column) -> Column:
+    """The attributes with the record's trace under ``trace_id``, unless they name one."""
+    known = F.map_contains_key(attrs, "trace_id") | trace.isNull()
+    return F.when(known, attrs).otherwise(F.map_concat(attrs, F.create_map(F.lit("trace_id"), trace)))
+
+
+def _pair_seconds(pair: Column) -> Column:
+    """[seconds, nanoseconds] as seconds."""
+    return (F.get(pair, 0) + F.coalesce(F.get(pair, 1), F.lit(0)) / 1e9).cast("string")
+
+
 def _session(attrs: Column) -> Column:
     return F.coalesce(attrs["session.id"], attrs["service.instance.id"], F.lit(""))
 
@@ -55,8 +69,8 @@ def json_records(lines: DataFrame, column: str = "value") -> DataFrame:
     s = rs.select(_session(_attr_map(F.col("resource.attributes"))).alias("rs"), F.explode(F.flatten("scopeSpans.spans")).alias("s"))
     bare = rows.select(F.lit("").alias("rs"), F.explode("r.spans").alias("s"))
     s = s.unionByName(bare)
-    spans = s.select(F.lit("span").alias("kind"), F.col("s.name").alias("name"), F.lit(None).cast("double").alias("value"), F.coalesce("s.startTimeUnixNano", "s.endTimeUnixNano").alias("t"), "rs", _attr_map(F.col("s.attributes")).alias("attributes"))
-    flat = rows.where("r.attributes is not null").select(F.lit("span").alias("kind"), F.col("r.name").alias("name"), F.lit(None).cast("double").alias("value"), F.col("r.timestamp").alias("t"), F.lit("").alias("rs"), F.col("r.attributes").alias("attributes"))
+    spans = s.select(F.lit("span").alias("kind"), F.col("s.name").alias("name"), F.lit(None).cast("double").alias("value"), F.coalesce("s.startTimeUnixNano", "s.endTimeUnixNano").alias("t"), "rs", _traced(_attr_map(F.col("s.attributes")), F.col("s.traceId")).alias("attributes"))
+    flat = rows.where("r.attributes is not null").select(F.lit("span").alias("kind"), F.col("r.name").alias("name"), F.lit(None).cast("double").alias("value"), F.coalesce("r.timestamp", _pair_seconds(F.col("r.hrTime")), _pair_seconds(F.col("r.startTime"))).alias("t"), F.lit("").alias("rs"), _traced(F.col("r.attributes"), F.coalesce("r.traceId", "r.spanContext.traceId")).alias("attributes"))
 
     out = metrics.unionByName(spans).unionByName(flat)
     own = F.coalesce(F.when(F.col("kind") == "span", F.col("attributes")["gen_ai.conversation.id"]), F.col("attributes")["session.id"], F.when(F.col("rs") != "", F.col("rs")), F.lit("unknown"))
@@ -199,6 +213,42 @@ def usage_records(records: DataFrame, skip_genai_metrics: bool = False) -> DataF
     return spans.unionByName(metrics)
 
 
+def flattened(lines: DataFrame, column: str = "value", depth: int = DEPTH) -> DataFrame:
+    """(paths map<string,string>): the values of JSON lines under their dotted paths, to a depth; list items by number.
+    Lines that are no JSON object give no row."""
+
+    def walk(value, path: str, left: int, out: dict) -> None:
+        if isinstance(value, (dict, list)):
+            if left:
+                for k, v in value.items() if isinstance(value, dict) else enumerate(value):
+                    walk(v, f"{path}.{k}" if path else str(k), left - 1, out)
+        elif value is not None:
+            out[path] = json.dumps(value) if isinstance(value, bool) else str(value)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for line in pdf[column]:
+                try:
+                    value = json.loads(line)
+                except (TypeError, ValueError):
+                    continue
+                if isinstance(value, dict):
+                    walk(value, "", depth, out := {})
+                    rows.append(out)
+            if rows:
+                yield pd.DataFrame({"paths": rows})
+
+    return lines.select(column).mapInPandas(run, "paths map<string,string>")
+
+
+def deep_find(paths: Column, name: str) -> Column:
+    """The value under the first path, by depth and then by place, that ends with ``name``."""
+    hits = F.filter(F.map_entries(paths), lambda e: (e["key"] == name) | e["key"].endswith("." + name))
+    ranked = F.array_sort(F.transform(hits, lambda e: F.struct(F.size(F.split(e["key"], r"\.")).alias("d"), e["key"].alias("k"), e["value"].alias("v"))))
+    return F.get(ranked, 0)["v"]
+
+
 def line_shapes(lines: DataFrame, column: str = "value") -> DataFrame:
     """(shape, n): how many lines have which top-level keys."""
     keys = F.array_join(F.array_sort(F.json_object_keys(column)), " ")
