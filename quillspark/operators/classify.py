@@ -10,7 +10,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillspark.config import DEFAULT, Config
@@ -259,9 +259,24 @@ def keyphrase_rows(rows: DataFrame, text: str = "text", language: str = "en", cf
     return rows.mapInPandas(run, schema)
 
 
-def language_sample(title: Column, headings: Column, texts: Column, longest: int = 2000) -> Column:
-    """What a detector reads: the title, the headings and the texts, cut at ``longest`` characters."""
-    return F.substring(F.concat_ws("\n", title, F.array_join(headings, "\n"), F.array_join(texts, "\n")), 1, longest)
+def language_samples(pages: DataFrame, sections: DataFrame, blocks: DataFrame, longest: int = 2000) -> DataFrame:
+    """(doc_id, sample): what a detector reads of a page: its title, its headings and its texts, one a line, cut at ``longest``
+    characters. ``pages``: doc_id, title; ``sections``: doc_id, section_id, seq, title; ``blocks``: doc_id, section_id, seq, block_id, text.
+    Nulls and empty texts are left out; a page of nothing else has no sample. Only what can lie in the sample is collected.
+    """
+    order = sections.groupBy("doc_id", "section_id").agg(F.min("seq").alias("at"))
+    texts = blocks.join(order, ["doc_id", "section_id"], "left")
+    none = F.lit("")
+    parts = (
+        pages.select("doc_id", F.lit(0).alias("part"), F.lit(0).alias("a"), F.lit(0).alias("b"), none.alias("c"), F.col("title").alias("t"))
+        .unionByName(sections.select("doc_id", F.lit(1).alias("part"), F.col("seq").cast("int").alias("a"), F.lit(0).alias("b"), F.col("section_id").alias("c"), F.col("title").alias("t")))
+        .unionByName(texts.select("doc_id", F.lit(2).alias("part"), F.coalesce(F.col("at").cast("int"), F.lit(2**31 - 1)).alias("a"), F.col("seq").cast("int").alias("b"), F.col("block_id").alias("c"), F.substring("text", 1, longest).alias("t")))
+        .where(F.length("t") > 0)
+    )
+    before = Window.partitionBy("doc_id").orderBy("part", "a", "b", "c").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("_n", F.coalesce(F.sum(F.length("t") + 1).over(before), F.lit(0))).where(F.col("_n") < longest)
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "a", "b", "c", "t"))), lambda x: x["t"]), "\n")
+    return parts.groupBy("doc_id").agg(F.substring(joined, 1, longest).alias("sample"))
 
 
 def voted_language(text: Column, default: str = "en") -> Column:

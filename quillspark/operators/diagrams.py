@@ -16,6 +16,12 @@ from quillspark.config import DEFAULT
 
 # Kinds by what a shape's id holds, the first that fits.
 SHAPE_KINDS = [("ellipse", "ellipse"), ("circle", "ellipse"), ("diamond", "diamond"), ("decision", "diamond"), ("database", "cylinder"), ("cylinder", "cylinder"), ("actor", "actor"), ("user", "actor"), ("cloud", "cloud"), ("note", "note"), ("round", "rounded"), ("rectangle", "rect"), ("square", "rect")]
+#: shapes with an outline of their own: left, right, top, bottom, middles and quarters
+OUTLINES = {
+    "diamond": "M {cx} {t} L {r} {cy} L {cx} {b} L {l} {cy} Z",
+    "cylinder": "M {l} {u} A {hw} {q} 0 0 1 {r} {u} L {r} {d} A {hw} {q} 0 0 1 {l} {d} Z M {l} {u} A {hw} {q} 0 0 0 {r} {u}",
+    "actor": "M {cx} {u} L {cx} {d} M {l} {cy} L {r} {cy} M {cx} {d} L {l} {b} M {cx} {d} L {r} {b} M {cx} {t} A {q} {q} 0 0 1 {cx} {u}",
+}
 NODE = "id string, kind string, x double, y double, w double, h double, rotation double, text string, fill string, stroke string, stroke_width double, dash string, opacity double"
 EDGE = "id string, points array<struct<x:double,y:double>>, stroke string, stroke_width double, dash string, start_arrow boolean, end_arrow boolean"
 
@@ -124,6 +130,10 @@ def render_svg(nodes: list[dict], edges: list[dict]) -> str:
         cx, cy = n["x"] + n["w"] / 2, n["y"] + n["h"] / 2
         if n["kind"] == "ellipse":
             out.append(f'<ellipse cx="{cx:g}" cy="{cy:g}" rx="{n["w"] / 2:g}" ry="{n["h"] / 2:g}" {paint}/>')
+        elif n["kind"] in OUTLINES:
+            x, y, w, h = n["x"], n["y"], n["w"], n["h"]
+            corners = {"l": x, "r": x + w, "t": y, "b": y + h, "cx": cx, "cy": cy, "u": y + h / 4, "d": y + h * 3 / 4, "hw": w / 2, "q": h / 4}
+            out.append(f'<path d="{OUTLINES[n["kind"]].format(**{k: format(v, "g") for k, v in corners.items()})}" {paint}/>')
         elif n["kind"] != "text":
             out.append(f'<rect x="{n["x"]:g}" y="{n["y"]:g}" width="{n["w"]:g}" height="{n["h"]:g}" rx="{8 if n["kind"] == "rounded" else 0}" {paint}/>')
         if n["text"]:
@@ -198,3 +208,26 @@ def round_trip(rows: DataFrame) -> DataFrame:
                 yield pd.DataFrame({"source": pdf["source"], "text": [emit_xml(list(n), list(e)) for n, e in zip(pdf["nodes"], pdf["edges"])]})
 
     return compare(parsed, parse_diagrams(parsed.select("source", "nodes", "edges").mapInPandas(emit, "source string, text string")))
+
+
+def rendered(diagrams: DataFrame) -> DataFrame:
+    """(source, svg) of parsed drawings (source, nodes, edges)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf[["source"]].assign(svg=[render_svg(list(n), list(e)) for n, e in zip(pdf["nodes"], pdf["edges"])])
+
+    return diagrams.select("source", "nodes", "edges").mapInPandas(run, "source string, svg string")
+
+
+def preferring_siblings(pictures: DataFrame, siblings: DataFrame) -> DataFrame:
+    """(source, svg): the picture that stands beside a drawing under the same name, else the rendered one.
+
+    ``siblings``: source, svg of files; the name is the path without its ending.
+    """
+    def stem(c: str) -> Column:
+        return F.regexp_replace(c, r"\.[^./]*$", "")
+
+    beside = siblings.where(F.col("svg").contains("<svg")).groupBy(stem("source").alias("_stem")).agg(F.min("svg").alias("_beside"))
+    rows = pictures.withColumn("_stem", stem("source")).join(beside, "_stem", "left")
+    return rows.select("source", F.coalesce("_beside", "svg").alias("svg"))

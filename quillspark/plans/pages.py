@@ -199,9 +199,11 @@ def block_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def language_samples(spark: SparkSession, folder: str) -> DataFrame:
-    """Hash of the first 2,000 characters of the section titles, as its SQL states; ``classify.language_sample`` adds page title and text."""
-    titles = _sections(spark, folder).groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "section_id", "title"))), lambda x: F.coalesce(x["title"], F.lit(""))), " ").alias("titles"))
-    return titles.select("doc_id", F.md5(F.substring("titles", 1, 2000)).alias("sample_hash"), F.length("titles").alias("n_chars"))
+    """Hash and length of the first 2,000 characters of every page's title, headings and texts."""
+    pages = table(spark, folder, "page_meta").groupBy("doc_id").agg(F.max_by("title", "ingested_at").alias("title"))
+    sections = _sections(spark, folder).select("doc_id", "section_id", "seq", "title").distinct()
+    rows = classify.language_samples(pages, sections, _blocks(spark, folder).select("doc_id", "section_id", "seq", "block_id", "text"))
+    return rows.select("doc_id", F.md5("sample").alias("sample_hash"), F.length("sample").alias("n_chars"))
 
 
 def voted_languages(spark: SparkSession, folder: str) -> DataFrame:
@@ -360,7 +362,11 @@ FROM (SELECT *, len(regexp_extract_all(text, '(?m)^#{{1,6}}[ \\t]')) AS h, CAST(
     "breadcrumb_paths": f"SELECT doc_id, seq, array_to_string(breadcrumb, ' > ') AS path FROM {_S}",
     "breadth_first": f"SELECT doc_id, section_id, row_number() OVER (PARTITION BY doc_id ORDER BY len(breadcrumb), seq, section_id) AS position FROM {_S}",
     "block_ids": f"SELECT doc_id, block_id, substr(md5(doc_id || '|' || section_id || '|' || CAST(row_number() OVER (PARTITION BY doc_id ORDER BY seq, block_id) - 1 AS VARCHAR)), 1, 8) AS made_id FROM {_B} WHERE trim(text) <> ''",
-    "language_samples": f"SELECT doc_id, md5(substr(t, 1, 2000)) AS sample_hash, length(t) AS n_chars FROM (SELECT doc_id, string_agg(coalesce(title, ''), ' ' ORDER BY seq, section_id) AS t FROM {_S} GROUP BY ALL)",
+    "language_samples": f"""
+WITH pg AS (SELECT doc_id, max_by(title, ingested_at) AS title FROM page_meta GROUP BY doc_id), se AS (SELECT DISTINCT doc_id, section_id, seq, title FROM sections), o AS (SELECT doc_id, section_id, min(seq) AS at FROM se GROUP BY ALL),
+x AS (SELECT doc_id, 0 AS part, 0 AS a, 0 AS b, '' AS c, title AS t FROM pg UNION ALL SELECT doc_id, 1, seq, 0, section_id, title FROM se
+  UNION ALL SELECT doc_id, 2, coalesce(at, 2147483647), seq, block_id, text FROM {_B} LEFT JOIN o USING (doc_id, section_id))
+SELECT doc_id, md5(substr(s, 1, 2000)) AS sample_hash, length(substr(s, 1, 2000)) AS n_chars FROM (SELECT doc_id, string_agg(t, chr(10) ORDER BY part, a, b, c) AS s FROM x WHERE length(t) > 0 GROUP BY doc_id)""",
     "block_distribution": f"SELECT content_type, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS chars FROM {_B} GROUP BY ALL",
     "list_spaces": "SELECT DISTINCT space FROM page_meta WHERE space <> ''",
     "set_operations": f"""

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark import api
-from quillspark.operators import convert, evaluate, inventory, lint, report, search, store, structure, usage
+from quillspark.operators import convert, diagrams, evaluate, inventory, lint, report, search, store, structure, usage
 from quillspark.plans import corpus
 from quillspark.plans import usage as usage_plans
 from quillspark.session import shared_dir
@@ -287,6 +287,45 @@ def visible_texts(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", F.md5(F.regexp_replace("seen", r"[ \t\r\n ]+", "")).alias("seen"))
 
 
+# ---- drawings -----------------------------------------------------------------------
+
+
+def _drawings(spark: SparkSession, folder: str, shift: float = 0.0) -> DataFrame:
+    """Every section as a drawing: a group at (level, seq) that holds a shape with its title, and a line."""
+    s = table(spark, folder, "sections").select("doc_id", "section_id", "seq", "heading_level", "title", "section_type").distinct()
+    html = F.replace(F.replace(F.coalesce("title", F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    tid = F.when(F.col("section_type") == "data_model", "com.x.database").when(F.col("section_type") == "decision", "flow.decision").otherwise("box")
+    move = F.lit(shift) * (F.col("seq") % 3)
+    shape = F.struct((F.col("seq") * 10 + move).alias("x"), F.lit(5).alias("y"), F.lit(100).alias("width"), F.lit(50).alias("height"), F.lit(0).alias("order"), F.struct(F.lit("Shape").alias("type"), F.struct(tid.alias("tid"), html.alias("html")).alias("Shape")).alias("graphic"))
+    group = F.struct(F.coalesce("heading_level", F.lit(0)).alias("x"), F.lit(20).alias("y"), F.lit(1).alias("order"), F.array(shape).alias("children"))
+    line = '{"x":1,"y":2,"order":0,"graphic":{"type":"Line","Line":{"controlPath":[[0,0],[5,7]],"endArrow":1}}}'
+    text = F.concat(F.lit('{"stage":{"objects":['), F.to_json(group), F.lit("," + line + "]}}"))
+    return s.select(F.concat_ws("/", "doc_id", "section_id").alias("source"), text.alias("text"))
+
+
+def diagram_nodes(spark: SparkSession, folder: str) -> DataFrame:
+    rows = diagrams.parse_diagrams(_drawings(spark, folder)).select("source", F.explode("nodes").alias("n"), F.size("edges").alias("n_edges"))
+    return rows.select("source", "n.kind", "n.x", "n.y", F.col("n.text").alias("label"), "n_edges")
+
+
+def diagram_kinds(spark: SparkSession, folder: str) -> DataFrame:
+    return diagrams.diagram_metrics(diagrams.parse_diagrams(_drawings(spark, folder))).groupBy("kind").agg(F.sum("n").alias("n"))
+
+
+def diagram_differences(spark: SparkSession, folder: str) -> DataFrame:
+    """Shapes that moved by more than the tolerance, against the same drawings with every third shape moved."""
+    a, b = (diagrams.parse_diagrams(_drawings(spark, folder, by)) for by in (0.0, 0.4))
+    return diagrams.compare(a, b).select("source", "part", "id", "field")
+
+
+def diagram_pictures(spark: SparkSession, folder: str) -> DataFrame:
+    """Pictures of the drawings; overviews have one beside them."""
+    drawn = diagrams.rendered(diagrams.parse_diagrams(_drawings(spark, folder)).withColumn("source", F.concat("source", F.lit(".json"))))
+    beside = table(spark, folder, "sections").where("section_type = 'overview'").select(F.concat(F.concat_ws("/", "doc_id", "section_id"), F.lit(".svg")).alias("source"), F.lit("<svg>own</svg>").alias("svg")).distinct()
+    rows = diagrams.preferring_siblings(drawn, beside)
+    return rows.select("source", (F.col("svg") == "<svg>own</svg>").alias("own"), F.regexp_extract("svg", r"<(rect|path|ellipse) ", 1).alias("shape"), F.regexp_extract("svg", r'viewBox="([^"]*)"', 1).alias("box"))
+
+
 # ---- structure ----------------------------------------------------------------------
 
 
@@ -359,7 +398,7 @@ def result_snippets(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     otlp_spans, otlp_flat_records, otlp_protobuf, telemetry_shapes, session_log_usage, session_prompts, captured_prompts, billing_items, usage_ranked, store_roundtrip, export_roundtrip, paths_and_titles,
-    breadcrumb_sections, gate_statuses, construct_totals, conversion_totals, shown_nodes, html_constructs, page_sanity, visible_texts, parsed_code, parsed_headings, lint_findings, chunk_texts, ranked_fields,
+    breadcrumb_sections, gate_statuses, construct_totals, conversion_totals, shown_nodes, html_constructs, page_sanity, visible_texts, diagram_nodes, diagram_kinds, diagram_differences, diagram_pictures, parsed_code, parsed_headings, lint_findings, chunk_texts, ranked_fields,
     routed_taxonomy, evaluated_sections, eval_gate, result_snippets,
 )}
 # ---- SQL ----------------------------------------------------------------------------
@@ -409,7 +448,13 @@ UNION ALL SELECT doc_id, 'content_density', 'block', NULL FROM m WHERE left_char
 UNION ALL SELECT doc_id, 'orphaned_headings', 'warn', line FROM orp)
 """
 
+_SHAPES = """(SELECT DISTINCT doc_id || '/' || section_id AS source, seq, coalesce(heading_level, 0) AS lv, section_type, trim(regexp_replace(coalesce(title, ''), '\\s+', ' ', 'g')) AS label,
+  CASE section_type WHEN 'data_model' THEN 'cylinder' WHEN 'decision' THEN 'diamond' ELSE 'rect' END AS kind FROM sections)"""
+
 ORACLE: dict[str, str] = {
+    "front_matter": """WITH d AS (SELECT doc_id, regexp_extract(text, '(?s)\\A---[ \\t]*\\n(.*?)\\n---[ \\t]*(?:\\n|\\z)', 1) AS f FROM documents WHERE text IS NOT NULL)
+SELECT doc_id, trim(regexp_extract(f, '(?m)^title:(.*)$', 1)) AS title, nullif(trim(regexp_extract(f, '(?m)^space:(.*)$', 1)), '') AS space, array_to_string(list_filter(list_transform(string_split(regexp_extract(f, '(?m)^labels:(.*)$', 1), ','), lambda x: trim(x)), lambda x: x <> ''), ',') AS labels
+FROM d WHERE regexp_matches(f, '(?m)^title:')""",
     "lint_findings": _LINT + "SELECT doc_id, rule, severity, CAST(line AS INTEGER) AS line FROM fi",
     "lint_report": _LINT + "SELECT rule, severity, count(*) AS n FROM fi GROUP BY ALL",
     "gate_statuses": _LINT + "SELECT status, count(*) AS n FROM (SELECT doc_id, CASE WHEN bool_or(severity = 'block') THEN 'failed' WHEN count(rule) > 0 THEN 'issue' ELSE 'clean' END AS status FROM d LEFT JOIN fi USING (doc_id) GROUP BY doc_id) GROUP BY status",
@@ -450,6 +495,11 @@ f AS (SELECT 'tables' AS failed FROM d WHERE NOT regexp_matches(text, '\\| ?---'
   UNION ALL SELECT 'no runs of empty lines' FROM d WHERE regexp_matches(text, '\\n{4,}') UNION ALL SELECT 'no raw div' FROM d WHERE contains(text, '<div class=') UNION ALL SELECT 'no layout class' FROM d WHERE contains(text, 'class="atl-')
   UNION ALL SELECT 'no data uri' FROM d WHERE contains(text, 'data:image/svg+xml;base64'))
 SELECT failed, count(*) AS n, any_value(flavour) AS flavour, any_value(storage) AS storage, any_value(n_pages) AS n_pages FROM f, p GROUP BY failed""",
+    "diagram_nodes": "SELECT source, kind, CAST(seq * 10 + lv AS DOUBLE) AS x, 25.0::DOUBLE AS y, label, 1 AS n_edges FROM " + _SHAPES,
+    "diagram_kinds": "SELECT kind, count(*) AS n FROM " + _SHAPES + " GROUP BY kind UNION ALL SELECT 'edge', count(*) FROM " + _SHAPES,
+    "diagram_differences": "SELECT source, 'nodes' AS part, 'n0000' AS id, 'x' AS field FROM " + _SHAPES + " WHERE seq % 3 = 2",
+    "diagram_pictures": """SELECT source || '.json' AS source, section_type IS NOT DISTINCT FROM 'overview' AS own, CASE WHEN section_type IS NOT DISTINCT FROM 'overview' THEN '' WHEN kind = 'rect' THEN 'rect' ELSE 'path' END AS shape,
+  CASE WHEN section_type IS NOT DISTINCT FROM 'overview' THEN '' ELSE '0 0 ' || (seq * 10 + lv + 100) || ' 75' END AS box FROM """ + _SHAPES,
     "visible_texts": "SELECT doc_id, md5(regexp_replace(text, '[ \\t\\r\\n\\x{a0}]+', '', 'g')) AS seen FROM documents WHERE text IS NOT NULL",
     "parsed_code": "WITH " + _LINES + """, c AS (SELECT doc_id, n, line, mark, count(*) FILTER (mark) OVER (PARTITION BY doc_id ORDER BY n) AS k FROM l2),
 b AS (SELECT doc_id, k, string_agg(CASE WHEN mark THEN '' ELSE line END, chr(10) ORDER BY n) AS body FROM c WHERE k % 2 = 1 GROUP BY ALL)
