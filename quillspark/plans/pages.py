@@ -363,9 +363,9 @@ FROM (SELECT *, len(regexp_extract_all(text, '(?m)^#{{1,6}}[ \\t]')) AS h, CAST(
     "breadth_first": f"SELECT doc_id, section_id, row_number() OVER (PARTITION BY doc_id ORDER BY len(breadcrumb), seq, section_id) AS position FROM {_S}",
     "block_ids": f"SELECT doc_id, block_id, substr(md5(doc_id || '|' || section_id || '|' || CAST(row_number() OVER (PARTITION BY doc_id ORDER BY seq, block_id) - 1 AS VARCHAR)), 1, 8) AS made_id FROM {_B} WHERE trim(text) <> ''",
     "language_samples": f"""
-WITH pg AS (SELECT doc_id, max_by(title, ingested_at) AS title FROM page_meta GROUP BY doc_id), se AS (SELECT DISTINCT doc_id, section_id, seq, title FROM sections), o AS (SELECT doc_id, section_id, min(seq) AS at FROM se GROUP BY ALL),
+WITH pg AS (SELECT doc_id, max_by(title, ingested_at) AS title FROM page_meta GROUP BY doc_id), se AS (SELECT DISTINCT doc_id, section_id, seq, title FROM sections), o AS (SELECT doc_id, section_id, min(seq) AS pos FROM se GROUP BY ALL),
 x AS (SELECT doc_id, 0 AS part, 0 AS a, 0 AS b, '' AS c, title AS t FROM pg UNION ALL SELECT doc_id, 1, seq, 0, section_id, title FROM se
-  UNION ALL SELECT doc_id, 2, coalesce(at, 2147483647), seq, block_id, text FROM {_B} LEFT JOIN o USING (doc_id, section_id))
+  UNION ALL SELECT doc_id, 2, coalesce(pos, 2147483647), seq, block_id, text FROM {_B} LEFT JOIN o USING (doc_id, section_id))
 SELECT doc_id, md5(substr(s, 1, 2000)) AS sample_hash, length(substr(s, 1, 2000)) AS n_chars FROM (SELECT doc_id, string_agg(t, chr(10) ORDER BY part, a, b, c) AS s FROM x WHERE length(t) > 0 GROUP BY doc_id)""",
     "block_distribution": f"SELECT content_type, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS chars FROM {_B} GROUP BY ALL",
     "list_spaces": "SELECT DISTINCT space FROM page_meta WHERE space <> ''",
