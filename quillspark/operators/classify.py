@@ -274,7 +274,7 @@ def language_samples(pages: DataFrame, sections: DataFrame, blocks: DataFrame, l
         .where(F.length("t") > 0)
     )
     before = Window.partitionBy("doc_id").orderBy("part", "a", "b", "c").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.withColumn("_n", F.coalesce(F.sum(F.length("t") + 1).over(before), F.lit(0))).where(F.col("_n") < longest)
+    parts = parts.withColumn("_n", F.coalesce(F.sum(F.length("t") + 1).over(before), F.lit(0))).where(F.col("_n") <= longest)
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "a", "b", "c", "t"))), lambda x: x["t"]), "\n")
     return parts.groupBy("doc_id").agg(F.substring(joined, 1, longest).alias("sample"))
 
