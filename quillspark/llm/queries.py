@@ -98,12 +98,23 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return markup.markup_kinds(table(spark, folder, "blocks"), unpaired=True)
 
 
+def p6_markup_ways(spark: SparkSession, folder: str) -> DataFrame:
+    """How many blocks hold which kind of markup, by the way it was found."""
+    ways = markup.markup_ways(markup.deduced(table(spark, folder, "blocks")))
+    return ways.groupBy("markup", "way").agg(F.count("*").alias("n_blocks"))
+
+
 def p6_clean_blocks(spark: SparkSession, folder: str) -> DataFrame:
     return markup.cleaned_blocks(table(spark, folder, "blocks"))
 
 
 def p6_template_classes(spark: SparkSession, folder: str) -> DataFrame:
-    return markup.template_classes(markup.lexed(table(spark, folder, "blocks")))
+    return markup.template_classes(markup.deduced(table(spark, folder, "blocks")))
+
+
+def p6_template_slots(spark: SparkSession, folder: str) -> DataFrame:
+    blocks = table(spark, folder, "blocks")
+    return markup.template_slots(blocks, markup.deduced(blocks))
 
 
 def _limits(spark: SparkSession, folder: str) -> dict:
@@ -158,7 +169,9 @@ QUERIES = {
     "p5_term_scores": p5_term_scores,
     "p6_found": p6_found,
     "p6_clean_blocks": p6_clean_blocks,
+    "p6_markup_ways": p6_markup_ways,
     "p6_template_classes": p6_template_classes,
+    "p6_template_slots": p6_template_slots,
     "p7_containers": p7_containers,
     "p7_fill": p7_fill,
     "p8_found": p8_found,

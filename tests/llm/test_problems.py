@@ -257,7 +257,7 @@ def test_markup_operators(spark):
     frame = blocks(spark, rows)
     assert {(r.block_id, r.markup) for r in markup.markup_kinds(frame.union(frame)).collect()} == {("b8", "html")}
     joined = blocks(spark, [(f"d{i}", "S", "paragraph", t) for i in range(3) for t in ("<li>a", "b</li>")])
-    classes = {(r.form, r.n_pages) for r in markup.template_classes(markup.lexed(joined)).collect()}
+    classes = {(r.form, r.n_pages) for r in markup.equivalence_classes(markup.tokenised(joined)).collect() if r.kind}
     assert classes == {("<li", 3), ("</li", 3)} and markup.markup_kinds(joined).count() == 6
     assert markup.cleaned_blocks(frame).count() == len(rows)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from quillspark.llm import repeated_lines, residue
+from quillspark.llm import markup, repeated_lines, residue
 from tests.llm.test_problems import blocks
 
 NAMES = ["Ada Lovelace", "Bo", "Cy van der Dam", "Dee Ann Eve", "Fay G. Hill", "ike"]
@@ -57,3 +57,38 @@ def test_residue_off_the_exemplars():
     wrong = [t for t in ONLY_SPOKEN_OF if residue.residue_kind(t)]
     assert len(found) >= 0.9 * len(HELD_OUT), sorted(set(HELD_OUT) - set(found))
     assert not wrong
+
+
+PAGE = "<Card>Service <b>{0}</b> owned by <Team>{1}</Team></Card>"
+
+
+def test_templates_are_nested_and_their_slots_taken_out(spark):
+    rows = [(f"d{i}", "S", "paragraph", PAGE.format(a, b)) for i, (a, b) in enumerate([("ledger", "red"), ("cache", "blue"), ("mailer", "green")])]
+    rows += [("d7", "S", "paragraph", "as Map<String> and <Name> stay"), ("d8", "S", "paragraph", None), ("d9", "S", "code", PAGE.format("x", "y")), ("d0", "T", "paragraph", "</b> <i>x</b> y</i>")]
+    frame = blocks(spark, rows)
+    template = markup.deduced(frame.union(frame))
+    (found,) = [r for r in markup.template_classes(template).collect() if r.space == "S"]
+    assert (found.n_pages, found.n_marks, found.pattern) == (3, 6, "<card service <b </b owned by <team </team </card")
+    slots = {(r.doc_id, r.slot_no): r.slot for r in markup.template_slots(frame, template).collect()}
+    assert slots == {("d0", 2): "ledger", ("d0", 6): "red", ("d1", 2): "cache", ("d1", 6): "blue", ("d2", 2): "mailer", ("d2", 6): "green"}
+    ways = {(r.block_id, r.markup): r.way for r in markup.markup_ways(template).collect()}
+    assert ways == {("b0", "html"): "class", ("b1", "html"): "class", ("b2", "html"): "class", ("b6", "html"): "grammar"}
+    clean = {r.block_id: r.text for r in markup.cleaned_blocks(frame).collect()}
+    assert clean["b0"] == "Service ledger owned by red" and clean["b3"] == "as Map<String> and <Name> stay" and clean["b4"] is None and clean["b5"] == PAGE.format("x", "y")
+
+
+def test_one_class_inside_another(spark):
+    text = "<ul>{0}</ul>" 
+    rows = [(f"d{i}", "S", "paragraph", text.format("".join(f"<li>w{i}x{j}</li>" for j in range(i + 1)))) for i in range(3)]
+    template = markup.deduced(blocks(spark, rows))
+    assert sorted(r.pattern for r in markup.template_classes(template).collect()) == ["<li </li", "<ul </ul"]
+    got = sorted((r.doc_id, r.depth, r.slot) for r in markup.template_slots(blocks(spark, rows), template).collect())
+    assert got == sorted((f"d{i}", 1, f"w{i}x{j}") for i in range(3) for j in range(i + 1))
+
+
+@pytest.mark.parametrize("dirty,clean", [
+    ("\\textbf{a \\emph{b \\texttt{c}} d}", "a b `c` d"), ("\\begin{itemize}\\item a\\item b\\end{itemize}", "- a\n- b"), ("<table><tr><th>A</th><th>B</th></tr><tr><td>1</td><td>2</td></tr></table>", "| A | B |\n| --- | --- |\n| 1 | 2 |"),
+    ("<ol><li>a</li><li>b<ul><li>c</li></ul></li></ol>", "1. a\n2. b\n   - c"), ("* a\n** b\n** c", "* a\n  - b\n  - c"), ("<ul><li>run `x < y`</li></ul>", "- run `x < y`"), ("<table><tr><td>lost", "lost"),
+])
+def test_structure_survives_cleaning(dirty, clean):
+    assert markup.clean_markup(dirty) == clean and markup.clean_markup(clean) == clean
