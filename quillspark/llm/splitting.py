@@ -25,7 +25,7 @@ from quillspark.llm.tokens import TOKENIZER, Tokenizer, tokenizer
 
 #: how strong a boundary is, from a blank between words to the start of a heading
 WORD, CLAUSE, SENTENCE, LINE, PARAGRAPH, HEADING = range(6)
-_BOUNDARY = re.compile(r"\n[^\S\n]*\n\s*|\n+|(?<=[.!?…])(?=\s)|(?<=[,;:])(?=\s)")
+_BOUNDARY = re.compile(r"\n[^\S\n]*\n\s*|\n+|(?<=[.!?…])(?=\s)|(?<=[。！？])|(?<=[,;:])(?=\s)|(?<=[，、；：])")
 _HEADING = re.compile(r"#{1,6}\s|h[1-6]\.\s")
 #: tokens left free for what an encoding of the piece alone may add at its edges
 SLACK = 8
@@ -43,7 +43,7 @@ def _boundaries(text: str) -> list[tuple[int, int]]:
         elif m.group(0):
             strength = HEADING if _HEADING.match(text, at) else LINE
         else:
-            strength = SENTENCE if text[at - 1] in ".!?…" else CLAUSE
+            strength = SENTENCE if text[at - 1] in ".!?…。！？" else CLAUSE
         found[at] = max(strength, found.get(at, 0))
     return sorted(found.items())
 
