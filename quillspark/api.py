@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quillspark.config import DEFAULT, Config
-from quillspark.operators import chunking, classify, inventory, lint, search, store, structure
+from quillspark.operators import chunking, classify, embed, inventory, lint, search, store, structure
 from quillspark.session import written
 
 HASH_DIMS = 512
@@ -76,10 +76,10 @@ def scan_vocabulary(documents: DataFrame, seeds: list[str] | None = None, cfg: C
     return classify.vocabulary(documents, F.col("text"), seeds, cfg)
 
 
-def build_index(documents: DataFrame, target: store.ChunkStore, cfg: Config = DEFAULT, vocabulary: list[str] | None = None) -> dict:
+def build_index(documents: DataFrame, target: store.ChunkStore, cfg: Config = DEFAULT, vocabulary: list[str] | None = None, embedder: embed.Factory | None = None) -> dict:
     """Index documents and return counts; a document with a poisoned chunk is left out as a whole when the gate is on.
 
-    The hashed vectors need no model. A lexical index stores none and says so in its provenance.
+    ``embedder`` makes the vectors; without one they are hashed, which needs no model. A lexical index stores none and says so in its provenance.
     """
     chunks = written(chunk_documents(documents, cfg, vocabulary))
     kept, bad = lint.gate(chunks, "content") if cfg.gate else (chunks, None)
@@ -87,6 +87,10 @@ def build_index(documents: DataFrame, target: store.ChunkStore, cfg: Config = DE
     target.upsert(kept)
     if cfg.lexical:
         target.write_provenance("lexical", "none", 1)
+    elif embedder is not None:
+        made = embedder()
+        target.upsert(written(embed.embedded(kept.select("chunk_id", F.col("embed_text").alias("text")), embedder)), "vectors", "chunk_id")
+        target.write_provenance(made.provider, made.model, made.dimension)
     else:
         target.upsert(written(search.hashed_buckets(kept, "chunk_id", F.col("embed_text"), HASH_DIMS).withColumnRenamed("id", "chunk_id")), "vectors", "chunk_id")
         target.write_provenance("hashing", "md5", HASH_DIMS)
@@ -116,7 +120,7 @@ def reindex_stream(changes: DataFrame, target: store.ChunkStore, checkpoint: str
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
-def query(target: store.ChunkStore, text: str, cfg: Config = DEFAULT, **filters: str | None) -> DataFrame:
+def query(target: store.ChunkStore, text: str, cfg: Config = DEFAULT, embedder: embed.Factory | None = None, **filters: str | None) -> DataFrame:
     """(rank, score, chunk_id, ...) of the best chunks; filters come first, so statistics are those of what is left."""
     chunks = target.read()
     if chunks is None:
@@ -124,7 +128,7 @@ def query(target: store.ChunkStore, text: str, cfg: Config = DEFAULT, **filters:
     provenance = target.provenance()
     mode = search.route(provenance, cfg)
     if mode != "lexical":
-        search.check_provenance(provenance, {"provider": "hashing", "model": "md5", "dimension": HASH_DIMS})
+        search.check_provenance(provenance, embed.identity(embedder()) if embedder else {"provider": "hashing", "model": "md5", "dimension": HASH_DIMS})
     spark = chunks.sparkSession
     corpus = search.apply_filters(chunks, **filters)
     n = cfg.pool if mode == "hybrid" else cfg.n_results
@@ -132,7 +136,11 @@ def query(target: store.ChunkStore, text: str, cfg: Config = DEFAULT, **filters:
     if mode != "dense":
         words = corpus.withColumn("_t", F.concat_ws(" ", F.array_join("breadcrumb", " "), "content"))
         ranked.append(search.top(search.bm25(words, "chunk_id", F.col("_t"), search.query_terms(spark, {"q": text}), cfg), n))
-    if mode != "lexical":
+    if mode != "lexical" and embedder is not None:
+        vectors = target.read("vectors").withColumnRenamed("chunk_id", "id").join(corpus.select(F.col("chunk_id").alias("id")), "id", "left_semi")
+        asked = spark.createDataFrame([("q", [float(x) for x in embedder().encode([text])[0]])], "query_id string, qvec array<float>")
+        ranked.append(search.top(search.dense(vectors, "id", "vector", asked, n), n))
+    elif mode != "lexical":
         asked = search.hashed_buckets(spark.createDataFrame([("q", text)], "qid string, text string"), "qid", F.col("text"), HASH_DIMS)
         vectors = target.read("vectors").withColumnRenamed("chunk_id", "id").join(corpus.select(F.col("chunk_id").alias("id")), "id", "left_semi")
         ranked.append(search.top(search.hashed_similarity(vectors, asked), n))

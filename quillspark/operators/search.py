@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillspark.config import DEFAULT, Config
+from quillspark.operators.embed import HashingEmbedder
 from quillspark.functions.text import terms
 
 FILTERS = ("section_type", "content_type", "space", "doc_id", "genre")
@@ -142,6 +143,25 @@ def hashed_buckets(text_rows: DataFrame, id_col: str, text: Column, dims: int =
     return counts.join(norms, "id").select("id", "bucket", (F.col("n") / F.col("norm")).alias("weight"))
 
 
+def hashed_cosine(text_rows: DataFrame, id_col: str, text: Column, queries: dict[str, str], dims: int = 512) -> DataFrame:
+    """(query_id, id, score) of ``hashed_buckets`` vectors against a few stated queries, for scores over 0.
+
+    The queries are hashed on the driver, so a document's counters need one shuffle, which sums both its length and its products.
+    """
+    toks = F.filter(F.split(F.lower(text), r"\s+"), lambda t: t != "")
+    rows = text_rows.select(F.col(id_col).alias("id"), F.explode(toks).alias("t"))
+    bucket = F.conv(F.substring(F.md5("t"), 30, 3), 16, 10).cast("int").bitwiseAND(dims - 1)
+    counts = rows.groupBy("id", bucket.alias("bucket")).agg(F.count("*").alias("n"))
+    weights = []
+    for qid, asked in queries.items():
+        vector = HashingEmbedder(dims).encode([asked])[0]
+        own = [F.lit(x) for b in np.flatnonzero(vector) for x in (int(b), float(vector[b]))]
+        each = F.coalesce(F.element_at(F.create_map(*own), F.col("bucket")), F.lit(0.0)) if own else F.lit(0.0)
+        weights.append((qid, F.sum(F.col("n") * each)))
+    sums = counts.groupBy("id").agg(F.sqrt(F.sum(F.col("n") * F.col("n"))).alias("norm"), F.array(*[F.struct(F.lit(q).alias("query_id"), w.alias("w")) for q, w in weights]).alias("q"))
+    return sums.select("id", "norm", F.inline("q")).where("w > 0").select("query_id", "id", (F.col("w") / F.col("norm")).alias("score"))
+
+
 def hashed_similarity(docs: DataFrame, queries: DataFrame) -> DataFrame:
     """(query_id, id, score) of sparse unit vectors, joined on the bucket; queries are a small stated set."""
     q = F.broadcast(queries.select(F.col("id").alias("query_id"), "bucket", F.col("weight").alias("_q")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.operators import evaluate, search
+from quillspark.operators import embed, evaluate, search
 from quillspark.functions.text import terms
 from quillspark.tables import distinct_blocks, table
 
@@ -81,9 +81,7 @@ def hashing_buckets(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _hashed(spark: SparkSession, folder: str) -> DataFrame:
-    docs = search.hashed_buckets(_docs(spark, folder), "doc_id", F.col("text"))
-    asked = spark.createDataFrame([("q", PHRASE)], "qid string, text string")
-    return search.hashed_similarity(docs, search.hashed_buckets(asked, "qid", F.col("text")))
+    return search.hashed_cosine(_docs(spark, folder), "doc_id", F.col("text"), {"q": PHRASE})
 
 
 def hashing_cosine_topk(spark: SparkSession, folder: str) -> DataFrame:
@@ -94,6 +92,12 @@ def _pools(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     return search.top(_bm25(spark, _docs(spark, folder), {"q": PHRASE}), 50), search.top(_hashed(spark, folder), 50)
 
 
+def embedded_norms(spark: SparkSession, folder: str) -> DataFrame:
+    """The hashing embedder's vectors: unit length, or zero for texts without a token."""
+    rows = embed.embedded(_docs(spark, folder).select("doc_id", "text"), embed.factory("hashing", dimension=256))
+    return rows.select("doc_id", F.size("vector").alias("dimension"), F.round(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x), 4).alias("norm"))
+
+
 def rrf_fuse(spark: SparkSession, folder: str) -> DataFrame:
     return search.fuse(*_pools(spark, folder)).select(F.col("id").alias("doc_id"), F.round("score", 9).alias("score"))
 
@@ -139,7 +143,7 @@ def eval_by_category(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     bm25_topk, bm25_filtered_lang, bm25_repeated_term, idf_table, term_frequencies, doc_length_stats, dense_topk, dense_filtered_label, dense_every_50th,
-    hashing_buckets, hashing_cosine_topk, rrf_fuse, hybrid_topk, block_search, eval_recall_mrr, eval_by_category,
+    hashing_buckets, hashing_cosine_topk, embedded_norms, rrf_fuse, hybrid_topk, block_search, eval_recall_mrr, eval_by_category,
 )}
 
 _TF = """
@@ -217,6 +221,7 @@ ORACLE = {
     "dense_topk": _dense_sql("q.vec_id < 5", "true", 10, "query_id, vec_id"),
     "dense_filtered_label": _dense_sql("q.vec_id < 1", "e.label = 3", 5, "vec_id"),
     "dense_every_50th": _dense_sql("q.vec_id % 50 = 0", "true", 10, "query_id, vec_id"),
+    "embedded_norms": "SELECT doc_id, 256 AS dimension, CASE WHEN regexp_matches(coalesce(text, ''), '\\S') THEN 1.0 ELSE 0.0 END AS norm FROM documents",
     "hashing_buckets": _HASH + "SELECT doc_id, bucket, round(weight, 6) AS weight FROM w",
     "hashing_cosine_topk": _HASH + "SELECT doc_id, round(score, 6) AS score, rank FROM hr WHERE rank <= 10",
     "rrf_fuse": _FUSED + "SELECT doc_id, round(score, 9) AS score FROM fu",

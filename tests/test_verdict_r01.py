@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from quillspark import api, session
 from quillspark.config import Config
 from quillspark.functions.lang_packs import pack
-from quillspark.operators import chunking, convert, store
+from quillspark.operators import chunking, convert, embed, search, store
 from quillspark.sources import otel
 
 
@@ -123,3 +123,30 @@ def test_chunks_carry_key_phrases_metadata_and_profiles(spark):
     assert len(code) == 1 and "x = 1" in code[0].content  # technical documents pack code with prose
     assert all(r.metadata.get("runtime") == ["Go"] for r in rows if r.doc_id == "t") and not any(r.metadata for r in story)
     assert [r.chunk_order for r in sorted(story, key=lambda r: r.chunk_order)] == sorted(r.chunk_order for r in story)
+
+
+class Lengths:
+    """An embedder of one's own: a text's length and its count of letters a."""
+
+    provider, model, dimension = "own", "lengths", 2
+
+    def encode(self, texts):
+        return [[float(len(t)), float(t.count("a"))] for t in texts]
+
+
+def test_embedders_by_name_and_of_ones_own(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "b a a"), (2, None), (3, "")], "id int, text string")
+    got = {r.id: r.vector for r in embed.embedded(rows, embed.factory("hashing", dimension=16)).collect()}
+    sparse = {(r.id, r.bucket): r.weight for r in search.hashed_buckets(rows, "id", F.col("text"), 16).collect()}
+    assert {(1, i): pytest.approx(x, abs=1e-6) for i, x in enumerate(got[1]) if x} == sparse and not any(got[2]) and not any(got[3])
+    pair = {(r.query_id, r.id): r.score for r in search.hashed_cosine(rows, "id", F.col("text"), {"q": "a b", "none": ""}, 16).collect()}
+    assert pair == {("q", 1): pytest.approx(3 / 10**0.5)}
+    with pytest.raises(ValueError):
+        embed.factory("no such")
+    embed.register("own", Lengths)
+    s = store.ChunkStore(spark, str(tmp_path / "i"))
+    docs = spark.createDataFrame([("a", "# Overview\n\nThe broker keeps messages until a reader takes them.", "T", "S")], "doc_id string, text string, title string, space string")
+    api.build_index(docs, s, embedder=embed.factory("own"))
+    assert s.provenance()["provider"] == "own" and api.query(s, "banana", embedder=embed.factory("own")).first().doc_id == "a"
+    with pytest.raises(ValueError):
+        api.query(s, "banana")
