@@ -24,7 +24,7 @@ def enriched_sections(documents: DataFrame, cfg: Config = DEFAULT, vocabulary: l
 
     Inventory values of a directional field go to depends_on or exposes, named ones to ``facts``.
     """
-    sections, blocks = structure.sections_and_blocks(structure.parsed_rows(documents), documents)
+    sections, blocks = structure.sections_and_blocks(written(structure.parsed_rows(documents)), documents)
     sections, blocks = written(sections), written(blocks)
     lang = F.lit(cfg.language)
     text = blocks.groupBy("doc_id", "section_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "text"))), lambda b: b["text"]), "\n").alias("body"))

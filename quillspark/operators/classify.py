@@ -181,6 +181,31 @@ def vocabulary_hits(text: Column, words: list[str]) -> Column:
     return F.transform(hits, lambda h: F.coalesce(F.element_at(spelling, F.lower(h)), h))
 
 
+def vocabulary_rows(rows: DataFrame, words: DataFrame, key: list[str], text: str = "text") -> DataFrame:
+    """(key, word): the vocabulary's words in each text, for vocabularies of any size.
+
+    ``words``: word. Texts and words are cut into runs of letters and digits; the runs of a text as long
+    as some word meet the words in a join, and the text itself decides on what stands between them.
+    Of two words that differ in case only, the first counts.
+    """
+    def runs(c: Column) -> Column:
+        return F.regexp_extract_all(F.lower(c), F.lit(r"[\p{L}\p{N}_]+"), 0)
+
+    listed = words.where(F.trim("word") != "").groupBy(F.lower(F.trim("word")).alias("low")).agg(F.min(F.trim("word")).alias("word")).withColumn("gram", F.array_join(runs(F.col("low")), " ")).where("gram <> ''")
+    longest = listed.select(F.size(F.split("gram", " ")).alias("n")).distinct()
+    sizes = [r["n"] for r in longest.collect()]  # the lengths of the vocabulary's words in runs
+    if not sizes:
+        return rows.select(*key, F.lit(None).cast("string").alias("word")).limit(0)
+    t = runs(F.col(text))
+
+    def of(n: int) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(t) - n + 1)), lambda i: F.array_join(F.slice(t, i, F.lit(n)), " "))
+
+    grams = F.flatten(F.array(*map(of, sizes)))
+    each = rows.where(F.length(text) > 0).select(*key, F.lower(text).alias("_low"), F.explode(F.array_distinct(grams)).alias("gram"))
+    return each.join(listed, "gram").where(F.contains("_low", "low")).select(*key, "word").distinct()
+
+
 def entities(text: Column, words: list[str] | None = None) -> Column:
     """Sorted distinct services, technologies, protocols, endpoints and vocabulary words."""
     parts = [services(text), technologies(text), protocols(text), endpoints(text)]

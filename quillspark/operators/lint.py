@@ -193,6 +193,14 @@ def gate(chunks: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
     return chunks.join(bad, "doc_id", "left_anti"), bad
 
 
+def passing_documents(chunks: DataFrame, key: list[str], text: str = "text") -> DataFrame:
+    """(doc_id, n_chunks) of the documents that pass the gate. Each chunk is judged where it is read, so only
+    its ``key`` and the verdict cross the network; copies of a chunk count once."""
+    poisoned = is_poisoned(F.col(text), F.col("content_type")) | header_is_poisoned(chunks.dtypes)
+    judged = chunks.select("doc_id", *key, poisoned.alias("poisoned")).distinct()
+    return judged.groupBy("doc_id").agg(F.count("*").alias("n_chunks"), F.max("poisoned").alias("bad")).where(~F.col("bad")).select("doc_id", "n_chunks")
+
+
 def budget_severity(length: Column, cfg: Config = DEFAULT) -> Column:
     """Both are warnings: a length alone does not block."""
     return F.when(length > cfg.embed_char_hard_cap, "truncation_risk").when(length > cfg.embed_char_budget, "over_budget")

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from quillspark.config import DEFAULT, Config
 from quillspark.operators.embed import HashingEmbedder
+from quillspark.session import written
 from quillspark.functions.text import terms
 
 FILTERS = ("section_type", "content_type", "space", "doc_id", "genre")
@@ -62,13 +63,15 @@ def query_terms(spark: SparkSession, queries: dict[str, str]) -> DataFrame:
 def bm25(corpus: DataFrame, id_col: str, text: Column, wanted: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """(query_id, id, score) of all documents with a score, for all queries at once.
 
-    One pass over the texts keeps, per document, its length and the counts of the wanted
-    terms only; document frequencies come from the same rows.
+    One pass over the texts keeps, per document, its length (under an empty term) and the counts of the
+    wanted terms only; statistics and document frequencies come from the same written rows.
     """
-    words = wanted.select("term").distinct()
+    words = wanted.select("term").union(wanted.sparkSession.createDataFrame([("",)], "term string")).distinct()
     docs = corpus.select(F.col(id_col).alias("id"), terms(text).alias("ts")).withColumn("dl", F.size("ts").cast("bigint"))
-    stats = docs.agg(F.count("*").alias("n_docs"), F.avg("dl").alias("avg_len"))
-    hits = docs.select("id", "dl", F.explode("ts").alias("term")).join(F.broadcast(words), "term").groupBy("id", "term", "dl").agg(F.count("*").alias("tf"))
+    each = docs.select("id", "dl", F.explode(F.concat("ts", F.array(F.lit("")))).alias("term"))
+    found = written(each.join(F.broadcast(words), "term").groupBy("id", "term", "dl").agg(F.count("*").alias("tf")))  # the queries' words are a stated, small set
+    stats = found.where("term = ''").agg(F.count("*").alias("n_docs"), F.avg("dl").alias("avg_len"))
+    hits = found.where("term <> ''")
     df = hits.groupBy("term").agg(F.count("*").alias("df"))
     weights = F.broadcast(wanted.join(df, "term").crossJoin(F.broadcast(stats)))  # a row per query term
     rows = hits.join(weights, "term")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quillspark.operators import chunking, classify, convert, inventory, report, search, serve, store, structure
 from quillspark.plans.pages import _B, _HEADER, _KEY, _S
+from quillspark.session import written
 from quillspark.tables import distinct_blocks, table
 
 
@@ -164,7 +165,7 @@ def parsed_markdown(spark: SparkSession, folder: str) -> DataFrame:
 
 def parsed_sections(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "title")
-    sections, blocks = structure.sections_and_blocks(structure.parsed_rows(docs), docs)
+    sections, blocks = structure.sections_and_blocks(written(structure.parsed_rows(docs)), docs)  # read by several windows
     n = blocks.groupBy("doc_id", "section_id").agg(F.count("*").alias("n_blocks"))
     return sections.join(n, ["doc_id", "section_id"], "left").select("doc_id", "section_id", "seq", "level", F.array_join("breadcrumb", " > ").alias("path"), F.coalesce("n_blocks", F.lit(0)).alias("n_blocks"))
 

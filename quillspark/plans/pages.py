@@ -160,8 +160,8 @@ def chunk_residue_flags(spark: SparkSession, folder: str) -> DataFrame:
 
 def gate_block_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Pages that pass the gate with all their blocks, by number of blocks."""
-    kept, _ = lint.gate(_blocks(spark, folder))
-    return kept.groupBy("doc_id").agg(F.count("*").alias("n_blocks"))
+    rows = table(spark, folder, "blocks").select("doc_id", "section_id", "block_id", "seq", "content_type", "text")
+    return lint.passing_documents(rows, ["section_id", "block_id", "seq", "content_type"]).withColumnRenamed("n_chunks", "n_blocks")
 
 
 def gate_counts(spark: SparkSession, folder: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from quillspark import api, session
 from quillspark.config import Config
 from quillspark.functions.lang_packs import pack
-from quillspark.operators import chunking, convert, embed, search, store
+from quillspark.operators import chunking, classify, convert, embed, search, store
 from quillspark.sources import otel
 
 
@@ -150,3 +150,11 @@ def test_embedders_by_name_and_of_ones_own(spark, tmp_path):
     assert s.provenance()["provider"] == "own" and api.query(s, "banana", embedder=embed.factory("own")).first().doc_id == "a"
     with pytest.raises(ValueError):
         api.query(s, "banana")
+
+
+def test_large_vocabularies_meet_in_a_join(spark):
+    rows = spark.createDataFrame([(1, "The Dead-Letter queue of order_store; dead letter QUEUE"), (2, None), (3, ""), (4, "orders only")], "id int, text string")
+    words = spark.createDataFrame([("dead letter queue",), ("Dead-Letter",), ("order_store",), ("order",), ("ORDER_STORE",), (" ",), (None,)], "word string")
+    got = {(r.id, r.word) for r in classify.vocabulary_rows(rows, words, ["id"]).collect()}
+    assert got == {(1, "dead letter queue"), (1, "Dead-Letter"), (1, "ORDER_STORE")}
+    assert classify.vocabulary_rows(rows, words.limit(0), ["id"]).count() == 0
