@@ -122,7 +122,7 @@ _X = re.compile(r"x{3,}\Z")
 def tokens(text: str) -> list[str]:
     out = []
     for t in _TOKEN.findall(text.lower()):
-        if any(c.isdigit() for c in t) and not (t.isdigit() and len(t) == 3):
+        if not t.isalpha() and any(c.isdigit() for c in t) and not (t.isdigit() and len(t) == 3):
             t = "0"
         elif _X.match(t):
             t = "xxx"
@@ -169,6 +169,13 @@ class ResidueIndex:
                 for t in counts:
                     if len(t) >= 5 and t != best[0]:
                         self.postings[t].append(i)
+        self._bounds()
+
+    def _bounds(self) -> None:
+        """What windows need at most: words that some exemplar may cover, but for running filler text."""
+        short = [len(toks) for i, (_, toks, _, _) in enumerate(self.items) if not self._long_filler(i)]
+        self.longest = 2 * max(short) + 16
+        self.filler_terms = {t for t, held in self.postings.items() if any(self._long_filler(i) for i in held)}
 
     def known_words(self, low: str) -> bool:
         """Whether almost all words of a sentence stand in exemplars, so that they may cover it."""
@@ -250,6 +257,8 @@ class ResidueIndex:
         for window in self.windows(text):
             if leads is not None:
                 low = window.lower()
+                if low.count(" ") > self.longest and not leads[0] & self.filler_terms:  # no exemplar covers so long a window
+                    continue
                 # A sentence in other words has at most JOINT_WORDS, all of which exemplars have.
                 if not any(t in low for t in leads[0]) and (low.count(" ") > 2 * JOINT_WORDS or not any(t in low for t in leads[1]) or not self.known_words(low)):
                     continue
