@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark import api
-from quillspark.operators import convert, diagrams, evaluate, inventory, lint, report, search, store, structure, usage
-from quillspark.plans import corpus
+from quillspark.config import Config
+from quillspark.operators import chunking, classify, convert, diagrams, evaluate, inventory, lint, report, search, store, structure, usage
+from quillspark.plans import corpus, pages
 from quillspark.plans import usage as usage_plans
 from quillspark.session import shared_dir
 from quillspark.sources import logs, otel
@@ -389,6 +390,38 @@ def eval_gate(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame(out, "space string, passes boolean, n_notes int")
 
 
+def scoped_metadata(spark: SparkSession, folder: str) -> DataFrame:
+    """The sections' metadata as that of a chunk of their blocks' texts: mentions stay only where the chunk holds them."""
+    s = table(spark, folder, "sections").select("doc_id", "section_id", F.transform_keys("metadata", lambda k, v: F.concat(F.lit("ner:"), k)).alias("metadata"))
+    s = s.groupBy("doc_id", "section_id").agg(F.max_by("metadata", F.size("metadata")).alias("metadata"))
+    b = _blocks(spark, folder).where("content_type = 'table' and text is not null").select("doc_id", "section_id", "block_id", "text")
+    rows = b.join(s, ["doc_id", "section_id"]).select("doc_id", "block_id", F.explode(chunking.scoped_metadata(F.col("metadata"), F.col("text"))).alias("name", "values"))
+    return rows.select("doc_id", "block_id", "name", F.array_join("values", ",").alias("values"))
+
+
+def merge_strategies(spark: SparkSession, folder: str) -> DataFrame:
+    """What is packed together in pages, by their profile."""
+    types = classify.document_types(table(spark, folder, "sections").select("doc_id", "section_id", "title").distinct())
+    profiles = classify.document_profiles(_blocks(spark, folder), types)
+    rows = profiles.select("profile", classify.merge_strategy(F.col("profile"), Config(profile_routing=True)).alias("s")).groupBy("profile", "s.merge_prose", "s.merge_definitions").agg(F.count("*").alias("n"))
+    return rows
+
+
+def newest_sessions(spark: SparkSession, folder: str) -> DataFrame:
+    """For each space as a workspace, whatever its spelling, the page that was delivered last there."""
+    p = table(spark, folder, "page_meta").where("space <> ''")
+    messages = p.select(F.col("doc_id").alias("session_id"), F.col("ingested_at").cast("string").alias("ts"), F.concat(F.lit("C:\\Work\\"), "space", F.lit("/")).alias("cwd"))
+    spaces = p.select(F.concat(F.lit("c:/work/"), F.lower("space")).alias("path")).distinct()
+    return usage.newest_session(messages, spaces)
+
+
+def context_footprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Sections as context files: what their genres load at the start and on demand, and its cost over ten turns."""
+    s = table(spark, folder, "sections").select("doc_id", "section_id", "genre", "section_type", "title").distinct()
+    files = s.select(F.coalesce("genre", F.lit("none")).alias("ecosystem"), F.when(F.col("section_type") == "overview", "startup").otherwise("invoke").alias("load"), F.length(F.coalesce("title", F.lit(""))).alias("chars"))
+    return usage.context_footprint(files, 10, 3.0)
+
+
 def result_snippets(spark: SparkSession, folder: str) -> DataFrame:
     """Blocks as results: scores rounded, long texts cut."""
     b = _blocks(spark, folder).where("text is not null").select("doc_id", "block_id", (F.length("text") / F.lit(7.0)).alias("score"), F.col("text").alias("content"))
@@ -399,7 +432,7 @@ def result_snippets(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     otlp_spans, otlp_flat_records, otlp_protobuf, telemetry_shapes, session_log_usage, session_prompts, captured_prompts, billing_items, usage_ranked, store_roundtrip, export_roundtrip, paths_and_titles,
     breadcrumb_sections, gate_statuses, construct_totals, conversion_totals, shown_nodes, html_constructs, page_sanity, visible_texts, diagram_nodes, diagram_kinds, diagram_differences, diagram_pictures, parsed_code, parsed_headings, lint_findings, chunk_texts, ranked_fields,
-    routed_taxonomy, evaluated_sections, eval_gate, result_snippets,
+    routed_taxonomy, evaluated_sections, eval_gate, scoped_metadata, merge_strategies, newest_sessions, context_footprints, result_snippets,
 )}
 # ---- SQL ----------------------------------------------------------------------------
 
@@ -513,5 +546,15 @@ l AS (SELECT doc_id, coalesce(title, '') AS t FROM s QUALIFY row_number() OVER (
 SELECT doc_id AS query_id, min(seq) AS rank FROM s JOIN l USING (doc_id) WHERE contains(lower(b), lower(t)) GROUP BY doc_id""",
     "eval_gate": f"""SELECT space, m >= 0.5 AND coalesce(space, '') >= 'M' AS passes, CAST(CASE WHEN m < 0.5 THEN 1 ELSE 0 END + CASE WHEN coalesce(space, '') < 'M' THEN 1 ELSE 0 END AS INTEGER) AS n_notes
   FROM (SELECT space, round(avg(CASE WHEN content_type = 'paragraph' THEN 1.0 ELSE 0.0 END), 6) AS m FROM {_B} GROUP BY space)""",
+    "scoped_metadata": f"""
+WITH s AS (SELECT doc_id, section_id, max_by(metadata, cardinality(metadata)) AS m FROM sections WHERE metadata IS NOT NULL GROUP BY ALL), b AS (SELECT * FROM {_B} WHERE content_type = 'table' AND text IS NOT NULL),
+e AS (SELECT b.doc_id, block_id, text, unnest(map_entries(m)) AS e FROM b JOIN s USING (doc_id, section_id))
+SELECT doc_id, block_id, 'ner:' || e.key AS name, array_to_string(list_filter(e.value, lambda x: x IS NOT NULL AND contains(text, x)), ',') AS values FROM e""",
+    "merge_strategies": "SELECT profile, profile = 'prose' AS merge_prose, profile = 'technical' AS merge_definitions, count(*) AS n FROM (" + pages.ORACLE["document_profiles"] + ") GROUP BY profile",
+    "newest_sessions": "SELECT 'c:/work/' || lower(space) AS workspace, doc_id AS session_id FROM page_meta WHERE space <> '' QUALIFY row_number() OVER (PARTITION BY space ORDER BY ingested_at DESC, doc_id DESC) = 1",
+    "context_footprints": """
+WITH s AS (SELECT DISTINCT doc_id, section_id, genre, section_type, title FROM sections), f AS (SELECT coalesce(genre, 'none') AS ecosystem, section_type IS NOT DISTINCT FROM 'overview' AS start, CAST(round_even(length(coalesce(title, '')) / 4.0, 0) AS BIGINT) AS t FROM s),
+g AS (SELECT ecosystem, CAST(coalesce(sum(t) FILTER (start), 0) AS BIGINT) AS startup, CAST(coalesce(sum(t) FILTER (NOT start), 0) AS BIGINT) AS invoke FROM f GROUP BY ecosystem)
+SELECT ecosystem, startup, invoke, round(startup / (SELECT sum(startup) FROM g), 6) AS share, round(startup * 10 * 3.0 / 1e6, 6) AS cost FROM g""",
     "result_snippets": f"SELECT doc_id, block_id, round(length(text) / 7.0, 4) AS score, md5(CASE WHEN length(text) > 100 THEN substr(text, 1, 100) || '...' ELSE text END) AS snippet FROM {_B} WHERE text IS NOT NULL",
 }

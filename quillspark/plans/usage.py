@@ -114,16 +114,23 @@ def timestamp_units(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_usage_daily(spark: SparkSession, folder: str) -> DataFrame:
     """The events read as a stream until all are processed; tumbling days by event type."""
-    return stream.replay_daily(spark, f"{folder}/events.parquet").select("day", "event_type", "n", F.round("total", 6).alias("total"))
+    def days(events: DataFrame) -> DataFrame:
+        return stream.windowed(events, "1 day").select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "event_type", "n", F.round("total", 6).alias("total"))
+
+    return stream.replayed(spark, f"{folder}/events.parquet", days)
 
 
 def stream_sliding_hours(spark: SparkSession, folder: str) -> DataFrame:
-    return stream.windowed(table(spark, folder, "events"), "2 hours", "1 hour").select(F.date_format("window.start", "yyyy-MM-dd HH:mm").alias("start"), "event_type", "n")
+    """Two hours that slide by one, over the events as a stream."""
+    def hours(events: DataFrame) -> DataFrame:
+        return stream.windowed(events, "2 hours", "1 hour").select(F.date_format("window.start", "yyyy-MM-dd HH:mm").alias("start"), "event_type", "n")
+
+    return stream.replayed(spark, f"{folder}/events.parquet", hours)
 
 
 def stream_sessions(spark: SparkSession, folder: str) -> DataFrame:
-    """Gap sessions per user: a break of more than six hours begins a new one."""
-    rows = stream.gap_sessions(table(spark, folder, "events"), "6 hours")
+    """Gap sessions per user, over the events as a stream: a break of more than six hours begins a new one."""
+    rows = stream.replayed(spark, f"{folder}/events.parquet", lambda events: stream.gap_sessions(events, "6 hours").select("user_id", "n"))
     return rows.groupBy("user_id").agg(F.count("*").alias("n_sessions"), F.sum("n").alias("n_events"))
 
 

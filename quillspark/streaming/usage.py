@@ -8,6 +8,7 @@ duplicates are remembered for ever, which is the unbounded form.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,8 +45,13 @@ def running_totals(records: DataFrame) -> DataFrame:
     return records.groupBy("grp", "model").agg(F.sum("tokens_in").alias("tokens_in"), F.sum("tokens_out").alias("tokens_out"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
 
 
-def event_stream(spark: SparkSession, folder: str, schema) -> DataFrame:
-    return spark.readStream.schema(schema).parquet(folder)
+def event_stream(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The files of a folder as a stream; of a table that is one file, the file, through its folder."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    reader = spark.readStream.schema(schema)
+    if place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(place).isDirectory():
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", place.getName()).parquet(place.getParent().toString())
 
 
 def snapshot_sink(rows: DataFrame, out: str, checkpoint: str, mode: str = "update"):
@@ -57,19 +63,11 @@ def snapshot_sink(rows: DataFrame, out: str, checkpoint: str, mode: str = "updat
     return rows.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(write).trigger(availableNow=True).start()
 
 
-def replay_daily(spark: SparkSession, path: str) -> DataFrame:
-    """Daily windows of a whole event table, run through the streaming engine and read from its sink."""
-    schema = spark.read.parquet(path).schema
+def replayed(spark: SparkSession, path: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What ``build``, an aggregate over a stream, shows once all of a table has gone through the streaming engine."""
     place = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
-    events = event_stream(spark, _as_folder(spark, path, place), schema)
-    query = snapshot_sink(windowed(events, "1 day").select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "event_type", "n", "total"), f"{place}/out", f"{place}/state", "complete")
-    query.awaitTermination()
+    events = event_stream(spark, path, spark.read.parquet(path).schema)
+    snapshot_sink(build(events), f"{place}/out", f"{place}/state", "complete").awaitTermination()
     last = spark.read.parquet(f"{place}/out")
     newest = last.agg(F.max("batch")).first()[0]
     return last.where(F.col("batch") == newest).drop("batch")
-
-
-def _as_folder(spark: SparkSession, path: str, place: str) -> str:
-    """A file source reads folders: a table of one file is written to one first."""
-    spark.read.parquet(path).write.parquet(f"{place}/in")
-    return f"{place}/in"

@@ -13,6 +13,8 @@ import pytest
 import __spark_entry__ as entry
 
 FOLDER = "/root/testdata/sf0.001"
+#: queries of which the smallest tables hold no case
+EMPTY = {"entities_endpoint", "lint_macros", "p2_exact_texts", "p6_template_classes", "p6_template_slots"}
 
 
 @pytest.fixture(scope="module")
@@ -39,11 +41,11 @@ def canonical(df: pd.DataFrame) -> pd.DataFrame:
 def test_query(spark, db, name):
     got = entry.queries()[name](spark, FOLDER)
     if name not in entry.oracle_sql():
-        assert got.columns and got.count() >= 0
+        assert len(set(got.columns)) == len(got.columns) and (got.count() > 0 or name in EMPTY)
         return
     a, b = canonical(got.toPandas()), canonical(db.sql(entry.oracle_sql()[name]).df())
     assert list(a.columns) == list(b.columns) and len(a) == len(b)
-    assert len(a) == 0 or a.equals(b)
+    assert a.equals(b) if len(a) else name in EMPTY
 
 
 def test_entry(spark):
