@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 EXEMPLARS: dict[str, list[str]] = {
     "placeholder": [
         "TODO", "TODO: *", "FIXME: *", "TBD: *", "TODO: fill in *", "TODO: complete *", "TODO : compléter *", "TODO: completare *", "TODO: * ergänzen",
-        "TBD", "TBD - to be completed by the owner of *", "to be completed by the owner of *", "to be completed (*)",
+        "TBD", "TBD - to be completed by the owner of *", "to be completed by the owner of *", "To be completed",
         "À compléter par le responsable (*)", "À compléter", "Wird noch ausgefüllt (*)", "Wird noch ausgefüllt", "Noch auszufüllen",
         "Da completare a cura del responsabile (*)", "Da completare (*)", "Da completare", "Da compilare", "n/a (to do)", "xxx", "…", "...",
         "[TBD]", "[...]", "[…]", "[TODO]", "[offen]", "[à définir]", "[da definire]", "[to be defined]", "[noch offen]", "[à compléter]", "[da completare]",
@@ -70,7 +70,7 @@ EXEMPLARS: dict[str, list[str]] = {
     "error": [
         "404 Not Found", "404 - Page not found", "Page not found", "Not found", "Error 404", "404 - Seite nicht gefunden", "Seite nicht gefunden", "404 - Page introuvable", "Page introuvable", "404 - Pagina non trovata", "Pagina non trovata",
         "The page you asked for was moved or never existed.", "Oops! We cannot find that page.", "We cannot find that page.", "The requested page could not be found.", "Die gewünschte Seite wurde verschoben.", "La page demandée a été déplacée.", "La pagina richiesta è stata spostata.",
-        "Access denied", "Access denied (code 0)", "Access denied: *", "You do not have permission to view *", "403 Forbidden", "Forbidden", "401 Unauthorized", "Zugriff verweigert", "Zugriff verweigert: *", "Zugriff verweigert (Code 0)", "Accès refusé", "Accès refusé : *", "Accesso negato", "Accesso negato: *",
+        "Access denied", "Access denied (code 0)", "Access denied: *", "You do not have permission to view *", "You have no permission to view *", "You have no permission to access *", "Error 403: you have no permission to view *", "Error 403: you have no permission to access *", "403 Forbidden", "Forbidden", "401 Unauthorized", "Zugriff verweigert", "Zugriff verweigert: *", "Zugriff verweigert (Code 0)", "Accès refusé", "Accès refusé : *", "Accesso negato", "Accesso negato: *",
         "Gateway Timeout", "408 Request Timeout", "Request timed out.", "400 Bad Request", "Bad request", "410 Gone", "This page does not exist.", "This page no longer exists.", "The page cannot be displayed.", "We could not find the page you were looking for.",
         "The file you requested was not found on this server.", "An error occurred while processing your request.", "An error has occurred.", "An internal error occurred.", "Sorry, an error occurred.", "The server is temporarily unavailable.", "The server encountered an error.", "Failed to load content.", "Could not load the page.",
         "You are not authorized to access this page.", "You must be logged in to view this page.", "Login required", "Please log in to continue.", "Your login has expired.", "This content is not available.", "Connection refused", "The server did not respond.",
@@ -111,7 +111,7 @@ ENVIRONMENT = ["HOME", "PATH", "USER", "USERNAME", "PWD", "SHELL", "TMP", "TEMP"
 
 _CODE_SPAN = re.compile(r"``[^\n]*?``(?!`)|`[^`\n]+`")
 _VARIABLE = re.compile(rf"\$\{{(?:{'|'.join(ENVIRONMENT)})\}}|%(?:{'|'.join(ENVIRONMENT)})%")
-_FORM = r"\{\{[^{}\n]{1,60}\}\}|\$\{[^{}\n]{1,60}\}|(?<![\w%])%[A-Z][A-Z_]{2,30}%(?![\w%])|(?<![\w@])@@[A-Z][A-Z_]{1,30}@@(?![\w@])"
+_FORM = r"\{\{[^{}\n]{1,60}\}\}|\$\{[^{}\n]{1,60}\}|(?<![\w%])%[A-Z][A-Z_]{2,30}%(?![\w%])|(?<![\w@])@@[A-Z][A-Z_]{1,30}@@(?![\w@])|(?<![\w-])X{4,}(?![\w-])"
 _SPAN = re.compile(_FORM + r"|(?<![\w\]\[])\[[^\[\]\n|]{2,160}\](?![\[(:\w])|(?<![\w/])<[^\W\d_][^<>\n=]{2,160}>|«[^«»\n]{2,40}»|(?<![\w/{$])\{[A-Z][A-Z_]{2,30}\}")
 _TOKEN = re.compile(r"n/a|(?<![^\W_])(?:todo|fixme|tbd)(?=\s?:)\s?:|[^\W_]+|…|\.\.\.|\{\{|\}\}|\$\{|@@|(?<![\w%])%(?=[^\W\d_])|(?<=[^\W\d_])%(?![\w%])|[\[\]<>«»{}]")
 _SENTENCE = re.compile(r"(?<=[.!?;])[ \xa0]+")

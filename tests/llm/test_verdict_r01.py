@@ -52,6 +52,14 @@ ONLY_SPOKEN_OF = [
 ]
 
 
+@pytest.mark.parametrize("text,kind", [
+    ("It runs as soon as the XXXXX answers and retries.", "placeholder"), ("Error 403: you have no permission to view the daily totals.", "error"), ("To be completed", "placeholder"),
+    ("To be completed within 3 days is the promise the team makes for each draft.", None), ("Part XXX of the plan", None), ("the file-XXXXX-name", None), ("Error 403 is sent to callers without a role.", None),
+])
+def test_placeholders_inside_prose(text, kind):
+    assert residue.residue_kind(text) == kind
+
+
 def test_residue_off_the_exemplars():
     found = [t for t in HELD_OUT if residue.residue_kind(t)]
     wrong = [t for t in ONLY_SPOKEN_OF if residue.residue_kind(t)]
