@@ -47,7 +47,7 @@ _WORDY = r"[^\W_]"  # what an emphasis begins and ends next to
 #: (kind, form, pattern); each match is a whole construct or one token of a pair
 GRAMMAR: list[tuple[str, str, str]] = [
     ("html", "comment", r"<!--.*?-->"),
-    ("html", "tag", rf"</?(?:{_TAGS})(?=[\s/>])(?:\s+[\w:-]+(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?)*\s*/?>"),
+    ("html", "tag", rf"(?:</?(?:{_TAGS})|(?<!\w)</?(?:{_TAGS.upper()}))(?=[\s/>])(?:\s+[\w:-]+(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?)*\s*/?>"),
     ("html", "namespaced", r"</?[A-Za-z][\w-]*:[A-Za-z][\w-]*(?:\s[^<>]*)?/?>"),
     ("html", "entity", r"&(?:[A-Za-z][A-Za-z0-9]{1,20}|#\d{1,7}|#[xX][0-9a-fA-F]{1,6});"),
     ("latex", "environment", r"\\(?:begin|end)\{[A-Za-z]+\*?\}(?:\[[^\]\n]*\]|\{[^{}\n]*\})?"),

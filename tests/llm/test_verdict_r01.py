@@ -100,3 +100,8 @@ def test_one_class_inside_another(spark):
 ])
 def test_structure_survives_cleaning(dirty, clean):
     assert markup.clean_markup(dirty) == clean and markup.clean_markup(clean) == clean
+
+
+@pytest.mark.parametrize("text,kinds", [("a <STRONG>b</STRONG> c", {"html"}), ("<BR/> x", {"html"}), ("as List<A> and Map<B>", set()), ("<Title> and <Heading>", set()), ("like `<B>` here", set())])
+def test_tags_in_capitals(text, kinds):
+    assert {k for k, *_ in markup.lex(text)} == kinds
