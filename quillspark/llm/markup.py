@@ -381,16 +381,35 @@ _KEEP = re.compile(r"```.*?```|`[^`\n]+`|\$\$[^$]+\$\$|\$[^$\n]+\$", re.S)
 
 #: rules that are applied until nothing is left, from the innermost command outwards
 _NESTING = {i for i, (p, _) in enumerate(_RULES) if "textbf" in p.pattern or "footnote" in p.pattern}
-#: lists and tables of HTML, whole; their rows, cells and numbers come out as Markdown's
-_STRUCTURED = re.compile(r"<(ul|ol|table)\b[^>]*>(?:(?!<\1\b).)*?(?:<\1\b(?:(?!</?\1\b).)*</\1\s*>(?:(?!<\1\b).)*?)*</\1\s*>", re.S | re.I)
+_LIST_TAG = re.compile(r"<(/?)(ul|ol|table)\b[^<>]*>", re.I)
 _HELD = re.compile("\x00(\\d+)\x00")
 
 
-def _structured(markup: str, kept: list[str]) -> str:
-    """A list or table as Markdown, by the page converter; code spans that were put aside are put back first."""
-    page = Page(_HELD.sub(lambda m: html.escape(kept[int(m.group(1))]), markup))
-    page.rewrite(page.tree)
-    return "\n" + "\n\n".join(page.blocks(page.tree)) + "\n"
+def _lists_and_tables(text: str) -> list[tuple[int, int]]:
+    """The outermost lists and tables of HTML that are closed, in one pass over their tags."""
+    closed: list[tuple[int, int]] = []
+    open_: list[tuple[str, int]] = []
+    for m in _LIST_TAG.finditer(text):
+        name = m.group(2).lower()
+        if not m.group(1):
+            open_.append((name, m.start()))
+        elif open_ and open_[-1][0] == name:
+            start = open_.pop()[1]
+            while closed and closed[-1][0] > start:  # inside this one
+                closed.pop()
+            closed.append((start, m.end()))
+    return closed
+
+
+def _structured(markup: str, kept: list[str]) -> str | None:
+    """A list or table as Markdown with its rows, cells and numbers, by the page converter; code spans that were put
+    aside are put back first. None for markup that it cannot read."""
+    try:
+        page = Page(_HELD.sub(lambda m: html.escape(kept[int(m.group(1))]), markup))
+        page.rewrite(page.tree)
+        return "\n" + "\n\n".join(page.blocks(page.tree)) + "\n"
+    except Exception:  # noqa: BLE001 - the rules below still take its tags away
+        return None
 
 
 def clean_markup(text: str | None, content_type: str | None = None, unknown: frozenset[str] | set[str] = frozenset()) -> str | None:
@@ -401,14 +420,17 @@ def clean_markup(text: str | None, content_type: str | None = None, unknown: fro
         return text
     kept: list[str] = []
 
-    def hold(m: re.Match, shown: str | None = None) -> str:
-        kept.append(m.group(0) if shown is None else shown)
+    def hold(m: re.Match) -> str:
+        kept.append(m.group(0))
         return f"\x00{len(kept) - 1}\x00"
 
     out = _CODE_SPAN.sub(hold, text)
     if content_type == "table":
         out = _CELL_BREAK.sub(hold, out)
-    out = _STRUCTURED.sub(lambda m: hold(m, _structured(m.group(0), kept)), out) if "<" in out else out
+    for start, end in reversed(_lists_and_tables(out)) if "<" in out else ():
+        if (made := _structured(out[start:end], kept)) is not None:
+            kept.append(made)
+            out = f"{out[:start]}\x00{len(kept) - 1}\x00{out[end:]}"
     if unknown and "<" in out:
         out = _UNKNOWN.sub(lambda m: "" if m.group(1).lower() in unknown else m.group(0), out)
     for i, (pattern, by) in enumerate(_RULES):

@@ -105,3 +105,12 @@ def test_structure_survives_cleaning(dirty, clean):
 @pytest.mark.parametrize("text,kinds", [("a <STRONG>b</STRONG> c", {"html"}), ("<BR/> x", {"html"}), ("as List<A> and Map<B>", set()), ("<Title> and <Heading>", set()), ("like `<B>` here", set())])
 def test_tags_in_capitals(text, kinds):
     assert {k for k, *_ in markup.lex(text)} == kinds
+
+
+def test_broken_and_long_markup_is_cleaned():
+    assert markup.clean_markup("<ul><li>a</ul> <ul> open <ol><li>b</li></ol>").split() == ["-", "a", "open", "1.", "b"]
+    assert markup.clean_markup("</ul>x<table>") == "x"
+    long = "<ul>" * 30_000 + "word " * 30_000
+    assert markup.clean_markup(long).split() == ["word"] * 30_000
+    deep = "<ul><li>" * 2_000 + "end" + "</li></ul>" * 2_000
+    assert markup.clean_markup(deep).split()[-1] == "end"
