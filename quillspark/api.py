@@ -6,7 +6,7 @@ step that needs all documents first is the vocabulary, if one is asked for.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -32,6 +32,8 @@ def enriched_sections(documents: DataFrame, cfg: Config = DEFAULT, vocabulary: l
     s = sections.join(genres, ["doc_id", "section_id"]).join(text, ["doc_id", "section_id"], "left")
     kind = classify.section_type(F.col("title"), lang)
     body = F.coalesce("body", F.lit(""))
+    seen = blocks.groupBy("doc_id", "section_id").agg(*[F.array_distinct(F.flatten(F.collect_list(c))).alias(f"_{c}") for c in ("xref", "figure")])
+    s = s.join(seen, ["doc_id", "section_id"], "left")
     s = s.withColumn("section_type", kind).withColumn("entities", classify.entities(F.concat_ws("\n", "title", body), vocabulary)).withColumn("tags", classify.tags(F.col("section_type"), body, lang)).drop("body")
     none, empty = F.array().cast("array<string>"), F.create_map().cast("map<string,array<string>>")
     if cfg.inventory:
@@ -45,7 +47,13 @@ def enriched_sections(documents: DataFrame, cfg: Config = DEFAULT, vocabulary: l
         s = s.join(wide, ["doc_id", "section_id"], "left")
     else:
         s = s.withColumns({c: none for c in ("depends_on", "exposes", "facts")}).withColumn("metadata", empty)
-    return s.withColumns({c: F.coalesce(c, none) for c in ("depends_on", "exposes", "facts")}).withColumn("metadata", F.coalesce("metadata", empty)), blocks
+    return s.withColumns({c: F.coalesce(c, none) for c in ("depends_on", "exposes", "facts")}).withColumn("metadata", F.map_concat(F.coalesce("metadata", empty), _captured())).drop("_xref", "_figure"), blocks
+
+
+def _captured() -> Column:
+    """Links and figures of a section as metadata, which is not embedded; what a table names so itself stays."""
+    pairs = F.array_compact(F.array(*[F.when((F.size(f"_{c}") > 0) & ~F.map_contains_key(F.coalesce("metadata", F.create_map().cast("map<string,array<string>>")), c), F.struct(F.lit(c).alias("k"), F.col(f"_{c}").alias("v"))) for c in ("xref", "figure")]))
+    return F.map_from_entries(pairs)
 
 
 def chunk_documents(documents: DataFrame, cfg: Config = DEFAULT, vocabulary: list[str] | None = None) -> DataFrame:

@@ -95,3 +95,22 @@ def with_titles(rows: DataFrame, sections: DataFrame) -> DataFrame:
 def status_totals(rows: DataFrame) -> DataFrame:
     """(status, n): how many files were ok or failed."""
     return rows.groupBy("status").agg(F.count("*").alias("n"))
+
+
+def html_rows(rows: DataFrame, key: str) -> DataFrame:
+    """(key, html): each row of a report as a table row, its values escaped; nulls are empty cells."""
+    def cell(c: str) -> Column:
+        text = F.coalesce(F.col(c).cast("string"), F.lit(""))
+        for mark, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+            text = F.replace(text, F.lit(mark), F.lit(name))
+        return F.concat(F.lit("<td>"), text, F.lit("</td>"))
+
+    return rows.select(key, F.concat(F.lit("<tr>"), *[cell(c) for c in rows.columns], F.lit("</tr>")).alias("html"))
+
+
+def html_page(rows: DataFrame, key: str, title: str) -> DataFrame:
+    """(at, html): the lines of a report's page in order, to be written as text; rows come by key."""
+    head = "".join(f"<th>{c}</th>" for c in rows.columns)
+    frame = rows.sparkSession.createDataFrame([(0, f"<!DOCTYPE html><html><head><title>{title}</title></head><body><table><tr>{head}</tr>"), (2, "</table></body></html>")], "at int, html string")
+    body = html_rows(rows, key).select(F.lit(1).alias("at"), F.col(key).cast("string").alias("k"), "html")
+    return frame.select("at", F.lit("").alias("k"), "html").unionByName(body).orderBy("at", "k", "html").select("at", "html")

@@ -390,6 +390,12 @@ def eval_gate(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame(out, "space string, passes boolean, n_notes int")
 
 
+def report_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored findings as rows of a page."""
+    rows = table(spark, folder, "quality_issues").select("chunk_id", "rule", "severity", "detail").distinct()
+    return report.html_rows(rows, "chunk_id")
+
+
 def scoped_metadata(spark: SparkSession, folder: str) -> DataFrame:
     """The sections' metadata as that of a chunk of their blocks' texts: mentions stay only where the chunk holds them."""
     s = table(spark, folder, "sections").select("doc_id", "section_id", F.transform_keys("metadata", lambda k, v: F.concat(F.lit("ner:"), k)).alias("metadata"))
@@ -432,7 +438,7 @@ def result_snippets(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     otlp_spans, otlp_flat_records, otlp_protobuf, telemetry_shapes, session_log_usage, session_prompts, captured_prompts, billing_items, usage_ranked, store_roundtrip, export_roundtrip, paths_and_titles,
     breadcrumb_sections, gate_statuses, construct_totals, conversion_totals, shown_nodes, html_constructs, page_sanity, visible_texts, diagram_nodes, diagram_kinds, diagram_differences, diagram_pictures, parsed_code, parsed_headings, lint_findings, chunk_texts, ranked_fields,
-    routed_taxonomy, evaluated_sections, eval_gate, scoped_metadata, merge_strategies, newest_sessions, context_footprints, result_snippets,
+    routed_taxonomy, evaluated_sections, eval_gate, report_rows, scoped_metadata, merge_strategies, newest_sessions, context_footprints, result_snippets,
 )}
 # ---- SQL ----------------------------------------------------------------------------
 
@@ -546,6 +552,7 @@ l AS (SELECT doc_id, coalesce(title, '') AS t FROM s QUALIFY row_number() OVER (
 SELECT doc_id AS query_id, min(seq) AS rank FROM s JOIN l USING (doc_id) WHERE contains(lower(b), lower(t)) GROUP BY doc_id""",
     "eval_gate": f"""SELECT space, m >= 0.5 AND coalesce(space, '') >= 'M' AS passes, CAST(CASE WHEN m < 0.5 THEN 1 ELSE 0 END + CASE WHEN coalesce(space, '') < 'M' THEN 1 ELSE 0 END AS INTEGER) AS n_notes
   FROM (SELECT space, round(avg(CASE WHEN content_type = 'paragraph' THEN 1.0 ELSE 0.0 END), 6) AS m FROM {_B} GROUP BY space)""",
+    "report_rows": "SELECT chunk_id, '<tr>' || " + " || ".join(f"'<td>' || replace(replace(replace(replace(coalesce({c}, ''), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;') || '</td>'" for c in ("chunk_id", "rule", "severity", "detail")) + " || '</tr>' AS html FROM (SELECT DISTINCT chunk_id, rule, severity, detail FROM quality_issues)",
     "scoped_metadata": f"""
 WITH s AS (SELECT doc_id, section_id, max_by(metadata, cardinality(metadata)) AS m FROM sections WHERE metadata IS NOT NULL GROUP BY ALL), b AS (SELECT * FROM {_B} WHERE content_type = 'table' AND text IS NOT NULL),
 e AS (SELECT b.doc_id, block_id, text, unnest(map_entries(m)) AS e FROM b JOIN s USING (doc_id, section_id))

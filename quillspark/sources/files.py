@@ -8,9 +8,12 @@ from __future__ import annotations
 
 import io
 import json
+import os
 import re
+import urllib.request
+import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 from xml.etree import ElementTree
 
@@ -124,6 +127,44 @@ def manifest(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return df.where(why.isNull()), df.where(why.isNotNull()).select("n", why.alias("error"))
 
 
+def _http_get(url: str, timeout: float) -> bytes:
+    with urllib.request.urlopen(url, timeout=timeout) as answer:
+        return answer.read()
+
+
+def downloaded(entries: DataFrame, folder: str, get: Callable[[str, float], bytes] = _http_get, timeout: float = 30.0, tries: int = 3) -> DataFrame:
+    """(n, dest, status, n_bytes, error): the entries of a manifest fetched into ``folder``, which all executors share.
+
+    A file appears by one rename, so a lost task leaves none half written; a file that is there already is kept
+    ('kept'), so a repeated job goes on where it was. A failed entry is a row, not a failed job.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for n, url, dest in zip(pdf["n"], pdf["url"], pdf["dest"]):
+                place, status, size, error = Path(folder) / dest, "kept", None, None
+                for left in range(tries - 1, -1, -1):
+                    if place.exists():
+                        size = place.stat().st_size
+                        break
+                    try:
+                        body = get(url, timeout)
+                        place.parent.mkdir(parents=True, exist_ok=True)
+                        staged = place.with_name(f".{place.name}.{uuid.uuid4().hex}")
+                        staged.write_bytes(body)
+                        os.replace(staged, place)
+                        status, size, error = "ok", len(body), None
+                        break
+                    except Exception as e:  # noqa: BLE001 - any failure of a transfer is told in its row
+                        status, error = "failed", f"{type(e).__name__}: {e}"
+                out.append((n, dest, status, size, error))
+            if out:
+                yield pd.DataFrame(out, columns=["n", "dest", "status", "n_bytes", "error"]).astype({"n_bytes": "Int64"})
+
+    return entries.select("n", "url", "dest").mapInPandas(run, "n int, dest string, status string, n_bytes bigint, error string")
+
+
 def golden_set(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(queries, matchers) of an evaluation set in YAML or JSON."""
     import yaml

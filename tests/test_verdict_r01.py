@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import gzip
 import json
 import random
+import threading
+import urllib.error
+import urllib.request
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,8 +15,8 @@ from pyspark.sql import functions as F
 from quillspark import api, session
 from quillspark.config import Config
 from quillspark.functions.lang_packs import pack
-from quillspark.operators import chunking, classify, convert, embed, search, store
-from quillspark.sources import otel
+from quillspark.operators import chunking, classify, convert, embed, report, search, store
+from quillspark.sources import files, otel, receiver
 
 
 def rows(spark, *values):
@@ -158,3 +162,44 @@ def test_large_vocabularies_meet_in_a_join(spark):
     got = {(r.id, r.word) for r in classify.vocabulary_rows(rows, words, ["id"]).collect()}
     assert got == {(1, "dead letter queue"), (1, "Dead-Letter"), (1, "ORDER_STORE")}
     assert classify.vocabulary_rows(rows, words.limit(0), ["id"]).count() == 0
+
+
+def test_download_report_and_receiver(spark, tmp_path):
+    (tmp_path / "src").mkdir()
+    (tmp_path / "src" / "a.txt").write_text("hello")
+    entries = spark.createDataFrame([(0, f"file://{tmp_path}/src/a.txt", "x/a.txt"), (1, f"file://{tmp_path}/src/none.txt", "b.txt")], "n int, url string, dest string")
+    rows = {r.n: r for r in files.downloaded(entries, str(tmp_path / "out")).collect()}
+    assert (rows[0].status, rows[0].n_bytes, rows[1].status) == ("ok", 5, "failed") and "URLError" in rows[1].error and (tmp_path / "out" / "x" / "a.txt").read_text() == "hello"
+    again = files.downloaded(entries, str(tmp_path / "out"))
+    assert {r.status: r.n for r in report.status_totals(again).collect()} == {"kept": 1, "failed": 1}
+
+    server = receiver.receiver(str(tmp_path / "in"), port=0)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    url = f"http://127.0.0.1:{server.server_port}"
+    span = {"spans": [{"name": "chat", "attributes": [{"key": "model", "value": {"stringValue": "m"}}, {"key": "output_tokens", "value": {"intValue": "3"}}]}]}
+
+    def post(path, body, **headers):
+        try:
+            return urllib.request.urlopen(urllib.request.Request(url + path, data=body, headers=headers)).status
+        except urllib.error.HTTPError as e:
+            return e.code
+
+    kind = {"Content-Type": "application/json"}
+    assert post("/v1/traces", json.dumps(span, indent=1).encode(), **kind) == 200 and post("/v1/traces", gzip.compress(json.dumps(span).encode()), **kind, **{"Content-Encoding": "gzip"}) == 200
+    assert post("/v1/traces", b"{", **kind) == 400 and post("/other", b"{}", **kind) == 404
+    server.shutdown()
+    server.server_close()
+    got = otel.usage_records(otel.json_records(spark.read.text(str(tmp_path / "in" / "span"))))
+    assert [(r.model, r.tokens_out) for r in got.collect()] == [("m", 3)] * 2
+
+
+def test_report_page_is_escaped(spark):
+    rows = spark.createDataFrame([("b", '<x> & "y"'), ("a", None)], "k string, v string")
+    lines = [r.html for r in report.html_page(rows, "k", "T").orderBy("at", "html").collect()]
+    assert lines[1] == "<tr><td>a</td><td></td></tr>" and lines[2] == "<tr><td>b</td><td>&lt;x&gt; &amp; &quot;y&quot;</td></tr>" and lines[0].endswith("<tr><th>k</th><th>v</th></tr>") and len(lines) == 4
+
+
+def test_links_and_figures_become_metadata(spark):
+    docs = spark.createDataFrame([("a", "# Overview\n\nSee [this](https://x.example/a) and ![cap](i.png) for more words.", "T", "S")], "doc_id string, text string, title string, space string")
+    (row,) = api.chunk_documents(docs).collect()
+    assert row.metadata == {"xref": ["this -> https://x.example/a"], "figure": ["cap"]} and "xref" not in row.embed_text
