@@ -44,7 +44,7 @@ TRAIN_DOCS = 400
 #: prose blocks of each language's spaces that the model is trained on, about
 TRAIN_BLOCKS = 3000
 #: characters of one document or block that the model is trained on, at most
-TRAIN_CHARS = 20_000
+TRAIN_CHARS = 5_000
 #: words that a segment of another language needs
 MIN_WORDS = 8
 #: bytes before a byte that its code length depends on, six at most
