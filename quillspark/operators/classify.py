@@ -269,7 +269,7 @@ def keyphrases(text: str | None, top_n: int = DEFAULT.keyphrases, longest: int =
             s = stats.setdefault(w, [0, 0])
             s[0] += 1
             s[1] += len(r)
-    scored = {" ".join(r): sum(stats[w][1] / stats[w][0] for w in r) for r in set(runs)}
+    scored = {" ".join(r): round(sum(stats[w][1] / stats[w][0] for w in r), 9) for r in set(runs)}  # the order of a sum decides no tie
     return sorted(scored, key=lambda p: (-scored[p], p))[:top_n]
 
 

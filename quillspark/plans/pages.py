@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillspark.functions import text as T
+from quillspark.functions.lang_packs import pack
 from quillspark.operators import classify, lint, structure
 from quillspark.tables import distinct_blocks, table
 
@@ -244,6 +245,7 @@ QUERIES = {f.__name__: f for f in (
 _S = "(SELECT DISTINCT doc_id, section_id, seq, parent_id, heading_level, title, breadcrumb FROM sections)"
 _B = "(SELECT DISTINCT doc_id, section_id, space, seq, block_id, content_type, text, code_language FROM blocks)"
 _D = "(SELECT doc_id, coalesce(text, '') AS text, lang, source_path FROM documents)"
+_STOP = ", ".join(f"'{w}'" for w in sorted(pack("en").stop_words))
 
 
 def _type_case(column: str, language: str) -> str:
@@ -339,6 +341,18 @@ WITH l AS (SELECT doc_id, list_transform(regexp_extract_all(text, '(?m)^[ \\t]*(
 u AS (SELECT doc_id, list_concat(langs, adm) AS all_tags FROM l),
 o AS (SELECT doc_id, list_filter(all_tags, lambda x, i: list_position(all_tags, x) = i) AS t FROM u)
 SELECT doc_id, 'content,' || array_to_string(t, ',') AS tags FROM o WHERE len(t) > 0""",
+    "rake_keyphrases": f"""
+WITH b AS (SELECT doc_id, block_id, text FROM {_B} WHERE content_type = 'paragraph' AND text IS NOT NULL),
+l AS (SELECT doc_id, block_id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+(?:[._+-][\\p{{L}}\\p{{N}}_]+)*|[^\\p{{L}}\\p{{N}}_]+') AS l FROM b),
+t AS (SELECT doc_id, block_id, generate_subscripts(l, 1) AS pos, unnest(l) AS t FROM l),
+c AS (SELECT *, regexp_matches(t, '^[\\p{{L}}\\p{{N}}_]') AS word, regexp_matches(t, '^[\\p{{L}}\\p{{N}}_]') AND length(t) >= 3 AND NOT regexp_matches(t, '^[0-9]+$') AND t NOT IN ({_STOP}) AS content FROM t),
+g AS (SELECT *, count(*) FILTER (CASE WHEN word THEN NOT content ELSE regexp_matches(t, '[^\\s\\x{{a0}}\\x{{202f}}]') END) OVER (PARTITION BY doc_id, block_id ORDER BY pos) AS g FROM c),
+r AS (SELECT doc_id, block_id, g, (row_number() OVER (PARTITION BY doc_id, block_id, g ORDER BY pos) - 1) // 4 AS sub, pos, t FROM g WHERE content),
+p AS (SELECT doc_id, block_id, g, sub, list(t ORDER BY pos) AS ws FROM r GROUP BY ALL), w AS (SELECT doc_id, block_id, unnest(ws) AS t, len(ws) AS n FROM p), s AS (SELECT doc_id, block_id, t, sum(n) / count(*) AS s FROM w GROUP BY ALL),
+d AS (SELECT DISTINCT doc_id, block_id, ws FROM p), e AS (SELECT doc_id, block_id, ws, generate_subscripts(ws, 1) AS i, unnest(ws) AS t FROM d),
+k AS (SELECT doc_id, block_id, array_to_string(ws, ' ') AS phrase, round(sum(s), 9) AS score FROM e JOIN s USING (doc_id, block_id, t) GROUP BY doc_id, block_id, ws),
+o AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY doc_id, block_id ORDER BY score DESC, phrase) <= 6)
+SELECT doc_id, block_id, coalesce(string_agg(phrase, '|' ORDER BY score DESC, phrase), '') AS keyphrases FROM b LEFT JOIN o USING (doc_id, block_id) GROUP BY ALL""",
     "markdown_stats": f"""
 SELECT doc_id, len(string_split(text, chr(10))) - 1 AS lines, len(regexp_extract_all(text, '\\S+')) AS words, length(text) AS chars, h AS sections, h AS headings,
   len(regexp_extract_all(text, '!\\[[^\\]]*\\]\\([^)]*\\)')) AS pictures, f AS code_snippets, f AS code_blocks, len(regexp_extract_all(text, '(?m)^[ \\t]*(?:[-*+]|\\d+\\.)[ \\t]+\\S')) AS lists,
