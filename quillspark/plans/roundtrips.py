@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillspark import api
@@ -15,7 +15,7 @@ from quillspark.config import Config
 from quillspark.operators import chunking, classify, convert, diagrams, evaluate, inventory, lint, report, search, store, structure, usage
 from quillspark.plans import corpus, pages
 from quillspark.plans import usage as usage_plans
-from quillspark.session import shared_dir
+from quillspark.session import shared_dir, written
 from quillspark.sources import logs, otel
 from quillspark.tables import distinct_blocks, table
 
@@ -342,6 +342,14 @@ def parsed_headings(spark: SparkSession, folder: str) -> DataFrame:
     return rows.groupBy("doc_id", "level").agg(F.count("*").alias("n"))
 
 
+def parsed_titles(spark: SparkSession, folder: str) -> DataFrame:
+    """The headings of every document in order, with their place among them and their path."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "title")
+    sections, _ = structure.sections_and_blocks(written(structure.parsed_rows(docs)), docs)
+    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("seq"))
+    return sections.where("seq >= 0").withColumn("place", place).select("doc_id", "place", "level", "title", F.size("breadcrumb").alias("depth"))
+
+
 def lint_findings(spark: SparkSession, folder: str) -> DataFrame:
     """Every finding of every document, with the line of the first match."""
     rows = lint.lint(table(spark, folder, "documents")).select("doc_id", F.explode("issues").alias("i"))
@@ -437,7 +445,7 @@ def result_snippets(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     otlp_spans, otlp_flat_records, otlp_protobuf, telemetry_shapes, session_log_usage, session_prompts, captured_prompts, billing_items, usage_ranked, store_roundtrip, export_roundtrip, paths_and_titles,
-    breadcrumb_sections, gate_statuses, construct_totals, conversion_totals, shown_nodes, html_constructs, page_sanity, visible_texts, diagram_nodes, diagram_kinds, diagram_differences, diagram_pictures, parsed_code, parsed_headings, lint_findings, chunk_texts, ranked_fields,
+    breadcrumb_sections, gate_statuses, construct_totals, conversion_totals, shown_nodes, html_constructs, page_sanity, visible_texts, diagram_nodes, diagram_kinds, diagram_differences, diagram_pictures, parsed_code, parsed_headings, parsed_titles, lint_findings, chunk_texts, ranked_fields,
     routed_taxonomy, evaluated_sections, eval_gate, report_rows, scoped_metadata, merge_strategies, newest_sessions, context_footprints, result_snippets,
 )}
 # ---- SQL ----------------------------------------------------------------------------
@@ -513,6 +521,18 @@ u AS (SELECT *, lag(line, 1, '') OVER (PARTITION BY doc_id ORDER BY n) AS above,
 h AS (SELECT doc_id, n, CASE WHEN regexp_matches(line, '^ {0,3}#{1,6}(?:[ \\t]|$)') THEN length(regexp_extract(line, '^ {0,3}(#{1,6})(?:[ \\t]|$)', 1))
   WHEN regexp_matches(line, '^ {0,3}=+[ \\t]*$') AND NOT above_fenced AND regexp_matches(above, '^[^\\s#>|]') THEN 1 END AS level FROM u WHERE NOT fenced)
 SELECT doc_id, CAST(level AS INTEGER) AS level, count(*) AS n FROM h JOIN f USING (doc_id) WHERE level IS NOT NULL AND NOT (front AND n <= ends) GROUP BY ALL""",
+    "parsed_titles": "WITH " + _LINES + """, f AS (SELECT doc_id, min(n) FILTER (n > 1 AND trim(line) = '---') AS ends, bool_or(n = 1 AND trim(line) = '---') AS front FROM l2 GROUP BY doc_id),
+u AS (SELECT *, lag(line, 1, '') OVER (PARTITION BY doc_id ORDER BY n) AS above, lag(fenced, 1, false) OVER (PARTITION BY doc_id ORDER BY n) AS above_fenced FROM l2),
+x AS (SELECT doc_id, n, CASE WHEN regexp_matches(line, '^ {0,3}#{1,6}(?:[ \\t]|$)') THEN length(regexp_extract(line, '^ {0,3}(#{1,6})(?:[ \\t]|$)', 1))
+  WHEN regexp_matches(line, '^ {0,3}=+[ \\t]*$') AND NOT above_fenced AND regexp_matches(above, '^[^\\s#>|]') THEN 1 END AS level,
+  CASE WHEN regexp_matches(line, '^ {0,3}#') THEN trim(regexp_replace(regexp_replace(line, '^ {0,3}#+', ''), '[ \\t]+#+[ \\t]*$', '')) ELSE trim(above) END AS title FROM u WHERE NOT fenced),
+h AS (SELECT doc_id, n, level, title, row_number() OVER (PARTITION BY doc_id ORDER BY n) AS place FROM x JOIN f USING (doc_id) WHERE level IS NOT NULL AND NOT (front AND n <= ends)),
+e AS (SELECT doc_id, min(n) AS first_text FROM l2 JOIN f USING (doc_id) WHERE NOT bare AND NOT (front AND n <= ends) GROUP BY doc_id),
+r AS (SELECT doc_id, min(CASE WHEN title = trim(line) THEN n - 1 ELSE n END) AS first_head FROM (SELECT h.doc_id, h.n, h.title, l.line FROM h JOIN l2 l ON l.doc_id = h.doc_id AND l.n = h.n - 1 UNION ALL SELECT doc_id, n, title, '' FROM h WHERE n = 1) GROUP BY doc_id),
+o AS (SELECT h.doc_id, h.place FROM h JOIN e USING (doc_id) JOIN r USING (doc_id) WHERE first_text < first_head AND level > 1 AND NOT EXISTS (SELECT 1 FROM h m WHERE m.doc_id = h.doc_id AND m.place < h.place AND m.level = 1)),
+a AS (SELECT h.doc_id, h.place, count(*) AS above FROM h JOIN h g ON g.doc_id = h.doc_id AND g.place < h.place AND g.level < h.level AND NOT EXISTS (SELECT 1 FROM h m WHERE m.doc_id = h.doc_id AND m.place > g.place AND m.place < h.place AND m.level <= g.level) GROUP BY ALL)
+SELECT h.doc_id, CAST(h.place AS INTEGER) AS place, CAST(level AS INTEGER) AS level, title, CAST(coalesce(above, 0) + 1 + CASE WHEN o.place IS NULL THEN 0 ELSE 1 END AS INTEGER) AS depth
+FROM h LEFT JOIN a ON a.doc_id = h.doc_id AND a.place = h.place LEFT JOIN o ON o.doc_id = h.doc_id AND o.place = h.place""",
     "store_roundtrip": f"""WITH b AS {_B}, d AS (SELECT DISTINCT doc_id FROM b WHERE space = 'MERROW'), k AS (SELECT * FROM b WHERE doc_id NOT IN (SELECT doc_id FROM d))
 SELECT content_type, CASE WHEN content_type = 'table' THEN 2 ELSE 1 END AS version, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS n_chars, (SELECT count(*) FROM b WHERE doc_id IN (SELECT doc_id FROM d)) AS deleted, 'hashing' AS provider, 512 AS dimension FROM k GROUP BY ALL""",
     "export_roundtrip": f"SELECT content_type, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS chars, count(DISTINCT doc_id) AS docs FROM {_B} GROUP BY ALL",
