@@ -254,13 +254,12 @@ CONSTRUCTS: dict[str, tuple[str, str]] = {
 
 
 def _construct_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """Every page id within every construct, as a page."""
+    """Every page id within every construct, as a page. The ids are dealt out, not their pages, which are made where they are converted."""
     kinds = spark.createDataFrame([(k, h) for k, (h, _) in CONSTRUCTS.items()], "construct string, html string")
-    ids = table(spark, folder, "page_meta").select("doc_id").distinct()
+    ids = table(spark, folder, "page_meta").select("doc_id").distinct().repartition(3 * spark.sparkContext.defaultParallelism)
     body = F.replace(F.col("html"), F.lit("@"), F.col("doc_id"))
     page = F.concat(F.lit("<html><head><title>SP : Page "), "doc_id", F.lit("</title></head><body><nav>menu</nav><div id=\"main-content\">"), body, F.lit("</div><footer>end</footer></body></html>"))
-    pages = ids.crossJoin(F.broadcast(kinds)).select("construct", "doc_id", page.alias("text"))  # a stated, fixed set of constructs
-    return pages.repartition(spark.sparkContext.defaultParallelism)
+    return ids.crossJoin(F.broadcast(kinds)).select("construct", "doc_id", page.alias("text"))  # a stated, fixed set of constructs
 
 
 def html_constructs(spark: SparkSession, folder: str) -> DataFrame:
